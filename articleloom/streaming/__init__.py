@@ -1,0 +1 @@
+"""Every job here is a batch job: no operator needs a stream, a watermark or state."""

@@ -18,14 +18,11 @@ def process_extracted(extracted: DataFrame, lexicon: Lexicon = MEDICAL_DOMAINS,
     Duplicates go first, so that only survivors are cleaned and classified. One scan, one
     shuffle. Of several articles with one key the one with the lowest file path survives.
     """
-    identified = (
-        extracted.transform(keep_usable)
-        .withColumn("text_id", stable_id(F.col("ref_id"), F.col("pmid")))
-    )
-    ties = ["ref_id", "text_id", "citation_text", "article_title", "journal", "year"]
-    survivors = keep_first(identified, ["pmid"], [F.col(name) for name in ties])
+    ties = ["ref_id", "citation_text", "article_title", "journal", "year"]
+    survivors = extracted.transform(keep_usable).transform(keep_first, ["pmid"], [F.col(name) for name in ties])
     return (
         survivors.withColumnRenamed("article_title", "title")
+        .withColumn("text_id", stable_id(F.col("ref_id"), F.col("pmid")))
         .withColumn("content", clean(F.col("citation_text")))
         .withColumn("domain", classify(F.col("content"), lexicon, default))
         .withColumn("text_length", F.length("content"))

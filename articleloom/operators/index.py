@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from articleloom.functions.embedding import DIMS, term_vector, unit_weights
 from articleloom.schemas import CHUNK_INDEX
@@ -40,15 +42,16 @@ def _index_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def append_to_index(embedded: DataFrame, path: str) -> None:
+def append_to_index(
+    chunks: DataFrame, path: str, embed: Callable[[DataFrame], DataFrame] = embed_chunks,
+) -> None:
     """Add the chunks that the index at ``path`` does not hold yet, creating it if need be.
 
     Running it again, or over a corpus that overlaps an earlier one, adds nothing twice. Of
-    the stored index only the ids are read.
+    the stored index only the ids are read, and only new chunks are embedded.
     """
-    spark = embedded.sparkSession
-    fresh = embedded.select(*CHUNK_INDEX.names)
+    spark = chunks.sparkSession
     if _index_exists(spark, path):
         stored = open_chunk_index(spark, path).select("chunk_id")
-        fresh = fresh.join(stored, "chunk_id", "left_anti")
-    fresh.write.mode("append").parquet(path)
+        chunks = chunks.join(stored, "chunk_id", "left_anti")
+    embed(chunks).select(*CHUNK_INDEX.names).write.mode("append").parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from articleloom.operators.context import valid_questions
 from articleloom.operators.index import embed_questions
-from articleloom.operators.nearest import QuestionBatch, nearest
+from articleloom.operators.nearest import BATCH_BYTES, QuestionBatch, nearest
 
 
 def search_chunks(questions: DataFrame, index: DataFrame, metric: str = "cosine") -> DataFrame:
@@ -15,7 +15,9 @@ def search_chunks(questions: DataFrame, index: DataFrame, metric: str = "cosine"
     return nearest(embed_questions(valid_questions(questions)), index, vector_id="chunk_id", metric=metric)
 
 
-def retrieve(questions: DataFrame, index: DataFrame, metric: str = "cosine") -> DataFrame:
+def retrieve(
+    questions: DataFrame, index: DataFrame, metric: str = "cosine", max_bytes: int = BATCH_BYTES,
+) -> DataFrame:
     """The nearest chunks of each question with their content and metadata.
 
     Searched once; prompts and references are both made from the result. If the wanted hits
@@ -23,7 +25,7 @@ def retrieve(questions: DataFrame, index: DataFrame, metric: str = "cosine") ->
     both sides are joined on the chunk id.
     """
     asked = valid_questions(questions)
-    batch = QuestionBatch.of(embed_questions(asked))
+    batch = QuestionBatch.of(embed_questions(asked), max_bytes)
     hits = nearest(batch, index, vector_id="chunk_id", metric=metric)
     if batch.has_few_hits:
         hits = F.broadcast(hits)

@@ -11,7 +11,7 @@ from articleloom.schemas import RAW_ARTICLE
 READ_OPTIONS = {
     "rowTag": "article",
     "attributePrefix": "_",
-    "treatEmptyValuesAsNulls": "true",
+    "nullValue": "",  # an empty element is null
     "ignoreSurroundingSpaces": "true",
 }
 

@@ -51,7 +51,7 @@ def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chunk index of all documents, written once and opened again."""
     path = scratch_path(spark, "chunk_index")
-    index.append_to_index(index.embed_chunks(document_chunks(spark, sf_dir)), path)
+    index.append_to_index(document_chunks(spark, sf_dir), path)
     return tables.open_chunk_index(spark, path)
 
 
@@ -146,7 +146,7 @@ def index_incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         stable_id(F.lit("page"), F.col("page_id").cast("string")).alias("text_id"),
         F.col("page_id").cast("string").alias("pmid"), clean(F.col("html")).alias("content"), F.col("url").alias("ref_id"))
     for articles in (documents, tables.union_sources([documents, pages])):
-        index.append_to_index(index.embed_chunks(chunk.chunk_articles(articles)), path)
+        index.append_to_index(chunk.chunk_articles(articles), path)
     stored = tables.open_chunk_index(spark, path)
     return stored.groupBy("pmid", "title", "source").agg(
         F.count("*").alias("chunk_count"), F.sum(F.length("page_content")).alias("characters"))

@@ -46,6 +46,8 @@ FILES = {
     "same_1": article(pmid(11), "<article-title>First</article-title>", body=f"<body>{LONG}</body>"),
     "same_2": article(pmid(11), "<article-title>Second</article-title>", body=f"<body>{LONG}</body>"),
     "several": "<articles>" + "".join(article(pmid(n), body=f"<body>{LONG}</body>") for n in (12, 13)) + "</articles>",
+    "empty": article(pmid(15), "<article-title></article-title>", '<pub-date pub-type="ppub"><year></year></pub-date>',
+                     f"<abstract><p></p><p>{LONG}</p></abstract>", "<body></body>", "<journal-title> </journal-title>"),
     "malformed": f'<article><front><article-meta>{pmid(14)}</article-meta></front><body>{LONG}',
 }
 
@@ -93,13 +95,19 @@ def test_defaults(extracted):
     assert extracted["bare_abstract"]["citation_text"] == f"{LONG} "
 
 
+def test_empty_elements_are_absent(extracted):
+    row = extracted["empty"]
+    assert (row["article_title"], row["journal"], row["year"]) == ("unknown", "unknown", None)
+    assert row["citation_text"] == f"{LONG} "
+
+
 def test_inline_markup_keeps_its_order(extracted, processed):
     assert extracted["mixed_title"]["article_title"] == "Mixed title here"
     assert processed["7"]["content"] == f"First b & x. {LONG}"
 
 
 def test_only_usable_articles_are_kept(processed):
-    assert sorted(processed, key=int) == ["1", "4", "5", "6", "7", "8", "10", "11", "12", "13"]
+    assert sorted(processed, key=int) == ["1", "4", "5", "6", "7", "8", "10", "11", "12", "13", "15"]
 
 
 def test_lowest_file_survives(processed):
@@ -134,7 +142,7 @@ def test_no_rows_have_the_same_schema(spark):
 
 def test_sample(spark, folder):
     rows = sample_articles(read_articles_xml(spark, folder), 3).collect()
-    assert [row["ref_id"].rsplit("/", 1)[1] for row in rows] == ["bare_abstract.xml", "fifty.xml", "fifty_one.xml"]
+    assert [row["ref_id"].rsplit("/", 1)[1] for row in rows] == ["bare_abstract.xml", "empty.xml", "fifty.xml"]
     assert rows[0]["article_ids"] == ["8"]
     assert rows[0]["abstract"] == [None, [LONG]]
 

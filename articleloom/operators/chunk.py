@@ -63,7 +63,7 @@ def chunk_texts(content: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OV
     def cut(texts: pa.Array) -> pa.Array:
         chunks = []
         for text in texts.to_pylist():
-            parts = (text[a:b].strip(" ") for a, b in _spans(text, size, overlap)) if text else ()
+            parts = (text[a:b].strip() for a, b in _spans(text, size, overlap)) if text else ()
             chunks.append([part for part in parts if part])
         return pa.array(chunks, pa.list_(pa.string()))
 

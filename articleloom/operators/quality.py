@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from articleloom.functions.text import is_blank
@@ -39,22 +39,13 @@ def drop_blank_content(df: DataFrame, column: str = "content") -> DataFrame:
     return df.filter(~is_blank(F.col(column)))
 
 
-def _funnel() -> list[Column]:
-    return [
-        F.count(F.lit(1)).alias("initial_count"),
-        F.count_if(is_usable()).alias("kept_count"),
-        F.count_if(~is_usable()).alias("dropped_count"),
-    ]
-
-
-def quality_funnel(extracted: DataFrame) -> DataFrame:
-    """One row, one pass: articles read, kept and dropped."""
-    return extracted.agg(*_funnel())
-
-
-def observe_funnel(extracted: DataFrame, observation: Observation) -> DataFrame:
-    """The same articles; whatever job reads them fills in the funnel on its way, without a pass of its own."""
-    return extracted.observe(observation, *_funnel())
+def quality_funnel(extracted: DataFrame, usable: Column | None = None) -> DataFrame:
+    """One row, one pass: articles read, kept and dropped. ``usable`` names the verdict if it is stored."""
+    kept = is_usable() if usable is None else usable
+    return (
+        extracted.agg(F.count("*").alias("initial_count"), F.count_if(kept).alias("kept_count"))
+        .withColumn("dropped_count", F.col("initial_count") - F.col("kept_count"))
+    )
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Any
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from articleloom.functions.lexicon import DEFAULT_DOMAIN, MEDICAL_DOMAINS, Lexicon
@@ -12,10 +10,11 @@ from articleloom.operators import context, report
 from articleloom.operators.chunk import CHUNK_OVERLAP, CHUNK_SIZE, chunk_articles
 from articleloom.operators.extract import extract_fields
 from articleloom.operators.index import append_to_index
-from articleloom.operators.quality import drop_blank_content, observe_funnel
+from articleloom.operators.quality import drop_blank_content, is_usable, quality_funnel
 from articleloom.plans.articles import process_extracted
 from articleloom.plans.ask import retrieve
 from articleloom.sources.articles_xml import read_articles_xml
+from articleloom.sources.scratch import scratch_path
 from articleloom.sources.sinks import write_articles, write_summary
 from articleloom.sources.tables import open_chunk_index, read_partitioned_articles
 
@@ -23,17 +22,21 @@ from articleloom.sources.tables import open_chunk_index, read_partitioned_articl
 def store_articles(
     spark: SparkSession, xml_path: str, articles_path: str, summary_path: str,
     lexicon: Lexicon = MEDICAL_DOMAINS, default: str = DEFAULT_DOMAIN,
-) -> dict[str, Any]:
+) -> dict[str, int]:
     """Read, process and store articles; returns how many were read, kept and dropped.
 
-    The XML is parsed once: the funnel is counted on the way, and the summary is written from
-    the stored table.
+    The XML is parsed once, into a table in the shared scratch folder: a lost executor costs a
+    read of that table and no parsing. The funnel reads one column of it, and the summary is
+    written from the stored articles, so both outputs hold the same ids.
     """
-    funnel = Observation("funnel")
-    extracted = observe_funnel(extract_fields(read_articles_xml(spark, xml_path)), funnel)
-    write_articles(process_extracted(extracted, lexicon, default), articles_path)
+    extracted = extract_fields(read_articles_xml(spark, xml_path)).withColumn("usable", is_usable())
+    path = scratch_path(spark, "extracted")
+    extracted.write.parquet(path)
+    parsed = spark.read.schema(extracted.schema).parquet(path)
+    usable = parsed.filter("usable").drop("usable")
+    write_articles(process_extracted(usable, lexicon, default), articles_path)
     write_summary(read_partitioned_articles(spark, articles_path), summary_path)
-    return funnel.get
+    return quality_funnel(parsed, F.col("usable")).first().asDict()
 
 
 def report_articles(spark: SparkSession, articles_path: str, domain: str = "neurology") -> dict[str, DataFrame]:

@@ -173,6 +173,12 @@ ORACLES: dict[str, str] = {
                CASE WHEN lang <> 'es' THEN replace(text, chr(10), '|') END AS abstract
         FROM documents ORDER BY 1 LIMIT 5""",
     "xml_roundtrip_ids": f"WITH {RAW} SELECT pmid, article_title, journal, year FROM raw",
+    "xml_articles": f"""
+        WITH {RAW}
+        SELECT pmid, article_title AS title, journal, year, content, {classify("content")} AS domain,
+               CAST(length(content) AS INTEGER) AS text_length
+        FROM (SELECT *, {clean("citation_text")} AS content FROM raw
+              WHERE length(trim(citation_text)) > 50 AND pmid IS NOT NULL AND pmid <> 'unknown')""",
     "xml_roundtrip_year": f"WITH {RAW} SELECT ref_id, year, pmid FROM raw",
     "partitioned_roundtrip": f"WITH {BY_LANGUAGE} SELECT * REPLACE (nullif(year, '') AS year) FROM processed",
     "summary_json_roundtrip": f"WITH {BY_LANGUAGE} SELECT text_id, pmid, title, domain, year, journal FROM processed",
@@ -214,10 +220,10 @@ ORACLES: dict[str, str] = {
     "filter_min_length": f"WITH {EXTRACTED} SELECT ref_id FROM extracted WHERE length(trim(citation_text)) > 50",
     "filter_valid_key": f"""
         WITH {EXTRACTED} SELECT ref_id, pmid FROM gaps WHERE pmid IS NOT NULL AND pmid <> 'unknown'""",
-    "drop_blank_content": rf"""
+    "drop_blank_content": r"""
         SELECT doc_id, content FROM (
             SELECT doc_id, CASE lang WHEN 'de' THEN ' ' || chr(9) || chr(10) WHEN 'es' THEN NULL
-                                     ELSE {clean('text')} END AS content
+                                     ELSE text END AS content
             FROM documents)
         WHERE regexp_matches(content, '\S')""",
     "questions_valid": """

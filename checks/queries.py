@@ -11,7 +11,7 @@ from articleloom.functions import text
 from articleloom.functions.lexicon import classify
 from articleloom.functions.text import clean, stable_id
 from articleloom.operators import chunk, context, extract, index, nearest, quality, report
-from articleloom.plans.articles import process_extracted
+from articleloom.plans.articles import process_articles, process_extracted
 from articleloom.plans.ask import retrieve, search_chunks
 from articleloom.schemas import RAW_ARTICLE, SUMMARY
 from articleloom.sources import articles_xml, sinks, tables
@@ -94,6 +94,12 @@ def xml_roundtrip_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fields.select("pmid", "article_title", "journal", "year")
 
 
+@query
+def xml_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way from XML files to processed articles."""
+    return xml_documents(spark, sf_dir).transform(process_articles).drop("text_id", "ref_id", "processed_time")
+
+
 @query
 def xml_roundtrip_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_documents(spark, sf_dir)
@@ -224,7 +230,7 @@ def filter_valid_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def drop_blank_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     """German content is blanked and Spanish content is null beforehand."""
-    content = F.when(F.col("lang") == "de", " \t\n").when(F.col("lang") != "es", clean(F.col("text")))
+    content = F.when(F.col("lang") == "de", " \t\n").when(F.col("lang") != "es", F.col("text"))
     articles = table(spark, sf_dir, "documents").select("doc_id", content.alias("content"))
     return articles.transform(quality.drop_blank_content)
 

@@ -44,7 +44,7 @@ def expected_chunks(text, size, overlap):
                 break
             start += size - overlap
     close(run)
-    return [chunk.strip(" ") for chunk in chunks if chunk.strip(" ")]
+    return [chunk.strip() for chunk in chunks if chunk.strip()]
 
 
 def random_text(rng, longest):
@@ -87,7 +87,8 @@ def test_properties(spark):
 
 
 def test_edges(spark):
-    assert run(spark, ["", None, "a", "x" * 1000, " ", " a "], 1000, 200) == [[], [], ["a"], ["x" * 1000], [], ["a"]]
+    assert run(spark, ["", None, "a", "x" * 1000, " ", " a ", "\u00a0 a \u3000"], 1000, 200) == [
+        [], [], ["a"], ["x" * 1000], [], ["a"], ["a"]]
 
 
 def test_overlap_must_be_smaller_than_size():

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="articleloom-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the folder the session names in ``spark.checkpoint.dir``.
 
@@ -20,6 +26,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="articleloom-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        root = _local_folder()
     return f"{root.rstrip('/')}/articleloom/{uuid.uuid4().hex}/{name}"

@@ -127,7 +127,7 @@ def knn(metric: str) -> str:
         norms = f"sqrt({total(f'{left} * {left}')} * {total(f'{right} * {right}')})"
         distance = f"1.0 - coalesce({total(f'{left} * {right}')} / nullif({norms}, 0), 0)"
     return f"""
-        SELECT question_id, vec_id, CAST(rank AS INTEGER) AS rank, round(distance, 6) AS distance
+        SELECT question_id, vec_id, CAST(rank AS INTEGER) AS rank, round(distance, 6) + 0.0 AS distance
         FROM (
             SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY distance, vec_id) AS rank
             FROM (SELECT q.vec_id AS question_id, q.label % 3 + 4 AS top_k, v.vec_id, {distance} AS distance
@@ -149,7 +149,7 @@ HITS = f"""{CHUNKED},
         FROM benchmark CROSS JOIN chunks LEFT JOIN dots USING (item_id, chunk_id)
         LEFT JOIN question_norms qn USING (item_id) LEFT JOIN chunk_norms cn USING (chunk_id)),
     hits AS (
-        SELECT question_id, question, chunk_id, CAST(place AS INTEGER) AS rank, round(distance, 6) AS distance
+        SELECT question_id, question, chunk_id, CAST(place AS INTEGER) AS rank, round(distance, 6) + 0.0 AS distance
         FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY distance, chunk_id) AS place
               FROM distances)
         WHERE place <= 5)"""
@@ -274,7 +274,7 @@ ORACLES: dict[str, str] = {
             FROM (SELECT unnest(embedding) AS value, unnest(range(len(embedding))) AS position FROM embeddings)
             GROUP BY 1),
         centre AS (SELECT list(mean ORDER BY position) AS mean FROM means)
-        SELECT vec_id, round(distance, 6) AS distance FROM (
+        SELECT vec_id, round(distance, 6) + 0.0 AS distance FROM (
             SELECT vec_id, list_sum(list_transform(list_zip(embedding, mean),
                        lambda z: (z[1]::DOUBLE - z[2]) * (z[1]::DOUBLE - z[2]))) AS distance
             FROM embeddings, centre)

@@ -3,6 +3,7 @@
 import gzip
 import json
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from conftest import plan_of
@@ -124,16 +125,14 @@ def test_scratch_is_under_the_checkpoint_folder(spark):
     assert scratch.scratch_path(spark, "x") != path
 
 
-def test_scratch_on_a_cluster_needs_the_setting():
-    class Conf:
-        def get(self, key, default):
-            return default
+def session_without_setting(master):
+    conf = SimpleNamespace(get=lambda key, default: default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
 
-    class Context:
-        master = "yarn"
-
-    class Session:
-        conf, sparkContext = Conf(), Context()
 
+def test_scratch_without_the_setting():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch.scratch_path(Session(), "x")
+        scratch.scratch_path(session_without_setting("yarn"), "x")
+    local = session_without_setting("local[2]")
+    first, second = (Path(scratch.scratch_path(local, name)) for name in "xy")
+    assert first.parents[2] == second.parents[2] and first.parents[2].is_dir()

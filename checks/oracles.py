@@ -181,6 +181,7 @@ ORACLES: dict[str, str] = {
               WHERE length(trim(citation_text)) > 50 AND pmid IS NOT NULL AND pmid <> 'unknown')""",
     "xml_roundtrip_year": f"WITH {RAW} SELECT ref_id, year, pmid FROM raw",
     "partitioned_roundtrip": f"WITH {BY_LANGUAGE} SELECT * REPLACE (nullif(year, '') AS year) FROM processed",
+    "parquet_tree": "SELECT doc_id, text, CAST(NULL AS VARCHAR) AS source FROM documents",
     "summary_json_roundtrip": f"WITH {BY_LANGUAGE} SELECT text_id, pmid, title, domain, year, journal FROM processed",
     "output_partition_plan": """
         SELECT count(*) AS row_count,

@@ -119,6 +119,15 @@ def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_partitioned_articles(spark, path).drop("processed_time")
 
 
+@query
+def parquet_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files below nested folders are read as they are; the folders' names are no columns."""
+    path = scratch_path(spark, "tree")
+    documents = table(spark, sf_dir, "documents")
+    documents.select("doc_id", "text", "lang", "source").write.partitionBy("lang", "source").parquet(path)
+    return tables.read_parquet_tree(spark, path, documents.select("doc_id", "text", "source").schema)
+
+
 @query
 def summary_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "summary")

@@ -41,21 +41,6 @@ def term_vector(text: Column, dims: int = DIMS) -> Column:
     return count_buckets(F.coalesce(buckets, F.array().cast("array<int>")))
 
 
-def unit_weights(vector: Column) -> Column:
-    """The non-zero entries as ``array<struct<bucket, weight>>``, scaled to length one."""
-    entries = F.filter(
-        F.transform(vector, lambda count, ix: F.struct(ix.cast("int").alias("bucket"), count.cast("double").alias("weight"))),
-        lambda entry: entry["weight"] > 0,
-    )
-    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, count: total + count.cast("double") * count))
-    # The one-element transform binds the norm once per row instead of once per entry.
-    return F.get(
-        F.transform(
-            F.array(norm),
-            lambda length: F.transform(
-                entries,
-                lambda entry: F.struct(entry["bucket"].alias("bucket"), (entry["weight"] / length).alias("weight")),
-            ),
-        ),
-        F.lit(0),
-    )
+def vector_length(vector: Column) -> Column:
+    """Euclidean length; exact up to the square root for a vector of counts."""
+    return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, count: total + count.cast("double") * count))

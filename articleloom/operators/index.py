@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articleloom.functions.embedding import DIMS, term_vector, unit_weights
+from articleloom.functions.embedding import DIMS, term_vector, vector_length
 from articleloom.schemas import CHUNK_INDEX
 from articleloom.sources.tables import open_chunk_index
 
@@ -25,10 +25,12 @@ def embed_questions(questions: DataFrame, dims: int = DIMS) -> DataFrame:
 
 def term_weights(embedded: DataFrame, key: str) -> DataFrame:
     """One row per text and non-empty bucket, with weights of unit length per text."""
+    # The outer form keeps Catalyst from deriving a filter that computes the vectors again.
     return (
-        embedded.select(key, F.explode_outer(unit_weights(F.col("embedding"))).alias("entry"))
-        .filter(F.col("entry").isNotNull())
-        .select(key, "entry.bucket", "entry.weight")
+        embedded.select(key, "embedding", vector_length(F.col("embedding")).alias("length"))
+        .select(key, "length", F.posexplode_outer("embedding").alias("bucket", "count"))
+        .filter(F.col("count") > 0)
+        .select(key, "bucket", (F.col("count").cast("double") / F.col("length")).alias("weight"))
     )
 
 

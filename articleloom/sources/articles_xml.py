@@ -13,13 +13,16 @@ READ_OPTIONS = {
     "attributePrefix": "_",
     "nullValue": "",  # an empty element is null
     "ignoreSurroundingSpaces": "true",
+    # This parser looks for article elements one by one: they need no common root, and one
+    # that is broken does not end the file.
+    "useLegacyXMLParser": "true",
 }
 
 
 def read_articles_xml(spark: SparkSession, path: str) -> DataFrame:
     """Raw articles under ``path`` with the file each came from as ``ref_id``.
 
-    A file that cannot be parsed gives rows of nulls, which carry no key and are dropped
+    An article that cannot be parsed is a row of nulls, which carries no key and is dropped
     with every other article that has none.
     """
     return (

@@ -7,7 +7,10 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from articleloom.operators.chunk import chunk_articles, chunk_counts, chunk_texts
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from articleloom.operators.chunk import _spans, chunk_articles, chunk_counts, chunk_texts
 
 ARTICLE = "text_id string, pmid string, title string, journal string, year string, ref_id string, content string"
 
@@ -66,6 +69,18 @@ def test_against_plain_rules(spark, size, overlap, longest):
         assert chunks == expected_chunks(text, size, overlap), text
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.text("aé🙂", min_size=1, max_size=30), min_size=1, max_size=40), st.integers(2, 20), st.data())
+def test_spans_of_any_words(words, size, data):
+    overlap = data.draw(st.integers(0, size - 1))
+    text = " ".join(words)
+    spans = _spans(text, size, overlap)
+    assert [text[a:b].strip() for a, b in spans if text[a:b].strip()] == expected_chunks(text, size, overlap)
+    assert max(b - a for a, b in spans) <= size
+    covered = set().union(*(range(a, b) for a, b in spans))
+    assert covered == set(range(len(text)))
+
+
 @pytest.mark.parametrize("words", [[850], [990], [998], [999], [1000], [1001], [2500], [400, 2500, 400], [990, 990], [199, 800, 201]])
 def test_long_words_at_full_size(spark, words):
     text = " ".join(chr(97 + i) * n for i, n in enumerate([5, *words, 5, 7]))

@@ -46,6 +46,9 @@ FILES = {
     "same_1": article(pmid(11), "<article-title>First</article-title>", body=f"<body>{LONG}</body>"),
     "same_2": article(pmid(11), "<article-title>Second</article-title>", body=f"<body>{LONG}</body>"),
     "several": "<articles>" + "".join(article(pmid(n), body=f"<body>{LONG}</body>") for n in (12, 13)) + "</articles>",
+    "no_root": "\n".join(article(pmid(n), body=f"<body>{LONG}</body>") for n in (16, 17)),
+    "one_broken": "<articles>" + article(pmid(18), body=f"<body>{LONG}</body>") + f"<article><front>{pmid(19)}</article>"
+                  + article(pmid(20), body=f"<body>{LONG}</body>") + "</articles>",
     "empty": article(pmid(15), "<article-title></article-title>", '<pub-date pub-type="ppub"><year></year></pub-date>',
                      f"<abstract><p></p><p>{LONG}</p></abstract>", "<body></body>", "<journal-title> </journal-title>"),
     "malformed": f'<article><front><article-meta>{pmid(14)}</article-meta></front><body>{LONG}',
@@ -107,7 +110,7 @@ def test_inline_markup_keeps_its_order(extracted, processed):
 
 
 def test_only_usable_articles_are_kept(processed):
-    assert sorted(processed, key=int) == ["1", "4", "5", "6", "7", "8", "10", "11", "12", "13", "15"]
+    assert sorted(processed, key=int) == ["1", "4", "5", "6", "7", "8", "10", "11", "12", "13", "15", "16", "17", "18", "20"]
 
 
 def test_lowest_file_survives(processed):

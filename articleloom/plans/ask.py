@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from articleloom.operators.context import valid_questions
 from articleloom.operators.index import embed_questions
 from articleloom.operators.nearest import BATCH_BYTES, QuestionBatch, nearest
+from articleloom.sources.scratch import scratch_path
+
+MAX_FILES = 1000  # so many files are picked out one by one; hits in more are read from the whole index
 
 
 def search_chunks(questions: DataFrame, index: DataFrame, metric: str = "cosine") -> DataFrame:
@@ -18,16 +21,26 @@ def search_chunks(questions: DataFrame, index: DataFrame, metric: str = "cosine"
 def retrieve(
     questions: DataFrame, index: DataFrame, metric: str = "cosine", max_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
-    """The nearest chunks of each question with their content and metadata.
+    """The nearest chunks of each question in a stored index, with their content and metadata.
 
-    Searched once; prompts and references are both made from the result. If the wanted hits
-    are known to be few, they are sent to all tasks and the chunk table is not shuffled; else
-    both sides are joined on the chunk id.
+    The search reads ids and vectors, and its hits are stored with the files they lie in. If
+    there are few hits, only those files are read for the content and the hits are sent to all
+    tasks; else hits and chunks are joined on the chunk id. Both give the same rows.
     """
     asked = valid_questions(questions)
     batch = QuestionBatch.of(embed_questions(asked), max_bytes)
-    hits = nearest(batch, index, vector_id="chunk_id", metric=metric)
+    path = scratch_path(questions.sparkSession, "hits")
+    located = index.select("chunk_id", "embedding", F.col("_metadata.file_path").alias("file"))
+    found = nearest(batch, located, vector_id="chunk_id", metric=metric, carry=["file"])
+    found.write.parquet(path)
+    hits = questions.sparkSession.read.schema(found.schema).parquet(path)
+    chunks = index
     if batch.has_few_hits:
-        hits = F.broadcast(hits)
-    chunks = index.select("chunk_id", "pmid", "title", "journal", "year", "source", "page_content")
+        files = [row["file"] for row in hits.select("file").distinct().limit(MAX_FILES + 1).collect()]
+        if len(files) <= MAX_FILES:
+            chunks = chunks.filter(F.col("_metadata.file_path").isin(files))
+        hits = F.broadcast(hits.drop("file"))
+    else:
+        hits = hits.drop("file")
+    chunks = chunks.select("chunk_id", "pmid", "title", "journal", "year", "source", "page_content")
     return chunks.join(hits, "chunk_id").join(asked.select("question_id", "question"), "question_id")

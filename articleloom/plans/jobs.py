@@ -64,9 +64,9 @@ def answer_questions(
 ) -> tuple[DataFrame, DataFrame]:
     """Prompts and references of a batch of questions.
 
-    The hits are stored at ``hits_path``, so the search runs once for both.
+    The retrieved chunks are stored at ``hits_path``, and both are made from that table.
     """
     spark = questions.sparkSession
     retrieve(questions, open_chunk_index(spark, index_path)).write.mode("overwrite").parquet(hits_path)
     hits = spark.read.parquet(hits_path)
-    return context.prompts(hits, template), context.references(hits).orderBy(F.col("question_id"), F.col("rank"))
+    return context.prompts(hits, template), context.references(hits).orderBy("question_id", "rank")

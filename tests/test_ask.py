@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from conftest import plan_of
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from articleloom.operators import context, index
 from articleloom.operators.chunk import chunk_articles
@@ -119,6 +120,30 @@ def test_references(spark):
     assert [row["label"] for row in labels] == ["[1] PMID: 9", "[2] PMID: N/A"]
 
 
+def files_read(df) -> int:
+    """Number of files in the scan of the chunk content, once the query has run."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaf for leaf in map(leaves.apply, range(leaves.size())) if "page_content" in leaf.toString()]
+    assert len(scans) == 1
+    return scans[0].metrics().apply("numFiles").value()
+
+
+def test_only_files_with_hits_are_read_for_content(spark, tmp_path, questions):
+    path = str(tmp_path / "index")
+    for n in range(10):
+        index.append_to_index(chunks(spark, n).coalesce(1), path)
+    stored = open_chunk_index(spark, path)
+    all_files = stored.select("_metadata.file_path").distinct().count()
+    asked = questions.filter("question_id = 1").select("question_id", "question", F.lit(1).alias("top_k"))
+    assert all_files == 10
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert files_read(ask.retrieve(asked, stored)) == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_chunk_table_is_not_shuffled_for_few_questions(store, questions):
     plan = plan_of(ask.retrieve(questions.select("question_id", "question"), store))
     content_scan = next(line for line in plan.splitlines() if "FileScan" in line and "page_content" in line)

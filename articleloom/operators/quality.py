@@ -13,6 +13,9 @@ from articleloom.operators.extract import UNKNOWN
 # Fixed value: content must be longer than this many characters.
 MIN_CONTENT_LENGTH = 50
 
+REPEATED_BYTES = 64 << 20  # ids of repeated rows up to this size are sent to all tasks
+REPEATED_ROW_BYTES = 24  # of one such id in a hash table
+
 
 def has_enough_text(text: Column, minimum: int = MIN_CONTENT_LENGTH) -> Column:
     """More than ``minimum`` characters between leading and trailing spaces, before any cleaning."""
@@ -56,3 +59,23 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     """
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+
+def keep_first_stored(
+    stored: DataFrame, row_id: str, key: str, order: Sequence[str], max_bytes: int = REPEATED_BYTES,
+) -> DataFrame:
+    """As ``keep_first``, for a stored table whose rows have a unique whole-number id.
+
+    Only the named columns are read to find the rows that are not first. If they are few, they
+    are sent to all tasks and the rest of the table is neither shuffled nor sorted; else the
+    table goes through ``keep_first``. Keys must not be null.
+    """
+    narrow = stored.select(row_id, key, *order)
+    rows, keys = narrow.agg(F.count("*"), F.count_distinct(key)).first()
+    if rows == keys:
+        return stored
+    if (rows - keys) * REPEATED_ROW_BYTES > max_bytes:
+        return keep_first(stored, [key], [F.col(name) for name in (*order, row_id)])
+    first = narrow.groupBy(key).agg(F.min(F.struct(*order, row_id)).alias("first")).select(f"first.{row_id}")
+    repeated = narrow.select(row_id).join(first, row_id, "left_anti")
+    return stored.join(F.broadcast(repeated), row_id, "left_anti").select(*stored.columns)

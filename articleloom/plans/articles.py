@@ -12,14 +12,8 @@ from articleloom.operators.quality import keep_first, keep_usable
 from articleloom.schemas import ARTICLES
 
 
-def process_extracted(extracted: DataFrame, lexicon: Lexicon = MEDICAL_DOMAINS, default: str = DEFAULT_DOMAIN) -> DataFrame:
-    """Filter, deduplicate, clean and classify; the schema is the same for no rows at all.
-
-    Duplicates go first, so that only survivors are cleaned and classified. One scan, one
-    shuffle. Of several articles with one key the one with the lowest file path survives.
-    """
-    ties = ["ref_id", "citation_text", "article_title", "journal", "year"]
-    survivors = extracted.transform(keep_usable).transform(keep_first, ["pmid"], [F.col(name) for name in ties])
+def finish(survivors: DataFrame, lexicon: Lexicon = MEDICAL_DOMAINS, default: str = DEFAULT_DOMAIN) -> DataFrame:
+    """Clean and classify articles that are usable and have distinct keys. Row by row, no shuffle."""
     return (
         survivors.withColumnRenamed("article_title", "title")
         .withColumn("text_id", stable_id(F.col("ref_id"), F.col("pmid")))
@@ -31,6 +25,19 @@ def process_extracted(extracted: DataFrame, lexicon: Lexicon = MEDICAL_DOMAINS,
     )
 
 
+def process_extracted(
+    extracted: DataFrame, lexicon: Lexicon = MEDICAL_DOMAINS, default: str = DEFAULT_DOMAIN,
+) -> DataFrame:
+    """Filter, deduplicate, clean and classify; the schema is the same for no rows at all.
+
+    Duplicates go first, so that only survivors are cleaned and classified. One scan, one
+    shuffle. Of several articles with one key the one with the lowest file path survives.
+    """
+    ties = ["ref_id", "citation_text", "article_title", "journal", "year"]
+    survivors = extracted.transform(keep_usable).transform(keep_first, ["pmid"], [F.col(name) for name in ties])
+    return finish(survivors, lexicon, default)
+
+
 def process_articles(raw: DataFrame, lexicon: Lexicon = MEDICAL_DOMAINS, default: str = DEFAULT_DOMAIN) -> DataFrame:
     """Raw nested articles to processed articles."""
     return raw.transform(extract_fields).transform(process_extracted, lexicon, default)

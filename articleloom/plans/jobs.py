@@ -10,8 +10,8 @@ from articleloom.operators import context, report
 from articleloom.operators.chunk import CHUNK_OVERLAP, CHUNK_SIZE, chunk_articles
 from articleloom.operators.extract import extract_fields
 from articleloom.operators.index import append_to_index
-from articleloom.operators.quality import drop_blank_content, is_usable, quality_funnel
-from articleloom.plans.articles import process_extracted
+from articleloom.operators.quality import drop_blank_content, is_usable, keep_first_stored, quality_funnel
+from articleloom.plans.articles import finish
 from articleloom.plans.ask import retrieve
 from articleloom.sources.articles_xml import read_articles_xml
 from articleloom.sources.scratch import scratch_path
@@ -26,19 +26,33 @@ def store_articles(
     """Read, process and store articles; returns how many were read, kept and dropped.
 
     The XML is parsed once, into a table in the shared scratch folder: a lost executor costs a
-    read of that table and no parsing. The funnel reads one column of it, and the summary is
-    written from the stored articles, so both outputs hold the same ids.
+    read of that table and no parsing. The funnel and the deduplication read narrow columns of
+    it, and the summary is written from the stored articles, so both outputs hold the same ids.
     """
-    extracted = extract_fields(read_articles_xml(spark, xml_path)).withColumn("usable", is_usable())
-    path = scratch_path(spark, "extracted")
-    extracted.write.parquet(path)
-    parsed = spark.read.schema(extracted.schema).parquet(path)
-    usable = parsed.filter("usable").drop("usable")
-    write_articles(process_extracted(usable, lexicon, default), articles_path)
+    parsed = parse_articles(spark, xml_path, scratch_path(spark, "extracted"))
+    usable = parsed.filter("usable")
+    survivors = keep_first_stored(usable, "row_id", "pmid", ["ref_id", "fingerprint"])
+    write_articles(finish(survivors, lexicon, default), articles_path)
     write_summary(read_partitioned_articles(spark, articles_path), summary_path)
     return quality_funnel(parsed, F.col("usable")).first().asDict()
 
 
+def parse_articles(spark: SparkSession, xml_path: str, path: str) -> DataFrame:
+    """Article XML as a stored table of extracted fields.
+
+    Beside them it has what later steps would otherwise read whole texts for: whether the
+    article is usable, a fingerprint to break ties by, and a row id, which is fixed once stored.
+    """
+    extracted = (
+        extract_fields(read_articles_xml(spark, xml_path))
+        .withColumn("usable", is_usable())
+        .withColumn("fingerprint", F.md5(F.concat_ws("\n", "citation_text", "article_title", "journal", "year")))
+        .withColumn("row_id", F.monotonically_increasing_id())
+    )
+    extracted.write.parquet(path)
+    return spark.read.schema(extracted.schema).parquet(path)
+
+
 def report_articles(spark: SparkSession, articles_path: str, domain: str = "neurology") -> dict[str, DataFrame]:
     """The reports over the stored articles, by name."""
     articles = read_partitioned_articles(spark, articles_path)

@@ -110,6 +110,14 @@ RAW = """
         FROM documents)"""
 
 
+XML_ARTICLES = f"""
+    WITH {RAW}
+    SELECT pmid, article_title AS title, journal, year, content, {classify("content")} AS domain,
+           CAST(length(content) AS INTEGER) AS text_length
+    FROM (SELECT *, {clean("citation_text")} AS content FROM raw
+          WHERE length(trim(citation_text)) > 50 AND pmid IS NOT NULL AND pmid <> 'unknown')"""
+
+
 def weights(source: str, key: str, text: str) -> str:
     return f"""
         SELECT {key}, bucket, round(tf / sqrt(sum(tf * tf) OVER (PARTITION BY {key})), 6) AS weight
@@ -173,12 +181,8 @@ ORACLES: dict[str, str] = {
                CASE WHEN lang <> 'es' THEN replace(text, chr(10), '|') END AS abstract
         FROM documents ORDER BY 1 LIMIT 5""",
     "xml_roundtrip_ids": f"WITH {RAW} SELECT pmid, article_title, journal, year FROM raw",
-    "xml_articles": f"""
-        WITH {RAW}
-        SELECT pmid, article_title AS title, journal, year, content, {classify("content")} AS domain,
-               CAST(length(content) AS INTEGER) AS text_length
-        FROM (SELECT *, {clean("citation_text")} AS content FROM raw
-              WHERE length(trim(citation_text)) > 50 AND pmid IS NOT NULL AND pmid <> 'unknown')""",
+    "xml_articles": XML_ARTICLES,
+    "stored_articles": XML_ARTICLES,
     "xml_roundtrip_year": f"WITH {RAW} SELECT ref_id, year, pmid FROM raw",
     "partitioned_roundtrip": f"WITH {BY_LANGUAGE} SELECT * REPLACE (nullif(year, '') AS year) FROM processed",
     "parquet_tree": "SELECT doc_id, text, CAST(NULL AS VARCHAR) AS source FROM documents",
@@ -240,6 +244,10 @@ ORACLES: dict[str, str] = {
         WITH {EXTRACTED}
         SELECT pmid, ref_id, article_title FROM extracted
         QUALIFY row_number() OVER (PARTITION BY pmid ORDER BY ref_id) = 1""",
+    "dedup_stored": f"""
+        WITH {EXTRACTED}
+        SELECT pmid, ref_id, article_title, citation_text FROM extracted
+        QUALIFY row_number() OVER (PARTITION BY pmid ORDER BY ref_id) = 1""",
 
     "domain_counts": f"WITH {BY_LANGUAGE} SELECT domain, count(*) AS count FROM processed GROUP BY 1",
     "domain_overview": f"""

@@ -11,6 +11,7 @@ from articleloom.functions import text
 from articleloom.functions.lexicon import classify
 from articleloom.functions.text import clean, stable_id
 from articleloom.operators import chunk, context, extract, index, nearest, quality, report
+from articleloom.plans import jobs
 from articleloom.plans.articles import process_articles, process_extracted
 from articleloom.plans.ask import retrieve, search_chunks
 from articleloom.schemas import RAW_ARTICLE, SUMMARY
@@ -77,14 +78,15 @@ def sample_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_xml(raw: DataFrame, path: str) -> None:
+    options = {"rootTag": "articles", "rowTag": "article", "attributePrefix": "_"}
+    raw.drop("ref_id").write.format("xml").options(**options).save(path)
+
+
 def xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as article XML files and read back."""
     path = scratch_path(spark, "articles_xml")
-    (
-        raw_documents(spark, sf_dir).drop("ref_id")
-        .write.format("xml").option("rootTag", "articles").option("rowTag", "article").option("attributePrefix", "_")
-        .save(path)
-    )
+    write_xml(raw_documents(spark, sf_dir), path)
     return articles_xml.read_articles_xml(spark, path)
 
 
@@ -100,6 +102,15 @@ def xml_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return xml_documents(spark, sf_dir).transform(process_articles).drop("text_id", "ref_id", "processed_time")
 
 
+@query
+def stored_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job from XML files to the stored articles."""
+    xml, articles, summary = (scratch_path(spark, name) for name in ("articles_xml", "articles", "summary"))
+    write_xml(raw_documents(spark, sf_dir), xml)
+    jobs.store_articles(spark, xml, articles, summary)
+    return tables.read_partitioned_articles(spark, articles).drop("text_id", "ref_id", "processed_time")
+
+
 @query
 def xml_roundtrip_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_documents(spark, sf_dir)
@@ -263,6 +274,15 @@ def dedup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.keep_first(extracted, ["pmid"], [F.col("ref_id")]).select("pmid", "ref_id", "article_title")
 
 
+@query
+def dedup_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On a stored table, where texts are not shuffled for it."""
+    path = scratch_path(spark, "extracted")
+    extracted_documents(spark, sf_dir).withColumn("row_id", F.monotonically_increasing_id()).write.parquet(path)
+    survivors = quality.keep_first_stored(spark.read.parquet(path), "row_id", "pmid", ["ref_id"])
+    return survivors.select("pmid", "ref_id", "article_title", "citation_text")
+
+
 # Reports
 
 

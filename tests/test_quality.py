@@ -56,6 +56,38 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     assert result.filter("pmid = 'hot'").first()["ref_id"] == "000000"
 
 
+def stored_rows(spark, path, hot):
+    """Rows with a unique id; one row in twenty repeats a key, or a third of them share one."""
+    key = F.when(F.col("id") % 3 == 0, -1) if hot else F.when(F.col("id") % 20 == 0, F.col("id") + 1)
+    rows = spark.range(0, 3000, 1, 6).select(
+        F.coalesce(key, F.col("id")).cast("string").alias("pmid"),
+        F.format_string("%05d", F.col("id") * 7919 % 1000).alias("ref_id"),
+        F.monotonically_increasing_id().alias("row_id"), F.repeat(F.lit("text "), 20).alias("citation_text"))
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+@pytest.mark.parametrize("max_bytes", [quality.REPEATED_BYTES, 0])
+def test_stored_rows_keep_the_same_first(spark, tmp_path, hot, max_bytes):
+    stored = stored_rows(spark, str(tmp_path / "rows"), hot)
+    expected = quality.keep_first(stored, ["pmid"], [F.col("ref_id"), F.col("row_id")])
+    found = quality.keep_first_stored(stored, "row_id", "pmid", ["ref_id"], max_bytes)
+    assert found.columns == stored.columns
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    assert ("WindowGroupLimit" in plan_of(found)) == (max_bytes == 0)
+
+
+def test_stored_texts_are_not_shuffled_for_few_repeats(spark, tmp_path):
+    stored = stored_rows(spark, str(tmp_path / "rows"), hot=False)
+    plan = plan_of(quality.keep_first_stored(stored, "row_id", "pmid", ["ref_id"]))
+    below_join = plan[:plan.index("BroadcastExchange")]
+    assert "BroadcastHashJoin" in below_join and "citation_text" in below_join
+    assert "Exchange hashpartitioning" not in below_join
+    single = stored.dropDuplicates(["pmid"])
+    assert quality.keep_first_stored(single, "row_id", "pmid", ["ref_id"]) is single
+
+
 def test_blank_content(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, " \t\n"), (4, "  "), (5, " a ")], "id int, content string")
     assert [row["id"] for row in quality.drop_blank_content(df).collect()] == [5]

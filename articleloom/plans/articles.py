@@ -12,6 +12,16 @@ from articleloom.operators.quality import keep_first, keep_usable
 from articleloom.schemas import ARTICLES
 
 
+# Of articles with one key the one of the lowest file path survives, and within a file that
+# of the lowest fingerprint.
+FIRST_BY = ["ref_id", "fingerprint"]
+
+
+def with_fingerprint(extracted: DataFrame) -> DataFrame:
+    """Extracted articles with a hash of all that tells two of one file apart."""
+    return extracted.withColumn("fingerprint", F.md5(F.concat_ws("\n", "citation_text", "article_title", "journal", "year")))
+
+
 def finish(survivors: DataFrame, lexicon: Lexicon = MEDICAL_DOMAINS, default: str = DEFAULT_DOMAIN) -> DataFrame:
     """Clean and classify articles that are usable and have distinct keys. Row by row, no shuffle."""
     return (
@@ -31,10 +41,10 @@ def process_extracted(
     """Filter, deduplicate, clean and classify; the schema is the same for no rows at all.
 
     Duplicates go first, so that only survivors are cleaned and classified. One scan, one
-    shuffle. Of several articles with one key the one with the lowest file path survives.
+    shuffle. Of several articles with one key the first by ``FIRST_BY`` survives.
     """
-    ties = ["ref_id", "citation_text", "article_title", "journal", "year"]
-    survivors = extracted.transform(keep_usable).transform(keep_first, ["pmid"], [F.col(name) for name in ties])
+    survivors = extracted.transform(keep_usable).transform(with_fingerprint).transform(
+        keep_first, ["pmid"], [F.col(name) for name in FIRST_BY])
     return finish(survivors, lexicon, default)
 
 

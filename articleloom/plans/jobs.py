@@ -11,7 +11,7 @@ from articleloom.operators.chunk import CHUNK_OVERLAP, CHUNK_SIZE, chunk_article
 from articleloom.operators.extract import extract_fields
 from articleloom.operators.index import append_to_index
 from articleloom.operators.quality import drop_blank_content, is_usable, keep_first_stored, quality_funnel
-from articleloom.plans.articles import finish
+from articleloom.plans.articles import FIRST_BY, finish, with_fingerprint
 from articleloom.plans.ask import retrieve
 from articleloom.sources.articles_xml import read_articles_xml
 from articleloom.sources.scratch import scratch_path
@@ -31,7 +31,7 @@ def store_articles(
     """
     parsed = parse_articles(spark, xml_path, scratch_path(spark, "extracted"))
     usable = parsed.filter("usable")
-    survivors = keep_first_stored(usable, "row_id", "pmid", ["ref_id", "fingerprint"])
+    survivors = keep_first_stored(usable, "row_id", "pmid", FIRST_BY)
     write_articles(finish(survivors, lexicon, default), articles_path)
     write_summary(read_partitioned_articles(spark, articles_path), summary_path)
     return quality_funnel(parsed, F.col("usable")).first().asDict()
@@ -44,9 +44,8 @@ def parse_articles(spark: SparkSession, xml_path: str, path: str) -> DataFrame:
     article is usable, a fingerprint to break ties by, and a row id, which is fixed once stored.
     """
     extracted = (
-        extract_fields(read_articles_xml(spark, xml_path))
+        extract_fields(read_articles_xml(spark, xml_path)).transform(with_fingerprint)
         .withColumn("usable", is_usable())
-        .withColumn("fingerprint", F.md5(F.concat_ws("\n", "citation_text", "article_title", "journal", "year")))
         .withColumn("row_id", F.monotonically_increasing_id())
     )
     extracted.write.parquet(path)

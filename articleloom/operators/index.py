@@ -12,6 +12,9 @@ from articleloom.functions.embedding import DIMS, term_vector, vector_length
 from articleloom.schemas import CHUNK_INDEX
 from articleloom.sources.tables import open_chunk_index
 
+ID_BYTES = 64 << 20  # ids of new chunks up to this size are sent to all tasks
+CHUNK_ID_BYTES = 128  # of one such id in a hash table: a hash and a number
+
 
 def embed_chunks(chunks: DataFrame, dims: int = DIMS) -> DataFrame:
     """Chunks with their term counts as ``embedding``. Row by row, no shuffle."""
@@ -44,16 +47,29 @@ def _index_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def new_chunks(chunks: DataFrame, stored: DataFrame, at_most: int | None = None) -> DataFrame:
+    """Chunks whose ids are not among the stored ones.
+
+    If it is known that there are ``at_most`` so many chunks and their ids are small enough to
+    send to all tasks, nothing is shuffled, however many are stored.
+    """
+    ids = stored.select("chunk_id")
+    if at_most is not None and at_most * CHUNK_ID_BYTES <= ID_BYTES:
+        known = ids.join(F.broadcast(chunks.select("chunk_id")), "chunk_id", "left_semi").distinct()
+        ids = F.broadcast(known)
+    return chunks.join(ids, "chunk_id", "left_anti")
+
+
 def append_to_index(
-    chunks: DataFrame, path: str, embed: Callable[[DataFrame], DataFrame] = embed_chunks,
+    chunks: DataFrame, path: str, embed: Callable[[DataFrame], DataFrame] = embed_chunks, at_most: int | None = None,
 ) -> None:
     """Add the chunks that the index at ``path`` does not hold yet, creating it if need be.
 
     Running it again, or over a corpus that overlaps an earlier one, adds nothing twice. Of
-    the stored index only the ids are read, and only new chunks are embedded.
+    the stored index only the ids are read, and only new chunks are embedded. ``at_most`` is a
+    bound on the number of chunks, if one is known.
     """
     spark = chunks.sparkSession
     if _index_exists(spark, path):
-        stored = open_chunk_index(spark, path).select("chunk_id")
-        chunks = chunks.join(stored, "chunk_id", "left_anti")
+        chunks = new_chunks(chunks, open_chunk_index(spark, path), at_most)
     embed(chunks).select(*CHUNK_INDEX.names).write.mode("append").parquet(path)

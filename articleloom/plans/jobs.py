@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from articleloom.functions.lexicon import DEFAULT_DOMAIN, MEDICAL_DOMAINS, Lexicon
 from articleloom.operators import context, report
-from articleloom.operators.chunk import CHUNK_OVERLAP, CHUNK_SIZE, chunk_articles
+from articleloom.operators.chunk import CHUNK_OVERLAP, CHUNK_SIZE, chunk_articles, most_chunks
 from articleloom.operators.extract import extract_fields
 from articleloom.operators.index import append_to_index
 from articleloom.operators.quality import drop_blank_content, is_usable, keep_first_stored, quality_funnel
@@ -68,8 +68,9 @@ def build_index(
     size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
 ) -> None:
     """Chunk and embed the stored articles; only chunks that are new are added."""
-    articles = drop_blank_content(read_partitioned_articles(spark, articles_path))
-    append_to_index(chunk_articles(articles, size, overlap), index_path)
+    articles = read_partitioned_articles(spark, articles_path)
+    chunks = chunk_articles(drop_blank_content(articles), size, overlap)
+    append_to_index(chunks, index_path, at_most=most_chunks(articles, size, overlap))
 
 
 def answer_questions(

@@ -60,6 +60,23 @@ def test_appending_again_adds_nothing(spark, tmp_path):
     assert (status["total_chunks"], status["total_articles"]) == (stored.count(), 3)
 
 
+@pytest.mark.parametrize("at_most", [None, 100, 10**9])
+def test_new_chunks(spark, tmp_path, at_most):
+    chunks(spark, 1, 2, 2).dropDuplicates(["chunk_id"]).write.parquet(str(tmp_path / "stored"))
+    chunks(spark, 2, 3).write.parquet(str(tmp_path / "chunks"))
+    stored, more = (spark.read.parquet(str(tmp_path / name)) for name in ("stored", "chunks"))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        fresh = index.new_chunks(more, stored, at_most)
+        assert {row["pmid"] for row in fresh.collect()} == {"3"}
+        assert fresh.count() == more.filter("pmid = '3'").count()
+        assert ("SortMergeJoin" in plan_of(fresh)) == (at_most != 100)
+    finally:
+        spark.conf.set(threshold, before)
+
+
 def test_missing_index(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         open_chunk_index(spark, str(tmp_path / "nothing"))

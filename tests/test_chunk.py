@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from articleloom.operators.chunk import _spans, chunk_articles, chunk_counts, chunk_texts
+from articleloom.operators.chunk import _spans, chunk_articles, chunk_counts, chunk_texts, most_chunks
 
 ARTICLE = "text_id string, pmid string, title string, journal string, year string, ref_id string, content string"
 
@@ -101,6 +101,25 @@ def test_properties(spark):
     assert text.startswith(chunks[0]) and text.endswith(chunks[-1])
 
 
+@settings(max_examples=1000, deadline=None)
+@given(st.integers(2, 12), st.data())
+def test_bound_on_the_number_of_chunks(size, data):
+    """Words around the lengths where the rules change."""
+    overlap = data.draw(st.integers(0, size - 1))
+    lengths = sorted({0, 1, 2, overlap, size - 2, size - 1, size, size + 1, 2 * size - overlap})
+    words = data.draw(st.lists(st.sampled_from(lengths), max_size=60))
+    text = " ".join("a" * length for length in words)
+    starts = [a for a, _ in _spans(text, size, overlap)]
+    assert all(later - first >= size - overlap for first, later in zip(starts, starts[3:]))
+    assert len(starts) <= -(-3 * len(text) // (size - overlap)) + 3
+
+
+def test_most_chunks(spark):
+    df = spark.createDataFrame([("t1", "a " * 3000, 5999), ("t2", "", 0)], "text_id string, content string, text_length int")
+    assert chunk_articles(df).count() <= most_chunks(df) <= 30
+    assert most_chunks(df.limit(0)) == 0
+
+
 def test_edges(spark):
     assert run(spark, ["", None, "a", "x" * 1000, " ", " a ", "\u00a0 a \u3000"], 1000, 200) == [
         [], [], ["a"], ["x" * 1000], [], ["a"], ["a"]]

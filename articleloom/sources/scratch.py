@@ -2,29 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="articleloom-")
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the folder the session names in ``spark.checkpoint.dir``.
+    """A new path under the folder the session names in ``spark.checkpoint.dir``, else under its warehouse.
 
-    Only a local session without that setting gets a temporary folder of its own. On a
-    cluster such a folder would be on one machine, so there the setting is required.
+    Both are folders that the driver and all executors share.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        root = _local_folder()
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get(WAREHOUSE_DIR)
     return f"{root.rstrip('/')}/articleloom/{uuid.uuid4().hex}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written once and read back: the plan before them is not run again, also if executors are lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 from compare import SQL_TYPES, _rows
 
 DIR = Path("/root/testdata/sf0.001")
@@ -22,14 +24,15 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry.queries().items() and ORACLES.items() <= entry.oracle_sql().items()
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     result = entry.queries()[name](spark, str(DIR))
     oracle = duck.execute(entry.oracle_sql()[name])

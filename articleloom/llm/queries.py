@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from articleloom.llm import mixing, packing, quality_rules, sharding, token_counts
+from articleloom.llm import mixing, packing, pii, quality_rules, sharding, token_counts, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,10 +22,20 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_table(_documents(spark, sf_dir)).drop("row_number")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir)
+    return toxicity.toxicity(documents, toxicity.train(documents, _labels(spark, sf_dir)))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir)
+    return pii.span_digest(pii.personal_data(documents, pii.train(documents)))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _documents(spark, sf_dir)
     forest = quality_rules.train(documents, _labels(spark, sf_dir))
@@ -44,5 +54,5 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
-        op1_sharding, op3_token_counts, op5_quality_rules, op7_mixing, op8_best_fit_packing)
+        op1_sharding, op2_toxicity, op3_token_counts, op4_personal_data, op5_quality_rules, op7_mixing, op8_best_fit_packing)
 }

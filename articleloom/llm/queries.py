@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from articleloom.llm import mixing, packing, pii, quality_rules, sharding, token_counts, toxicity
+from articleloom.llm import ann, mixing, packing, pii, quality_rules, sharding, token_counts, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(documents, forest)
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The copies in the order of their keys, without the texts."""
     mix = mixing.mixed(_documents(spark, sf_dir).select("doc_id", "source", "text"))
@@ -54,5 +58,6 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
-        op1_sharding, op2_toxicity, op3_token_counts, op4_personal_data, op5_quality_rules, op7_mixing, op8_best_fit_packing)
+        op1_sharding, op2_toxicity, op3_token_counts, op4_personal_data, op5_quality_rules,
+        op6_nearest_neighbours, op7_mixing, op8_best_fit_packing)
 }

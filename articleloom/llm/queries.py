@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from articleloom.llm import ann, mixing, packing, pii, quality_rules, sharding, token_counts, toxicity
+from articleloom.llm import ann, mixing, ngram_join, packing, pii, quality_rules, sharding, token_counts, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,8 +56,12 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_sharding, op2_toxicity, op3_token_counts, op4_personal_data, op5_quality_rules,
-        op6_nearest_neighbours, op7_mixing, op8_best_fit_packing)
+        op6_nearest_neighbours, op7_mixing, op8_best_fit_packing, op9_ngram_join)
 }

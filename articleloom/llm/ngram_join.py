@@ -74,6 +74,10 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(total)
 
 
+def _tag(number: int) -> np.uint64:
+    return np.uint64(number * int(_FACTORS[4]) % 2**64)
+
+
 def set_id(elements: np.ndarray) -> int:
     """A 64-bit hash of a whole set, as a signed number."""
     if not len(elements):
@@ -120,7 +124,7 @@ def signatures(elements: np.ndarray) -> tuple[np.ndarray, int]:
         segment = (elements >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)
         starts = np.flatnonzero(np.diff(segment, prepend=np.uint64(count)))
         ends = np.append(starts[1:], n)
-        tag = segment[starts] * _FACTORS[3] + np.uint64(top) * _FACTORS[4]
+        tag = segment[starts] * _FACTORS[3] + _tag(top)
         parts.append(mixed(sums[ends] - sums[starts] + tag))
         need = len(starts) - most_difference(n, min(top, largest))
         needs.append(need)
@@ -130,7 +134,7 @@ def signatures(elements: np.ndarray) -> tuple[np.ndarray, int]:
             each_in = several[each]
             parts.append(mixed((sums[ends] - sums[starts] + tag)[each][each_in] - hashed[each_in]))
             if need + several.sum() <= 0:
-                parts.append(mixed(hashed + np.uint64(_SINGLES + top) * _FACTORS[4]))
+                parts.append(mixed(hashed + _tag(_SINGLES + top)))
     return np.concatenate(parts), min(needs)
 
 
@@ -313,15 +317,8 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select("node", "component")
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document.
-
-    ``component_id`` is the smallest id among the documents that can be reached by links of similarity 0.75 or more on sets of
-    five-word shingles, its own included. A text of fewer words is one shingle; a null text or one without words has an
-    empty set, is linked with nothing and keeps its own id. Equal sets are linked whatever their ids; rows that repeat
-    an id are documents of their own. A document with a null id takes part, and its component id is that of the others, or null.
-    An empty table has no rows; other columns are not read.
-    """
+def grouped(documents: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component`` of every document; the component is a set's id, null for an empty set."""
     documents = documents.select("doc_id", "text")
     size = documents.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -365,8 +362,39 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     further = _links(pairs, documents, sets, "further_pairs")
     of = components(links.unionAll(further))
 
-    named = stored(filled.join(of.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "set_id").alias("component")), "named")
-    smallest = stored(named.groupBy("component").agg(F.min("doc_id").alias("component_id")), "smallest")
-    return named.join(smallest, "component").select("doc_id", "n_shingles", "component_id").unionAll(
-        rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    named = filled.join(of.withColumnRenamed("node", "set_id"), "set_id", "left").select(
+        "doc_id", "text_hash", "n_shingles", F.coalesce("component", "set_id").alias("component"))
+    empty = rows.where("n_shingles = 0").select("doc_id", "text_hash", "n_shingles", F.lit(None).cast("long").alias("component"))
+    return stored(named.unionAll(empty), "grouped")
+
+
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document.
+
+    ``component_id`` is the smallest id among the documents that can be reached by links of similarity 0.75 or more on sets of
+    five-word shingles, its own included. A text of fewer words is one shingle; a null text or one without words has an
+    empty set, is linked with nothing and keeps its own id. Equal sets are linked whatever their ids; rows that repeat
+    an id are documents of their own. A document with a null id takes part, and its component id is that of the others, or null.
+    An empty table has no rows; other columns are not read.
+    """
+    found = grouped(documents)
+    smallest = stored(found.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id")), "smallest")
+    return found.join(smallest, "component", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def one_of_each(documents: DataFrame) -> DataFrame:
+    """``documents`` with one row of each component: the smallest id, then the smallest hash of its text; null ids come last.
+
+    Rows with an empty set are no component and all stay, but of rows that repeat both id and text one stays.
+    """
+    found = grouped(documents)
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash").alias("row")
+    first = found.where("component IS NOT NULL").groupBy("component").agg(F.min(row).alias("row")).select("row.*")
+    kept = stored(first.unionAll(found.where("component IS NULL").select(row).select("row.*")).distinct(), "kept")
+    kept = kept.select(F.col("doc_id").alias("__of"), F.col("text_hash").alias("__hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("__of")) & (F.xxhash64("text") == F.col("__hash"))
+    joined = documents.join(kept, same, "left_semi")
+    if found.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count():
+        joined = joined.withColumn("__hash", F.xxhash64("text")).dropDuplicates(["doc_id", "__hash"])
+    return joined.select(*documents.columns)

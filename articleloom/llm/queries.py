@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from articleloom.llm import ann, mixing, ngram_join, packing, pii, quality_rules, sharding, token_counts, toxicity
+from articleloom.llm import ann, line_dedup, mixing, ngram_join, packing, pii, quality_rules, sharding, token_counts, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,8 +61,16 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_documents(spark, sf_dir))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers of the lines that are removed from each document, as text."""
+    found = line_dedup.removed_lines(_documents(spark, sf_dir))
+    return found.select(
+        "doc_id", F.col("lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"),
+        F.array_join("removed", ",").alias("removed_lines"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_sharding, op2_toxicity, op3_token_counts, op4_personal_data, op5_quality_rules,
-        op6_nearest_neighbours, op7_mixing, op8_best_fit_packing, op9_ngram_join)
+        op6_nearest_neighbours, op7_mixing, op8_best_fit_packing, op9_ngram_join, op10_line_dedup)
 }

@@ -212,8 +212,7 @@ def _thresholds(sample: DataFrame, contents: tuple[bytes, bytes]) -> tuple[int,
     return scores[max(scores)]
 
 
-def _evidence(documents: DataFrame, model: Model) -> DataFrame:
-    """``documents`` with ``best`` and ``count`` in place of the text."""
+def _evidence_udf(documents: DataFrame, model: Model):
     shared = documents.sparkSession.sparkContext.broadcast({"model": vars(model)})
 
     @F.arrow_udf("struct<best: int, count: int>")
@@ -227,8 +226,14 @@ def _evidence(documents: DataFrame, model: Model) -> DataFrame:
             [pa.array([best for best, _ in rows], pa.int32()), pa.array([count for _, count in rows], pa.int32())],
             ["best", "count"])
 
+    return found
+
+
+def _evidence(documents: DataFrame, model: Model) -> DataFrame:
+    """``documents`` with ``best`` and ``count`` in place of the text."""
     others = [name for name in documents.columns if name != "text"]
-    return documents.select(*others, found(F.col("text")).alias("found")).select(*others, "found.best", "found.count")
+    found = _evidence_udf(documents, model)(F.col("text")).alias("found")
+    return documents.select(*others, found).select(*others, "found.best", "found.count")
 
 
 def _weights(best, count, toxic, margin: int) -> tuple[float, float, float]:
@@ -242,6 +247,12 @@ def _weights(best, count, toxic, margin: int) -> tuple[float, float, float]:
     return tuple(float(weight) for weight in weights)
 
 
+def _chance(model: Model, best: Column, count: Column) -> Column:
+    constant, by_margin, by_count = model.weights
+    logit = constant + by_margin * (best - model.margin + 0.5) / 4 + by_count * F.log1p(count)
+    return 1 / (1 + F.exp(-logit))
+
+
 def toxicity(documents: DataFrame, model: Model | None) -> DataFrame:
     """``doc_id, held_out, score, predicted, best_margin, toxic_windows`` of every document, from its whole text.
 
@@ -253,9 +264,15 @@ def toxicity(documents: DataFrame, model: Model | None) -> DataFrame:
         return documents.select(
             "doc_id", held, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"),
             F.lit(0).alias("best_margin"), F.lit(0).alias("toxic_windows"))
-    constant, by_margin, by_count = model.weights
-    logit = (constant + by_margin * (F.col("best") - model.margin + 0.5) / 4 + by_count * F.log1p(F.col("count")))
-    scored = _evidence(documents.select("doc_id", "text"), model).withColumn("score", 1 / (1 + F.exp(-logit)))
+    scored = _evidence(documents.select("doc_id", "text"), model).withColumn("score", _chance(model, F.col("best"), F.col("count")))
     return scored.select(
         "doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
         F.col("best").alias("best_margin"), F.col("count").alias("toxic_windows"))
+
+
+def without_toxic(documents: DataFrame, model: Model | None) -> DataFrame:
+    """``documents`` whose score is below a half; all of them without a model."""
+    if model is None:
+        return documents
+    found = _evidence_udf(documents, model)(F.col("text"))
+    return documents.where(_chance(model, found["best"], found["count"]) < 0.5)

@@ -13,16 +13,35 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 import articleloom
+from articleloom.llm import line_dedup as lines
 from articleloom.llm import mixing as mix
+from articleloom.llm import ngram_join as join
 from articleloom.llm import packing
+from articleloom.llm import toxicity as toxic
 from articleloom.sources.scratch import stored
 
 # Tasks get the package's functions by value, so executors need no copy of it.
 cloudpickle.register_pickle_by_value(articleloom)
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted toxic, by the model learnt from the labels of the rows at hand."""
+    model = toxic.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxic.without_toxic(docs, model)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier line is similar to; one that loses all its words goes."""
+    return lines.without_lines(docs)
+
+
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near duplicates."""
+    return join.one_of_each(docs)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated to the target weights of their sources, in shuffled order; no draw leaves a document out of the rest."""
+    """Documents repeated to the target weights of their sources, in shuffled order."""
     return mix.mixed(docs).select(*docs.columns)
 
 
@@ -32,6 +51,9 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
+    ("ngram_join", ngram_join),
     ("mixing", mixing),
     ("best_fit_packing", best_fit_packing),
 ]

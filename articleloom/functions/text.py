@@ -8,8 +8,25 @@ from pyspark.sql import functions as F
 SNIPPET_LENGTH = 300
 
 
+# Stand-ins for an escaped "<" and ">" of XML text until tags are stripped: private-use characters, one for one, so
+# that lengths are those of the text.
+LESS, GREATER = "\ue03c", "\ue03e"
+
+
+def marked(xml: Column) -> Column:
+    """XML with its escaped inequality signs marked, so that no parser turns them into what looks like a tag."""
+    less = F.regexp_replace(xml, "&(lt|#0*60|#[xX]0*3[cC]);", LESS)
+    return F.regexp_replace(less, "&(gt|#0*62|#[xX]0*3[eE]);", GREATER)
+
+
+def unmarked(text: Column) -> Column:
+    """Text with the inequality signs themselves, once its tags are gone."""
+    return F.translate(text, LESS + GREATER, "<>")
+
+
 def clean(text: Column) -> Column:
     """Tags become spaces, whitespace runs become one space, ends are trimmed - in that order."""
+    # Both patterns.
     untagged = F.regexp_replace(text, "<[^>]+>", " ")
     return F.trim(F.regexp_replace(untagged, r"[\r\n\s]+", " "))
 

@@ -80,6 +80,7 @@ def chunk_articles(articles: DataFrame, size: int = CHUNK_SIZE, overlap: int = C
     return (
         articles.select(
             "text_id",
+            *(name for name in ["version"] if name in articles.columns),
             metadata("pmid", "pmid"),
             metadata("title", "title"),
             metadata("journal", "journal"),
@@ -93,22 +94,12 @@ def chunk_articles(articles: DataFrame, size: int = CHUNK_SIZE, overlap: int = C
         .filter(F.col("page_content").isNotNull())
         .select(
             F.concat_ws("#", "text_id", F.col("chunk_ix").cast("string")).alias("chunk_id"),
+            "text_id", *(name for name in ["version"] if name in articles.columns),
             "pmid", "title", "journal", "year", "source", "chunk_ix", "page_content",
         )
     )
 
 
-def most_chunks(articles: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> int:
-    """At least as many chunks as these articles can have, from their lengths alone.
-
-    Of any four chunks in a row the last starts ``size - overlap`` characters or more behind the
-    first: a short step, to a chunk that shares all but a piece or behind the rest of an
-    oversize piece, is followed by at most one other.
-    """
-    per_article = F.ceil(3 * F.col("text_length") / F.lit(size - overlap)) + 3
-    return articles.agg(F.sum(per_article)).first()[0] or 0
-
-
 def chunk_counts(chunks: DataFrame) -> DataFrame:
     """Chunks per article."""
     return chunks.groupBy("pmid").agg(F.count("*").alias("chunk_count"))

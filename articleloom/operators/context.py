@@ -25,7 +25,7 @@ def prompts(hits: DataFrame, template: str = PROMPT_TEMPLATE) -> DataFrame:
     """One prompt per question: its retrieved passages in rank order, and the question.
 
     The template is cut at its placeholders beforehand, so braces in a passage stay text. A
-    question has at most 20 passages, so the list collected per question is short.
+    list collected per question is as long as the passages it asked for.
     """
     before, found, rest = template.partition("{context}")
     between, asked, after = rest.partition("{question}")

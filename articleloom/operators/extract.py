@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from articleloom.functions.text import clean, text_or
+from articleloom.functions.text import clean, text_or, unmarked
 
+# The default, and below the paths of the elements.
 UNKNOWN = "unknown"
 META = "front.`article-meta`"
 
@@ -40,12 +41,16 @@ def citation_text(abstract: Column, body: Column) -> Column:
 
 
 def extract_fields(raw: DataFrame) -> DataFrame:
-    """One flat row per raw article; every absent part has a default, so no row is lost here."""
+    """One flat row per raw article; every absent part has a default, so no row is lost here.
+
+    Inequality signs in ``citation_text`` stay marked until it is cleaned. ``malformed`` is passed on if it is there.
+    """
     return raw.select(
         article_key(F.col(f"{META}.`article-id`")).alias("pmid"),
-        text_or(clean(F.col(f"{META}.`title-group`.`article-title`")), UNKNOWN).alias("article_title"),
-        text_or(F.col("front.`journal-meta`.`journal-title-group`.`journal-title`"), UNKNOWN).alias("journal"),
+        text_or(unmarked(clean(F.col(f"{META}.`title-group`.`article-title`"))), UNKNOWN).alias("article_title"),
+        text_or(unmarked(F.col("front.`journal-meta`.`journal-title-group`.`journal-title`")), UNKNOWN).alias("journal"),
         print_year(F.col(f"{META}.`pub-date`")).alias("year"),
         citation_text(abstract_text(F.col(f"{META}.abstract.p")), F.col("body")).alias("citation_text"),
         "ref_id",
+        *(name for name in ["malformed"] if name in raw.columns),
     )

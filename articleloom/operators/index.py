@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from articleloom.functions.embedding import DIMS, term_vector, vector_length
+from articleloom.operators.chunk import CHUNK_OVERLAP, CHUNK_SIZE, chunk_articles
 from articleloom.schemas import CHUNK_INDEX
-from articleloom.sources.tables import open_chunk_index
 
-ID_BYTES = 64 << 20  # ids of new chunks up to this size are sent to all tasks
-CHUNK_ID_BYTES = 128  # of one such id in a hash table: a hash and a number
+ID_BYTES = 64 << 20  # ids of articles up to this size are sent to all tasks
+ARTICLE_ID_BYTES = 256  # of one such id in a hash table: two hashes
 
 
 def embed_chunks(chunks: DataFrame, dims: int = DIMS) -> DataFrame:
@@ -47,29 +47,73 @@ def _index_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def new_chunks(chunks: DataFrame, stored: DataFrame, at_most: int | None = None) -> DataFrame:
-    """Chunks whose ids are not among the stored ones.
+def with_version(articles: DataFrame, size: int, overlap: int) -> DataFrame:
+    """Articles with ``version``: a hash of all that their chunks hold and how they are cut."""
+    parts = [F.coalesce(F.col(name).cast("string"), F.lit("")) if name in articles.columns else F.lit("")
+             for name in ("pmid", "title", "journal", "year", "ref_id", "content")]
+    return articles.withColumn("version", F.sha2(F.concat_ws("\n", F.lit(size), F.lit(overlap), *parts), 256))
 
-    If it is known that there are ``at_most`` so many chunks and their ids are small enough to
-    send to all tasks, nothing is shuffled, however many are stored.
+
+def stored_articles(index: DataFrame) -> DataFrame:
+    """``text_id, version, batch`` of every article ever added: a narrow read, one row for each first chunk."""
+    return index.filter(F.col("chunk_ix") == 0).select("text_id", "version", "batch")
+
+
+def current_chunks(index: DataFrame, max_bytes: int = ID_BYTES) -> DataFrame:
+    """The chunks of the newest version of each article, with the ``_metadata`` of their files as a column.
+
+    If no article was ever replaced the index is scanned as it is. Else the replaced versions are taken out: they are
+    sent to all tasks if their ids are few, and joined by hash if not.
     """
-    ids = stored.select("chunk_id")
-    if at_most is not None and at_most * CHUNK_ID_BYTES <= ID_BYTES:
-        known = ids.join(F.broadcast(chunks.select("chunk_id")), "chunk_id", "left_semi").distinct()
-        ids = F.broadcast(known)
-    return chunks.join(ids, "chunk_id", "left_anti")
+    # As a column, as a join would hide it.
+    index = index.select("*", "_metadata")
+    added = stored_articles(index)
+    newest = added.groupBy("text_id").agg(F.max("batch").alias("newest"), F.count("*").alias("times"))
+    replaced_times = newest.agg(F.sum(F.col("times") - 1)).first()[0] or 0
+    if not replaced_times:
+        return index
+    replaced = added.join(newest, "text_id").filter("batch < newest").select("text_id", "batch")
+    few = replaced_times * ARTICLE_ID_BYTES <= max_bytes
+    return index.join(F.broadcast(replaced) if few else replaced.hint("shuffle_hash"), ["text_id", "batch"], "left_anti")
+
+
+def new_articles(articles: DataFrame, index: DataFrame | None, max_bytes: int = ID_BYTES) -> DataFrame:
+    """Articles, with their version, that the index does not hold as they are now; each id once.
+
+    Ids and versions decide, before anything is chunked. If the new ones are few they are sent to all tasks, and
+    the texts of the articles are not shuffled; nor are those of the index, of which only ids are read. Of several
+    versions of one id in a batch the lowest is taken.
+    """
+    narrow = articles.groupBy("text_id").agg(F.min("version").alias("version"), F.count("*").alias("times"))
+    if index is not None:
+        newest = stored_articles(index).groupBy("text_id").agg(F.max_by("version", "batch").alias("version"))
+        narrow = narrow.join(newest, ["text_id", "version"], "left_anti")
+    fresh, times = narrow.agg(F.count("*"), F.coalesce(F.sum("times"), F.lit(0))).first()
+    if not fresh:
+        return articles.limit(0)
+    wanted = narrow.select("text_id", "version")
+    few = fresh * ARTICLE_ID_BYTES <= max_bytes
+    found = articles.join(F.broadcast(wanted) if few else wanted.hint("shuffle_hash"), ["text_id", "version"], "left_semi")
+    return found.dropDuplicates(["text_id"]) if times > fresh else found
 
 
 def append_to_index(
-    chunks: DataFrame, path: str, embed: Callable[[DataFrame], DataFrame] = embed_chunks, at_most: int | None = None,
+    articles: DataFrame, path: str, embed: Callable[[DataFrame], DataFrame] = embed_chunks,
+    size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, max_bytes: int = ID_BYTES,
 ) -> None:
-    """Add the chunks that the index at ``path`` does not hold yet, creating it if need be.
+    """Chunk, embed and add the articles that the index at ``path`` does not hold as they are now, creating it if need be.
 
-    Running it again, or over a corpus that overlaps an earlier one, adds nothing twice. Of
-    the stored index only the ids are read, and only new chunks are embedded. ``at_most`` is a
-    bound on the number of chunks, if one is known.
+    Running it again, or over articles that overlap an earlier run, adds nothing twice. An article whose text or
+    metadata has changed, or that is cut in another way, is added anew under its id; readers take the newest version.
     """
-    spark = chunks.sparkSession
-    if _index_exists(spark, path):
-        chunks = new_chunks(chunks, open_chunk_index(spark, path), at_most)
+    spark = articles.sparkSession
+    index = spark.read.schema(CHUNK_INDEX).parquet(path) if _index_exists(spark, path) else None
+    batch = 0 if index is None else (stored_articles(index).agg(F.max("batch")).first()[0] or 0) + 1
+    fresh = new_articles(with_version(articles, size, overlap), index, max_bytes)
+    chunks = chunk_articles(fresh, size, overlap).withColumn("batch", F.lit(batch).cast("long"))
     embed(chunks).select(*CHUNK_INDEX.names).write.mode("append").parquet(path)
+
+
+def open_chunk_index(spark: SparkSession, path: str, max_bytes: int = ID_BYTES) -> DataFrame:
+    """The chunks in the stored index, of the newest version of each article; a missing path is an error."""
+    return current_chunks(spark.read.schema(CHUNK_INDEX).parquet(path), max_bytes)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ MIN_CONTENT_LENGTH = 50
 
 REPEATED_BYTES = 64 << 20  # ids of repeated rows up to this size are sent to all tasks
 REPEATED_ROW_BYTES = 24  # of one such id in a hash table
+REPEATED_NAMES_BYTES = 256  # of one such row named by key, file and fingerprint
 
 
 def has_enough_text(text: Column, minimum: int = MIN_CONTENT_LENGTH) -> Column:
@@ -43,12 +46,15 @@ def drop_blank_content(df: DataFrame, column: str = "content") -> DataFrame:
 
 
 def quality_funnel(extracted: DataFrame, usable: Column | None = None) -> DataFrame:
-    """One row, one pass: articles read, kept and dropped. ``usable`` names the verdict if it is stored."""
+    """One row, one pass: articles read, kept and dropped. ``usable`` names the verdict if it is stored.
+
+    If there is a column ``malformed``, the dropped ones that could not be parsed are counted by themselves as well.
+    """
     kept = is_usable() if usable is None else usable
-    return (
-        extracted.agg(F.count("*").alias("initial_count"), F.count_if(kept).alias("kept_count"))
-        .withColumn("dropped_count", F.col("initial_count") - F.col("kept_count"))
-    )
+    counts = [F.count("*").alias("initial_count"), F.count_if(kept).alias("kept_count")]
+    if "malformed" in extracted.columns:
+        counts.append(F.count_if("malformed").alias("malformed_count"))
+    return extracted.agg(*counts).withColumn("dropped_count", F.col("initial_count") - F.col("kept_count"))
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -67,15 +73,40 @@ def keep_first_stored(
     """As ``keep_first``, for a stored table whose rows have a unique whole-number id.
 
     Only the named columns are read to find the rows that are not first. If they are few, they
-    are sent to all tasks and the rest of the table is neither shuffled nor sorted; else the
-    table goes through ``keep_first``. Keys must not be null.
+    are sent to all tasks and the rest of the table is neither shuffled nor sorted; else it is shuffled
+    once, by the row id, and not sorted. Keys must not be null.
     """
     narrow = stored.select(row_id, key, *order)
     rows, keys = narrow.agg(F.count("*"), F.count_distinct(key)).first()
     if rows == keys:
         return stored
-    if (rows - keys) * REPEATED_ROW_BYTES > max_bytes:
-        return keep_first(stored, [key], [F.col(name) for name in (*order, row_id)])
     first = narrow.groupBy(key).agg(F.min(F.struct(*order, row_id)).alias("first")).select(f"first.{row_id}")
     repeated = narrow.select(row_id).join(first, row_id, "left_anti")
-    return stored.join(F.broadcast(repeated), row_id, "left_anti").select(*stored.columns)
+    few = (rows - keys) * REPEATED_ROW_BYTES <= max_bytes
+    repeated = F.broadcast(repeated) if few else repeated.hint("shuffle_hash")
+    return stored.join(repeated, row_id, "left_anti").select(*stored.columns)
+
+
+def keep_first_of_source(
+    df: DataFrame, key: str, order: Sequence[str], max_bytes: int = REPEATED_BYTES,
+) -> DataFrame:
+    """As ``keep_first``, for a frame that is cheap to read again and has no row id: key and order tell rows apart.
+
+    The named columns alone decide which rows are not first. If these are few they are sent to all tasks, else the rows
+    are moved once, by hash; the other columns are never sorted. Only if rows repeat in key and order, which
+    nothing can tell apart, does the frame go through ``keep_first``. Keys must not be null.
+    """
+    names = [key, *order]
+    narrow = df.select(*names).groupBy(*names).agg(F.count("*").alias("rows"))
+    distinct, rows, keys = narrow.agg(F.count("*"), F.sum("rows"), F.count_distinct(key)).first()
+    if not distinct or rows == keys:
+        return df
+    if rows > distinct:
+        return keep_first(df, [key], [F.col(name) for name in order])
+    first = narrow.groupBy(key).agg(F.min(F.struct(*order)).alias("first"))
+    later = (
+        narrow.select(*names).join(first, key).where(F.struct(*order) != F.col("first"))
+        .select(*(F.col(name).alias(f"_later_{name}") for name in names)))
+    few = (rows - keys) * REPEATED_NAMES_BYTES <= max_bytes
+    same = reduce(and_, (F.col(name).eqNullSafe(F.col(f"_later_{name}")) for name in names))
+    return df.join(F.broadcast(later) if few else later.hint("shuffle_hash"), same, "left_anti")

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from articleloom.functions.lexicon import DEFAULT_DOMAIN, MEDICAL_DOMAINS, Lexicon, classify
-from articleloom.functions.text import clean, stable_id
+from articleloom.functions.text import clean, stable_id, unmarked
 from articleloom.operators.extract import extract_fields
-from articleloom.operators.quality import keep_first, keep_usable
+from articleloom.operators.quality import keep_first_of_source, keep_usable
 from articleloom.schemas import ARTICLES
 
 
@@ -27,7 +27,7 @@ def finish(survivors: DataFrame, lexicon: Lexicon = MEDICAL_DOMAINS, default: st
     return (
         survivors.withColumnRenamed("article_title", "title")
         .withColumn("text_id", stable_id(F.col("ref_id"), F.col("pmid")))
-        .withColumn("content", clean(F.col("citation_text")))
+        .withColumn("content", unmarked(clean(F.col("citation_text"))))
         .withColumn("domain", classify(F.col("content"), lexicon, default))
         .withColumn("text_length", F.length("content"))
         .withColumn("processed_time", F.current_timestamp())
@@ -40,11 +40,12 @@ def process_extracted(
 ) -> DataFrame:
     """Filter, deduplicate, clean and classify; the schema is the same for no rows at all.
 
-    Duplicates go first, so that only survivors are cleaned and classified. One scan, one
-    shuffle. Of several articles with one key the first by ``FIRST_BY`` survives.
+    Duplicates go first, so that only survivors are cleaned and classified. Keys, files and fingerprints decide which
+    rows those are; texts are not sorted for it, and not shuffled if repeats are few. Of several articles
+    with one key the first by ``FIRST_BY`` survives.
     """
     survivors = extracted.transform(keep_usable).transform(with_fingerprint).transform(
-        keep_first, ["pmid"], [F.col(name) for name in FIRST_BY])
+        keep_first_of_source, "pmid", FIRST_BY)
     return finish(survivors, lexicon, default)
 
 

@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 from articleloom.operators.context import valid_questions
 from articleloom.operators.index import embed_questions
 from articleloom.operators.nearest import BATCH_BYTES, QuestionBatch, nearest
-from articleloom.sources.scratch import scratch_path
-
-MAX_FILES = 1000  # so many files are picked out one by one; hits in more are read from the whole index
+from articleloom.sources.scratch import stored
 
 
 def search_chunks(questions: DataFrame, index: DataFrame, metric: str = "cosine") -> DataFrame:
@@ -19,28 +17,23 @@ def search_chunks(questions: DataFrame, index: DataFrame, metric: str = "cosine"
 
 
 def retrieve(
-    questions: DataFrame, index: DataFrame, metric: str = "cosine", max_bytes: int = BATCH_BYTES,
+    questions: DataFrame, index: DataFrame, metric: str = "cosine", max_bytes: int = BATCH_BYTES, few_hits: bool = True,
 ) -> DataFrame:
     """The nearest chunks of each question in a stored index, with their content and metadata.
 
-    The search reads ids and vectors, and its hits are stored with the files they lie in. If
-    there are few hits, only those files are read for the content and the hits are sent to all
-    tasks; else hits and chunks are joined on the chunk id. Both give the same rows.
+    The search reads ids and vectors, and its hits are stored with the files they lie in. Only those files are
+    read for the content, however many they are. Hits that are few are sent to all tasks; else hits and chunks are
+    joined on the chunk id. Both give the same rows.
     """
     asked = valid_questions(questions)
     batch = QuestionBatch.of(embed_questions(asked), max_bytes)
-    path = scratch_path(questions.sparkSession, "hits")
     located = index.select("chunk_id", "embedding", F.col("_metadata.file_path").alias("file"))
-    found = nearest(batch, located, vector_id="chunk_id", metric=metric, carry=["file"])
-    found.write.parquet(path)
-    hits = questions.sparkSession.read.schema(found.schema).parquet(path)
-    chunks = index
-    if batch.has_few_hits:
-        files = [row["file"] for row in hits.select("file").distinct().limit(MAX_FILES + 1).collect()]
-        if len(files) <= MAX_FILES:
-            chunks = chunks.filter(F.col("_metadata.file_path").isin(files))
-        hits = F.broadcast(hits.drop("file"))
-    else:
-        hits = hits.drop("file")
+    hits = stored(nearest(batch, located, vector_id="chunk_id", metric=metric, carry=["file"]), "hits")
+    # Not more than the files of the index, whose list the driver holds in any case.
+    files = [row["file"] for row in hits.select("file").distinct().collect()]
+    chunks = index.filter(F.col("_metadata.file_path").isin(files) if files else F.lit(False))
     chunks = chunks.select("chunk_id", "pmid", "title", "journal", "year", "source", "page_content")
+    hits = hits.drop("file")
+    if batch.has_few_hits and few_hits:
+        hits = F.broadcast(hits)
     return chunks.join(hits, "chunk_id").join(asked.select("question_id", "question"), "question_id")

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 # Elements with inline markup (titles, paragraphs, body) are declared as strings:
 # the XML source then returns their inner markup in document order.
+# The elements' names.
 RAW_ARTICLE = T.StructType([
     T.StructField("front", T.StructType([
         T.StructField("journal-meta", T.StructType([
@@ -33,7 +34,7 @@ RAW_ARTICLE = T.StructType([
     T.StructField("body", T.StringType()),
 ])
 
-# A year is text everywhere, so "unknown" and "" can be told apart from a number.
+# A year is text everywhere: "unknown" is no number. The names of the columns.
 ARTICLES = T.StructType([
     T.StructField("text_id", T.StringType()),
     T.StructField("ref_id", T.StringType()),
@@ -47,13 +48,17 @@ ARTICLES = T.StructType([
     T.StructField("processed_time", T.TimestampType()),
 ])
 
+# Fixed values.
 SUMMARY_COLUMNS = ["text_id", "pmid", "title", "domain", "year", "journal"]
 
 SUMMARY = T.StructType([T.StructField(name, T.StringType()) for name in SUMMARY_COLUMNS])
 
-# One row per chunk; the index table adds `embedding`.
+# One row per chunk. `version` names what the article was when it was cut, `batch` the run that added it.
 CHUNK_INDEX = T.StructType([
     T.StructField("chunk_id", T.StringType()),
+    T.StructField("text_id", T.StringType()),
+    T.StructField("version", T.StringType()),
+    T.StructField("batch", T.LongType()),
     T.StructField("pmid", T.StringType()),
     T.StructField("title", T.StringType()),
     T.StructField("journal", T.StringType()),

@@ -5,35 +5,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from articleloom.functions.text import marked
 from articleloom.schemas import RAW_ARTICLE
 
-# How article files are read.
+# How articles are parsed.
 READ_OPTIONS = {
     "rowTag": "article",
     "attributePrefix": "_",
     "nullValue": "",  # an empty element is null
     "ignoreSurroundingSpaces": "true",
-    # This parser looks for article elements one by one: they need no common root, and one
-    # that is broken does not end the file.
-    "useLegacyXMLParser": "true",
 }
 
+END = "</article>"
+# The start of an article, and not of an element whose name begins alike.
+START = r"<article[\s/>]"
 
-def read_articles_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Raw articles under ``path`` with the file each came from as ``ref_id``.
 
-    An article that cannot be parsed is a row of nulls, which carries no key and is dropped
-    with every other article that has none.
+def read_articles_xml(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Raw articles under ``path`` with the file each came from as ``ref_id``, and whether it is ``malformed``.
+
+    Files are cut at the end tags of articles, so a large file is read by many tasks, and articles need no common
+    root. What comes before the last start tag of a piece is left out: an article without an end costs itself
+    only. An article that cannot be parsed is a row of nulls, which carries no key and is dropped with every
+    other article that has none. Escaped inequality signs stay apart from tags; see ``marked``.
     """
-    return (
-        spark.read.format("xml").options(**READ_OPTIONS).schema(RAW_ARTICLE).load(path)
-        .select("*", F.col("_metadata.file_path").alias("ref_id"))
-    )
+    pieces = (
+        spark.read.option("lineSep", END).text(path)
+        .select(F.regexp_extract("value", rf"(?s).*({START}.*)", 1).alias("xml"), F.col("value"), F.col("_metadata.file_path").alias("ref_id")))
+    whole = F.when(F.endswith(F.col("xml"), F.lit("/>")) & ~F.contains(F.col("xml"), F.lit("</")), F.col("xml")).otherwise(
+        F.concat("xml", F.lit(END)))
+    parsed = pieces.filter("xml <> ''").select(F.from_xml(marked(whole), RAW_ARTICLE, READ_OPTIONS).alias("article"), "ref_id")
+    return parsed.select(
+        "article.*", "ref_id", (F.col("article.front").isNull() & F.col("article.body").isNull()).alias("malformed"))
+
 
+def article_paths(spark: SparkSession, path: str) -> DataFrame:
+    """``path`` and ``length`` of the files below a folder, from their listing: no content is read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
 
-def sample_articles(raw: DataFrame, n: int = 5) -> DataFrame:
-    """Keys, title and abstract paragraphs of the ``n`` first articles by file."""
+
+def sample_articles(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
+    """Keys, title and abstract paragraphs of the ``n`` first articles by file.
+
+    Only the files with the lowest paths are parsed: ``n`` of them, and twice as many as long as they hold too few articles.
+    """
     meta = "front.`article-meta`"
+    listed = article_paths(spark, path).select("path").orderBy("path")
+    files = n
+    while True:
+        paths = [row["path"] for row in listed.limit(files).collect()]
+        if not paths:
+            raise ValueError(f"no files in {path}")
+        raw = read_articles_xml(spark, paths)
+        if len(paths) < files or raw.limit(n).count() == n:
+            break
+        files *= 2
     return (
         raw.select(
             "ref_id",

@@ -124,7 +124,7 @@ def weights(source: str, key: str, text: str) -> str:
         FROM ({term_counts(source, key, text)})"""
 
 
-def knn(metric: str) -> str:
+def knn(metric: str, wanted: str = "q.label % 3 + 4") -> str:
     def total(terms: str) -> str:
         return f"list_sum(list_transform(list_zip(q.embedding, v.embedding), lambda z: {terms}))"
 
@@ -138,7 +138,7 @@ def knn(metric: str) -> str:
         SELECT question_id, vec_id, CAST(rank AS INTEGER) AS rank, round(distance, 6) + 0.0 AS distance
         FROM (
             SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY distance, vec_id) AS rank
-            FROM (SELECT q.vec_id AS question_id, q.label % 3 + 4 AS top_k, v.vec_id, {distance} AS distance
+            FROM (SELECT q.vec_id AS question_id, {wanted} AS top_k, v.vec_id, {distance} AS distance
                   FROM embeddings q, embeddings v))
         WHERE rank <= top_k"""
 
@@ -174,18 +174,45 @@ ORACLES: dict[str, str] = {
     "processed_articles": f"WITH {processed()} SELECT * FROM processed",
 
     "sample_articles": f"""
-        SELECT 'doc-' || doc_id AS ref_id,
-               CASE WHEN n_chars < 100 THEN NULL WHEN n_chars < 200 THEN '10.1/' || doc_id
+        SELECT lang, CASE WHEN n_chars < 100 THEN NULL WHEN n_chars < 200 THEN '10.1/' || doc_id
                     ELSE '10.1/' || doc_id || '|' || doc_id END AS article_ids,
-               CASE WHEN lang <> 'fr' THEN 'Part <i>' || doc_id || '</i>' END AS article_title,
-               CASE WHEN lang <> 'es' THEN replace(text, chr(10), '|') END AS abstract
-        FROM documents ORDER BY 1 LIMIT 5""",
+               'Part <i>' || doc_id || '</i>' AS article_title,
+               array_to_string([line FOR line IN split(text, chr(10)) IF trim(line) <> ''], '|') AS abstract
+        FROM documents WHERE lang = 'de'
+        ORDER BY CASE WHEN n_chars < 100 THEN NULL ELSE '10.1/' || doc_id END NULLS FIRST LIMIT 5""",
     "xml_roundtrip_ids": f"WITH {RAW} SELECT pmid, article_title, journal, year FROM raw",
     "xml_articles": XML_ARTICLES,
     "stored_articles": XML_ARTICLES,
+    "store_empty_run": XML_ARTICLES,
+    "xml_ref_ids": f"WITH {RAW} SELECT lang, pmid FROM raw JOIN documents ON ref_id = 'doc-' || doc_id",
+    "xml_inequalities": r"""
+        SELECT CAST(doc_id AS VARCHAR) AS pmid,
+               trim(regexp_replace(CASE WHEN lang = 'es' THEN '' ELSE replace(text, chr(10), ' ') END
+                    || ' p < 0.05 in ' || text || ' and age > 60', '[\r\n\s\x0B]+', ' ', 'g')) AS content
+        FROM documents WHERE lang <> 'de' AND n_chars >= 200""",
+    "xml_funnel": f"""
+        WITH {RAW}, fields AS (SELECT raw.*, lang FROM raw JOIN documents ON ref_id = 'doc-' || doc_id),
+        verdicts AS (
+            SELECT lang, lang <> 'fr' AND length(trim(citation_text)) > 50 AND coalesce(pmid <> 'unknown', false) AS usable
+            FROM fields)
+        SELECT count(*) AS initial_count, count(*) FILTER (usable) AS kept_count,
+               count(*) FILTER (lang = 'fr') AS malformed_count, count(*) FILTER (NOT usable) AS dropped_count
+        FROM verdicts""",
+    "processed_times": f"WITH {processed()} SELECT pmid, true AS is_stamped FROM processed",
+    "report_job": f"""
+        WITH {BY_LANGUAGE}
+        SELECT 'overview' AS report, domain AS key,
+               count(*) || ' ' || CAST(CAST(round(avg(text_length), 3) AS DECIMAL(20, 3)) AS VARCHAR) AS value
+        FROM processed GROUP BY domain
+        UNION ALL (
+            SELECT 'years', year, CAST(count(*) AS VARCHAR) FROM processed WHERE year <> ''
+            GROUP BY year ORDER BY year DESC LIMIT 20)
+        UNION ALL SELECT 'sample_titles', domain, arg_min(title, text_id) FROM processed GROUP BY domain
+        UNION ALL SELECT 'domain_count', 'french', CAST(count(*) AS VARCHAR) FROM processed WHERE domain = 'french'""",
     "xml_roundtrip_year": f"WITH {RAW} SELECT ref_id, year, pmid FROM raw",
     "partitioned_roundtrip": f"WITH {BY_LANGUAGE} SELECT * REPLACE (nullif(year, '') AS year) FROM processed",
     "parquet_tree": "SELECT doc_id, text, CAST(NULL AS VARCHAR) AS source FROM documents",
+    "skipped_files": "SELECT 'broken.parquet' AS file",
     "summary_json_roundtrip": f"WITH {BY_LANGUAGE} SELECT text_id, pmid, title, domain, year, journal FROM processed",
     "output_partition_plan": """
         SELECT count(*) AS row_count,
@@ -205,6 +232,14 @@ ORACLES: dict[str, str] = {
         {chunked("both_sources", ", pmid, coalesce(title, 'N/A') AS title, ref_id AS source")}
         SELECT pmid, title, source, count(*) AS chunk_count, CAST(sum(length(page_content)) AS BIGINT) AS characters
         FROM chunks GROUP BY ALL""",
+    "index_changed_articles": f"""
+        WITH RECURSIVE {processed()},
+        changed AS (
+            SELECT * REPLACE (CASE WHEN title LIKE '% in de' THEN 'neu und ' || content ELSE content END AS content)
+            FROM processed),
+        {chunked("changed", ", pmid")}
+        SELECT pmid, chunk_ix, page_content FROM chunks""",
+    "index_job": f"{CHUNKED} SELECT pmid, chunk_ix, page_content FROM chunks",
     "corpus_status": f"""
         {CHUNKED} SELECT count(*) AS total_chunks, count(DISTINCT pmid) AS total_articles FROM chunks""",
 
@@ -249,6 +284,10 @@ ORACLES: dict[str, str] = {
         SELECT pmid, ref_id, article_title, citation_text FROM extracted
         QUALIFY row_number() OVER (PARTITION BY pmid ORDER BY ref_id) = 1""",
 
+    "dedup_stored_large": f"""
+        WITH {EXTRACTED}
+        SELECT pmid, ref_id, article_title, citation_text FROM extracted
+        QUALIFY row_number() OVER (PARTITION BY pmid ORDER BY ref_id) = 1""",
     "domain_counts": f"WITH {BY_LANGUAGE} SELECT domain, count(*) AS count FROM processed GROUP BY 1",
     "domain_overview": f"""
         WITH {BY_LANGUAGE}
@@ -267,6 +306,14 @@ ORACLES: dict[str, str] = {
             SELECT CAST(doc_id AS VARCHAR) AS text_id, {clean('text')} AS content FROM documents),
         {chunked('cleaned')}
         SELECT chunk_id, chunk_ix, page_content FROM chunks""",
+    "chunk_long_words": f"""
+        WITH joined AS (SELECT doc_id, replace({clean('text')}, ' ', '') AS content FROM documents),
+        cuts AS (
+            SELECT *, unnest(CASE WHEN length(content) < 1000 THEN [0] ELSE range(0, length(content) - 200, 800) END) AS start
+            FROM joined WHERE content <> '')
+        SELECT doc_id || '#' || start // 800 AS chunk_id, CAST(start // 800 AS INTEGER) AS chunk_ix,
+               substr(content, start + 1, 1000) AS page_content
+        FROM cuts""",
     "chunk_metadata": f"{CHUNKED} SELECT chunk_id, pmid, title, 'N/A' AS journal, year, source, chunk_ix FROM chunks",
     "chunk_counts": f"{CHUNKED} SELECT pmid, count(*) AS chunk_count FROM chunks GROUP BY 1",
     "chunk_term_vectors": f"{CHUNKED} {weights('chunks', 'chunk_id', 'page_content')}",
@@ -277,6 +324,7 @@ ORACLES: dict[str, str] = {
     "knn_cosine": knn("cosine"),
     "knn_l2_blocks": knn("l2"),
     "knn_cosine_blocks": knn("cosine"),
+    "knn_fifty": knn("l2", "50"),
     "knn_single": """
         WITH means AS (
             SELECT position, avg(value::DOUBLE) AS mean
@@ -297,6 +345,11 @@ ORACLES: dict[str, str] = {
                       CASE WHEN length(page_content) > 300 THEN substr(page_content, 1, 300) || '...'
                            ELSE page_content END AS content
         FROM hits JOIN chunks USING (chunk_id)""",
+    "answered_questions": f"""
+        {HITS} SELECT question_id, rank, pmid, title,
+                      CASE WHEN length(page_content) > 300 THEN substr(page_content, 1, 300) || '...'
+                           ELSE page_content END AS content
+        FROM hits JOIN chunks USING (chunk_id)""",
     "reference_labels": f"""
         {HITS} SELECT question_id, rank, '[' || rank || '] PMID: ' || pmid AS label, title
         FROM hits JOIN chunks USING (chunk_id)""",

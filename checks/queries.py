@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from articleloom.functions import text
@@ -52,8 +52,8 @@ def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chunk index of all documents, written once and opened again."""
     path = scratch_path(spark, "chunk_index")
-    index.append_to_index(document_chunks(spark, sf_dir), path)
-    return tables.open_chunk_index(spark, path)
+    index.append_to_index(processed(spark, sf_dir), path)
+    return index.open_chunk_index(spark, path)
 
 
 # Flagship
@@ -67,20 +67,41 @@ def processed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sources and sinks
 
 
+def folder_of(ref_id: str) -> Column:
+    """The language in the path of a file that ``write_xml`` wrote by language."""
+    return F.regexp_extract(ref_id, "lang=([a-z]+)/", 1)
+
+
 @query
 def sample_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sample = articles_xml.sample_articles(raw_documents(spark, sf_dir))
+    """From one file for each language, of which the first holds German."""
+    path = scratch_path(spark, "articles_xml")
+    write_xml(by_language(spark, sf_dir).coalesce(1), path)
+    sample = articles_xml.sample_articles(spark, path)
     return sample.select(
-        "ref_id",
+        folder_of("ref_id").alias("lang"),
         F.array_join("article_ids", "|").alias("article_ids"),
         "article_title",
         F.array_join(F.flatten(F.filter("abstract", lambda p: p.isNotNull())), "|").alias("abstract"),
     )
 
 
+def as_xml() -> Column:
+    """A raw article as XML text; the mark-up in titles, which the writer takes for text, is mark-up again."""
+    xml = F.to_xml(F.struct("front", "body"), {"rowTag": "article", "attributePrefix": "_"})
+    return F.regexp_replace(xml, "&lt;(/?i)(&gt;|>)", "<$1>")
+
+
 def write_xml(raw: DataFrame, path: str) -> None:
-    options = {"rootTag": "articles", "rowTag": "article", "attributePrefix": "_"}
-    raw.drop("ref_id").write.format("xml").options(**options).save(path)
+    """Raw articles as XML files, below a folder for each language if there is such a column."""
+    folders = [name for name in ["lang"] if name in raw.columns]
+    raw.select(as_xml().alias("value"), *folders).write.partitionBy(*folders).text(path)
+
+
+def by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw documents with their language, which ``ref_id`` leads back to."""
+    languages = table(spark, sf_dir, "documents").select(F.format_string("doc-%d", "doc_id").alias("ref_id"), "lang")
+    return raw_documents(spark, sf_dir).join(languages, "ref_id")
 
 
 def xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +132,67 @@ def stored_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_partitioned_articles(spark, articles).drop("text_id", "ref_id", "processed_time")
 
 
+@query
+def store_empty_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents are stored, then a run without a usable article: the first rows are still there."""
+    xml, empty, articles, summary = (scratch_path(spark, name) for name in ("articles_xml", "empty_xml", "articles", "summary"))
+    raw = raw_documents(spark, sf_dir)
+    write_xml(raw, xml)
+    write_xml(raw.withColumn("body", F.lit(None).cast("string")).withColumn("front", F.lit(None).cast(raw.schema["front"].dataType)), empty)
+    for path in (xml, empty):
+        jobs.store_articles(spark, path, articles, summary)
+    return tables.read_partitioned_articles(spark, articles).drop("text_id", "ref_id", "processed_time")
+
+
+@query
+def xml_ref_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each article with the file it came from, of which there is one folder for each language."""
+    path = scratch_path(spark, "articles_xml")
+    write_xml(by_language(spark, sf_dir), path)
+    fields = articles_xml.read_articles_xml(spark, path).transform(extract.extract_fields)
+    return fields.select(folder_of("ref_id").alias("lang"), "pmid")
+
+
+@query
+def xml_inequalities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents between inequality signs, which are escaped in XML: nothing between them is lost."""
+    path = scratch_path(spark, "articles_xml")
+    body = F.concat(F.lit("p < 0.05 in "), F.col("body"), F.lit(" and age > 60"))
+    write_xml(raw_documents(spark, sf_dir).filter("body IS NOT NULL").withColumn("body", body), path)
+    return articles_xml.read_articles_xml(spark, path).transform(process_articles).select("pmid", "content")
+
+
+@query
+def xml_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The funnel over files in which French articles lack an end tag."""
+    path = scratch_path(spark, "articles_xml")
+    broken = F.when(F.col("lang") == "fr", F.replace(as_xml(), F.lit("</front>"), F.lit(""))).otherwise(as_xml())
+    by_language(spark, sf_dir).select(broken.alias("value")).write.text(path)
+    return quality.quality_funnel(extract.extract_fields(articles_xml.read_articles_xml(spark, path)))
+
+
+@query
+def processed_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return processed(spark, sf_dir).select("pmid", F.col("processed_time").isNotNull().alias("is_stamped"))
+
+
+@query
+def report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reports of the job over the stored articles, in one table."""
+    path = scratch_path(spark, "articles")
+    sinks.write_articles(processed_by_language(spark, sf_dir), path)
+    reports = jobs.report_articles(spark, path, "french")
+    shapes = {
+        "overview": ("domain", F.concat_ws(" ", "document_count", F.round("avg_length", 3).cast("decimal(20,3)"))),
+        "years": ("year", F.col("count").cast("string")),
+        "sample_titles": ("domain", F.col("sample_title")),
+        "domain_count": (F.lit("french"), F.col("document_count").cast("string")),
+    }
+    frames = [reports[name].select(F.lit(name).alias("report"), F.lit(key).alias("key") if not isinstance(key, str) else F.col(key).alias("key"),
+                                   value.alias("value")) for name, (key, value) in shapes.items()]
+    return tables.union_sources(frames)
+
+
 @query
 def xml_roundtrip_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_documents(spark, sf_dir)
@@ -139,6 +221,21 @@ def parquet_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_parquet_tree(spark, path, documents.select("doc_id", "text", "source").schema)
 
 
+@query
+def skipped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The name of the one file among the documents' that cannot be read."""
+    path = scratch_path(spark, "tree")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    documents.write.partitionBy("lang").parquet(path)
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(f"{path}/lang=de/broken.parquet")
+    stream = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(file)
+    stream.write(bytearray(b"no Parquet file"))
+    stream.close()
+    skipped = tables.skipped_files(spark, path, documents.drop("lang").schema)
+    return skipped.select(F.element_at(F.split("path", "/"), -1).alias("file"))
+
+
 @query
 def summary_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "summary")
@@ -172,12 +269,37 @@ def index_incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         stable_id(F.lit("page"), F.col("page_id").cast("string")).alias("text_id"),
         F.col("page_id").cast("string").alias("pmid"), clean(F.col("html")).alias("content"), F.col("url").alias("ref_id"))
     for articles in (documents, tables.union_sources([documents, pages])):
-        index.append_to_index(chunk.chunk_articles(articles), path)
-    stored = tables.open_chunk_index(spark, path)
+        index.append_to_index(articles, path)
+    stored = index.open_chunk_index(spark, path)
     return stored.groupBy("pmid", "title", "source").agg(
         F.count("*").alias("chunk_count"), F.sum(F.length("page_content")).alias("characters"))
 
 
+@query
+def index_changed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents are added, then again with German texts changed: each article has the chunks of its latest text."""
+    path = scratch_path(spark, "chunk_index")
+    documents = processed(spark, sf_dir)
+    german = F.col("title").endswith(" in de")
+    changed = documents.withColumn("content", F.when(german, F.concat(F.lit("neu und "), F.col("content"))).otherwise(F.col("content")))
+    for articles in (documents, changed):
+        index.append_to_index(articles, path)
+    return index.open_chunk_index(spark, path).select("pmid", "chunk_ix", "page_content")
+
+
+def built_index(spark: SparkSession, sf_dir: str) -> str:
+    """The path of an index that the job built from stored articles."""
+    articles, path = scratch_path(spark, "articles"), scratch_path(spark, "chunk_index")
+    sinks.write_articles(processed_by_language(spark, sf_dir), articles)
+    jobs.build_index(spark, articles, path)
+    return path
+
+
+@query
+def index_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index.open_chunk_index(spark, built_index(spark, sf_dir)).select("pmid", "chunk_ix", "page_content")
+
+
 @query
 def corpus_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.index_status(stored_index(spark, sf_dir))
@@ -283,6 +405,15 @@ def dedup_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivors.select("pmid", "ref_id", "article_title", "citation_text")
 
 
+@query
+def dedup_stored_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As if the repeats were too many to send to all tasks."""
+    path = scratch_path(spark, "extracted")
+    extracted_documents(spark, sf_dir).withColumn("row_id", F.monotonically_increasing_id()).write.parquet(path)
+    survivors = quality.keep_first_stored(spark.read.parquet(path), "row_id", "pmid", ["ref_id"], max_bytes=0)
+    return survivors.select("pmid", "ref_id", "article_title", "citation_text")
+
+
 # Reports
 
 
@@ -325,6 +456,14 @@ def chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return articles.transform(chunk.chunk_articles).select("chunk_id", "chunk_ix", "page_content")
 
 
+@query
+def chunk_long_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without white space: words of a chunk and more."""
+    articles = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("text_id"), F.replace(clean(F.col("text")), F.lit(" "), F.lit("")).alias("content"))
+    return articles.transform(chunk.chunk_articles).select("chunk_id", "chunk_ix", "page_content")
+
+
 @query
 def chunk_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return processed(spark, sf_dir).drop("journal").transform(chunk.chunk_articles).select(
@@ -370,15 +509,28 @@ def knn_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _nearest(spark, sf_dir, metric="cosine")
 
 
+def in_slices(spark: SparkSession, sf_dir: str) -> int:
+    """A bound that cuts the vectors into three slices or four."""
+    return max(1, table(spark, sf_dir, "embeddings").count() * 72 * 8 // 3)
+
+
 @query
 def knn_l2_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As for a batch of questions that is too large to send to all tasks."""
-    return _nearest(spark, sf_dir, metric="l2", max_bytes=0)
+    """As for a batch of questions that is too large to send to all tasks at once: in several slices."""
+    return _nearest(spark, sf_dir, metric="l2", max_bytes=in_slices(spark, sf_dir))
 
 
 @query
 def knn_cosine_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _nearest(spark, sf_dir, metric="cosine", max_bytes=0)
+    return _nearest(spark, sf_dir, metric="cosine", max_bytes=in_slices(spark, sf_dir))
+
+
+@query
+def knn_fifty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More neighbours than a page shows."""
+    vectors = table(spark, sf_dir, "embeddings")
+    asked = vector_questions(spark, sf_dir).withColumn("top_k", F.lit(50))
+    return nearest.nearest(asked, vectors, vector_id="vec_id").withColumn("distance", F.round("distance", 6))
 
 
 @query
@@ -415,6 +567,15 @@ def reference_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context.references(_retrieved(spark, sf_dir))
 
 
+@query
+def answered_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The references of the whole job, with questions in slices and hits as if they were too many to send."""
+    path = built_index(spark, sf_dir)
+    _, references = jobs.answer_questions(
+        questions(spark, sf_dir), path, scratch_path(spark, "answers"), max_bytes=50_000, few_hits=False)
+    return references
+
+
 @query
 def reference_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context.reference_labels(context.references(_retrieved(spark, sf_dir)))

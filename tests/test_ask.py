@@ -11,11 +11,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from articleloom.operators import context, index
-from articleloom.operators.chunk import chunk_articles
-from articleloom.operators.nearest import BATCH_BYTES
+from articleloom.operators.index import open_chunk_index
 from articleloom.operators.report import index_status
 from articleloom.plans import ask
-from articleloom.sources.tables import open_chunk_index
 
 ARTICLE = "text_id string, pmid string, title string, journal string, year string, ref_id string, content string"
 
@@ -26,10 +24,6 @@ def articles(spark, *numbers):
     return spark.createDataFrame(rows, ARTICLE)
 
 
-def chunks(spark, *numbers):
-    return chunk_articles(articles(spark, *numbers))
-
-
 def test_term_vector_counts_hashed_tokens(spark):
     texts = ["The heart, the HEART; 2 hearts!", "", " ... ", "Épée épée naïve", None]
     df = spark.createDataFrame(list(enumerate(texts)), "question_id int, question string")
@@ -48,11 +42,11 @@ def test_weights_have_unit_length(spark):
 
 def test_appending_again_adds_nothing(spark, tmp_path):
     path = str(tmp_path / "index")
-    index.append_to_index(chunks(spark, 1, 2), path)
+    index.append_to_index(articles(spark, 1, 2), path)
     first = sorted(row["chunk_id"] for row in open_chunk_index(spark, path).collect())
-    index.append_to_index(chunks(spark, 1, 2), path)
+    index.append_to_index(articles(spark, 1, 2), path)
     assert sorted(row["chunk_id"] for row in open_chunk_index(spark, path).collect()) == first
-    index.append_to_index(chunks(spark, 2, 3), path)
+    index.append_to_index(articles(spark, 2, 3), path)
     stored = open_chunk_index(spark, path)
     assert stored.select("pmid").distinct().count() == 3
     assert stored.count() == stored.select("chunk_id").distinct().count()
@@ -60,21 +54,55 @@ def test_appending_again_adds_nothing(spark, tmp_path):
     assert (status["total_chunks"], status["total_articles"]) == (stored.count(), 3)
 
 
-@pytest.mark.parametrize("at_most", [None, 100, 10**9])
-def test_new_chunks(spark, tmp_path, at_most):
-    chunks(spark, 1, 2, 2).dropDuplicates(["chunk_id"]).write.parquet(str(tmp_path / "stored"))
-    chunks(spark, 2, 3).write.parquet(str(tmp_path / "chunks"))
-    stored, more = (spark.read.parquet(str(tmp_path / name)) for name in ("stored", "chunks"))
-    threshold = "spark.sql.autoBroadcastJoinThreshold"
-    before = spark.conf.get(threshold)
-    spark.conf.set(threshold, "-1")
-    try:
-        fresh = index.new_chunks(more, stored, at_most)
-        assert {row["pmid"] for row in fresh.collect()} == {"3"}
-        assert fresh.count() == more.filter("pmid = '3'").count()
-        assert ("SortMergeJoin" in plan_of(fresh)) == (at_most != 100)
-    finally:
-        spark.conf.set(threshold, before)
+def changed(frame, column, value):
+    return frame.withColumn(column, F.lit(value))
+
+
+@pytest.mark.parametrize("max_bytes", [index.ID_BYTES, 0])
+def test_changed_articles_replace_their_old_chunks(spark, tmp_path, max_bytes):
+    path = str(tmp_path / "index")
+    index.append_to_index(articles(spark, 1, 2, 3), path, max_bytes=max_bytes)
+    longer = changed(articles(spark, 2), "content", "new words " * 700)
+    index.append_to_index(longer, path, max_bytes=max_bytes)
+    stored = open_chunk_index(spark, path, max_bytes)
+    assert stored.select("chunk_id").distinct().count() == stored.count()
+    texts = [row["page_content"] for row in stored.filter("pmid = '2'").orderBy("chunk_ix").collect()]
+    assert texts == [row["page_content"] for row in index.chunk_articles(longer).orderBy("chunk_ix").collect()]
+    # Back to the first text, then another title, then another way to cut.
+    index.append_to_index(articles(spark, 1, 2, 3), path, max_bytes=max_bytes)
+    index.append_to_index(changed(articles(spark, 1), "title", "Other"), path, max_bytes=max_bytes)
+    index.append_to_index(articles(spark, 3), path, size=100, overlap=10, max_bytes=max_bytes)
+    stored = open_chunk_index(spark, path, max_bytes)
+    assert stored.filter("pmid = '2'").count() == index.chunk_articles(articles(spark, 2)).count()
+    assert {row["title"] for row in stored.filter("pmid = '1'").collect()} == {"Other"}
+    assert stored.filter("pmid = '3'").count() == index.chunk_articles(articles(spark, 3), 100, 10).count()
+    assert stored.select("_metadata.file_path").count() == stored.count()
+
+
+def test_equal_ids_in_one_batch_are_one_article(spark, tmp_path):
+    path = str(tmp_path / "index")
+    batch = articles(spark, 1, 1, 2).unionAll(changed(articles(spark, 2), "title", "Other"))
+    index.append_to_index(batch, path)
+    stored = open_chunk_index(spark, path)
+    assert stored.select("chunk_id").distinct().count() == stored.count()
+    assert stored.count() == index.chunk_articles(articles(spark, 1, 2)).count()
+
+
+def test_unchanged_articles_are_neither_chunked_nor_shuffled(spark, tmp_path):
+    path = str(tmp_path / "index")
+    articles(spark, 1, 2, 3).write.parquet(str(tmp_path / "articles"))
+    stored = spark.read.parquet(str(tmp_path / "articles"))
+    index.append_to_index(stored, path)
+    held = spark.read.parquet(path)
+    more = index.with_version(stored.unionByName(articles(spark, 4)), 1000, 200)
+    plan = plan_of(index.new_articles(more, held))
+    outer = plan[:plan.index("BroadcastExchange")]
+    assert "Exchange hashpartitioning" not in outer and "content" in outer
+    assert index.new_articles(index.with_version(stored, 1000, 200), held).count() == 0
+    before = {file.name for file in (tmp_path / "index").glob("part-*")}
+    rows = spark.read.parquet(path).count()
+    index.append_to_index(stored, path)
+    assert spark.read.parquet(path).count() == rows and before
 
 
 def test_missing_index(spark, tmp_path):
@@ -85,7 +113,7 @@ def test_missing_index(spark, tmp_path):
 @pytest.fixture(scope="module")
 def store(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("store") / "index")
-    index.append_to_index(chunks(spark, *range(10)), path)
+    index.append_to_index(articles(spark, *range(10)), path)
     return open_chunk_index(spark, path)
 
 
@@ -99,10 +127,10 @@ def test_blank_questions_are_dropped(questions):
     assert sorted(row[0] for row in context.valid_questions(questions).collect()) == [1, 3]
 
 
-@pytest.fixture(scope="module", params=["sent to all tasks", "joined by block"])
+@pytest.fixture(scope="module", params=["few questions and hits", "several slices, hits joined"])
 def hits(request, store, questions):
-    max_bytes = 0 if request.param == "joined by block" else BATCH_BYTES
-    return ask.retrieve(questions, store, max_bytes=max_bytes).cache()
+    options = {} if request.param == "few questions and hits" else {"max_bytes": 3000, "few_hits": False}
+    return ask.retrieve(questions, store, **options).cache()
 
 
 def test_retrieval_finds_the_right_articles(hits):
@@ -149,14 +177,15 @@ def files_read(df) -> int:
 def test_only_files_with_hits_are_read_for_content(spark, tmp_path, questions):
     path = str(tmp_path / "index")
     for n in range(10):
-        index.append_to_index(chunks(spark, n).coalesce(1), path)
+        index.append_to_index(articles(spark, n).coalesce(1), path)
     stored = open_chunk_index(spark, path)
     all_files = stored.select("_metadata.file_path").distinct().count()
     asked = questions.filter("question_id = 1").select("question_id", "question", F.lit(1).alias("top_k"))
     assert all_files == 10
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        assert files_read(ask.retrieve(asked, stored)) == 1
+        for few_hits in (True, False):
+            assert files_read(ask.retrieve(asked, stored, few_hits=few_hits)) == 1
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 

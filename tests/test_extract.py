@@ -144,12 +144,47 @@ def test_no_rows_have_the_same_schema(spark):
 
 
 def test_sample(spark, folder):
-    rows = sample_articles(read_articles_xml(spark, folder), 3).collect()
+    rows = sample_articles(spark, folder, 3).collect()
     assert [row["ref_id"].rsplit("/", 1)[1] for row in rows] == ["bare_abstract.xml", "empty.xml", "fifty.xml"]
     assert rows[0]["article_ids"] == ["8"]
     assert rows[0]["abstract"] == [None, [LONG]]
 
 
+def test_sample_reads_the_first_files_only(spark, folder):
+    sample = sample_articles(spark, folder, 3)
+    assert len(sample.inputFiles()) == 3
+    assert len(sample_articles(spark, folder, 1000).inputFiles()) == len(FILES)
+
+
+def test_one_large_file_is_read_by_many_tasks(spark, tmp_path):
+    count = 2000
+    articles = (article(pmid(n), body=f"<body>{LONG} {n}</body>") for n in range(count))
+    (tmp_path / "large.xml").write_text("<articles>" + "\n".join(articles) + "</articles>")
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "50KB")
+    try:
+        raw = read_articles_xml(spark, str(tmp_path))
+        assert raw.rdd.getNumPartitions() > 5
+        rows = extract_fields(raw).collect()
+    finally:
+        spark.conf.set(size, before)
+    assert {(row["pmid"], row["citation_text"]) for row in rows} == {(str(n), f" {LONG} {n}") for n in range(count)}
+
+
+def test_inequality_signs_are_no_tags(spark, tmp_path):
+    text = "significant (p &lt; 0.05) in the heart group. <b>Mean</b> age &#62; 60 and x &#x3C; y &amp;lt; z did worse."
+    (tmp_path / "a.xml").write_text(article(pmid(1), f"<article-title>a &lt;i&gt; b</article-title>", body=f"<body>{text}</body>"))
+    row = process_articles(read_articles_xml(spark, str(tmp_path))).first()
+    assert row["content"] == "significant (p < 0.05) in the heart group. Mean age > 60 and x < y &lt; z did worse."
+    assert row["title"] == "a <i> b" and row["domain"] == "cardiology"
+
+
+def test_malformed_articles_are_marked(spark, folder):
+    rows = read_articles_xml(spark, folder).filter("malformed").collect()
+    assert sorted(row["ref_id"].rsplit("/", 1)[1] for row in rows) == ["malformed.xml", "one_broken.xml"]
+
+
 def one(spark, column):
     return spark.range(1).select(column.alias("value")).first()["value"]
 

@@ -5,11 +5,12 @@ import subprocess
 import sys
 from pathlib import Path
 
+from articleloom.operators.index import open_chunk_index
 from articleloom.plans import jobs
 from articleloom.plans.articles import process_articles
 from articleloom.schemas import SUMMARY
 from articleloom.sources.articles_xml import read_articles_xml
-from articleloom.sources.tables import open_chunk_index, read_partitioned_articles
+from articleloom.sources.tables import read_partitioned_articles
 
 WORDS = ["heart valve disease", "brain tissue", "tumor growth", "plain matter"]
 
@@ -31,7 +32,7 @@ def test_jobs(spark, tmp_path):
     write_xml(tmp_path / "xml")
     paths = {name: str(tmp_path / name) for name in ("xml", "articles", "summary", "index", "hits")}
     funnel = jobs.store_articles(spark, paths["xml"], paths["articles"], paths["summary"])
-    assert funnel == {"initial_count": 13, "kept_count": 12, "dropped_count": 1}
+    assert funnel == {"initial_count": 13, "kept_count": 12, "malformed_count": 0, "dropped_count": 1}
     articles = read_partitioned_articles(spark, paths["articles"])
     assert articles.count() == 10
     assert articles.filter("pmid = '0'").first()["title"] == "Title 0"
@@ -56,6 +57,18 @@ def test_jobs(spark, tmp_path):
     assert references.count() == 2
 
 
+def test_a_run_that_keeps_nothing_leaves_the_store_as_it_is(spark, tmp_path):
+    write_xml(tmp_path / "xml", 3)
+    paths = {name: str(tmp_path / name) for name in ("xml", "articles", "summary")}
+    jobs.store_articles(spark, *paths.values())
+    (tmp_path / "nothing").mkdir()
+    (tmp_path / "nothing" / "short.xml").write_text("<article><body>short</body></article><article><body></article>")
+    funnel = jobs.store_articles(spark, str(tmp_path / "nothing"), paths["articles"], paths["summary"])
+    assert funnel == {"initial_count": 2, "kept_count": 0, "malformed_count": 1, "dropped_count": 2}
+    assert read_partitioned_articles(spark, paths["articles"]).count() == 3
+    assert spark.read.schema(SUMMARY).json(paths["summary"]).count() == 3
+
+
 def test_job_and_plan_keep_the_same_articles(spark, tmp_path):
     """Also of several articles with one key in one file, however the job drops the others."""
     folder = tmp_path / "xml"

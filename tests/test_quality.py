@@ -75,7 +75,28 @@ def test_stored_rows_keep_the_same_first(spark, tmp_path, hot, max_bytes):
     found = quality.keep_first_stored(stored, "row_id", "pmid", ["ref_id"], max_bytes)
     assert found.columns == stored.columns
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
-    assert ("WindowGroupLimit" in plan_of(found)) == (max_bytes == 0)
+    assert "Window" not in plan_of(found)
+    assert not any("citation_text" in line for line in plan_of(found).splitlines() if "Sort " in line)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+@pytest.mark.parametrize("max_bytes", [quality.REPEATED_BYTES, 0])
+def test_rows_without_an_id_keep_the_same_first(spark, tmp_path, hot, max_bytes):
+    rows = stored_rows(spark, str(tmp_path / "rows"), hot).withColumn("fingerprint", F.md5(F.col("row_id").cast("string"))).drop("row_id")
+    expected = quality.keep_first(rows, ["pmid"], [F.col("ref_id"), F.col("fingerprint")])
+    found = quality.keep_first_of_source(rows, "pmid", ["ref_id", "fingerprint"], max_bytes)
+    assert found.columns == rows.columns
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    plan = plan_of(found)
+    assert "Window" not in plan
+    assert not any("citation_text" in line for line in plan.splitlines() if "Sort " in line)
+
+
+def test_rows_that_nothing_tells_apart(spark):
+    rows = spark.createDataFrame([("1", "a", "t"), ("1", "a", "t"), ("2", "b", "u")], "pmid string, ref_id string, citation_text string")
+    assert sorted(map(tuple, quality.keep_first_of_source(rows, "pmid", ["ref_id"]).collect())) == [("1", "a", "t"), ("2", "b", "u")]
+    empty = rows.filter("pmid = '9'")
+    assert quality.keep_first_of_source(empty, "pmid", ["ref_id"]).collect() == []
 
 
 def test_stored_texts_are_not_shuffled_for_few_repeats(spark, tmp_path):
@@ -137,8 +158,8 @@ def test_snippet(spark, length, expected):
     assert len(value) == expected and value.endswith("...") == (length > 300)
 
 
-def test_one_scan_and_one_shuffle(spark, tmp_path):
+def test_texts_are_neither_sorted_nor_shuffled_for_few_repeats(spark, tmp_path):
     extracted(spark, ROWS).write.parquet(str(tmp_path / "x"))
     plan = plan_of(process_extracted(spark.read.parquet(str(tmp_path / "x"))))
-    assert plan.count("FileScan") == 1
-    assert plan.count("Exchange") == 1
+    outer = plan[:plan.index("BroadcastExchange")]
+    assert "Exchange hashpartitioning" not in outer and "Sort " not in outer and "citation_text" in outer

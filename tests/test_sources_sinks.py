@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from articleloom.operators.report import domain_count
 from articleloom.schemas import ARTICLES, SUMMARY
 from articleloom.sources import scratch, sinks, tables
+from checks.inputs import spread
 
 
 def articles(spark, rows):
@@ -100,6 +101,15 @@ def test_tree_of_files_skips_what_cannot_be_read(spark, tmp_path):
     schema = spark.createDataFrame([], "content string, year string").schema
     rows = tables.read_parquet_tree(spark, str(tmp_path), schema).collect()
     assert sorted(map(tuple, rows)) == [("a", None), ("b", None), ("c", None)]
+    skipped = {row["path"] for row in tables.skipped_files(spark, str(tmp_path), schema).collect()}
+    # The others hold no row: tasks without any write such files.
+    assert str(tmp_path / "x" / "broken.parquet") in skipped
+    assert not skipped & set(tables.read_parquet_tree(spark, str(tmp_path), schema).select(
+        F.regexp_replace("_metadata.file_path", "^file:/+", "/")).distinct().toPandas().iloc[:, 0])
+    with pytest.raises(ValueError, match="could be read"):
+        (tmp_path / "only").mkdir()
+        (tmp_path / "only" / "broken.parquet").write_bytes(b"no parquet")
+        tables.read_parquet_tree(spark, str(tmp_path / "only"), schema)
 
 
 def test_union_fills_missing_columns(spark):
@@ -113,10 +123,10 @@ def test_wide_scans_are_not_shuffled(spark, tmp_path):
     spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
     try:
         wide = spark.read.parquet(str(tmp_path / "wide"))
-        assert "Exchange" not in plan_of(tables.spread(wide))
+        assert "Exchange" not in plan_of(spread(wide))
     finally:
         spark.conf.unset("spark.sql.files.openCostInBytes")
-    assert "Exchange" in plan_of(tables.spread(spark.read.parquet(str(tmp_path / "wide")).coalesce(1)))
+    assert "Exchange" in plan_of(spread(spark.read.parquet(str(tmp_path / "wide")).coalesce(1)))
 
 
 def test_scratch_is_under_the_checkpoint_folder(spark):
@@ -125,14 +135,7 @@ def test_scratch_is_under_the_checkpoint_folder(spark):
     assert scratch.scratch_path(spark, "x") != path
 
 
-def session_without_setting(master):
-    conf = SimpleNamespace(get=lambda key, default: default)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
-
-
-def test_scratch_without_the_setting():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch.scratch_path(session_without_setting("yarn"), "x")
-    local = session_without_setting("local[2]")
-    first, second = (Path(scratch.scratch_path(local, name)) for name in "xy")
-    assert first.parents[2] == second.parents[2] and first.parents[2].is_dir()
+def test_scratch_without_the_setting_is_in_the_warehouse():
+    conf = SimpleNamespace(get=lambda key, default=None: "file:/shared/warehouse/" if key == scratch.WAREHOUSE_DIR else default)
+    path = scratch.scratch_path(SimpleNamespace(conf=conf), "x")
+    assert path.startswith("file:/shared/warehouse/articleloom/") and path.endswith("/x")

@@ -88,7 +88,7 @@ def walk_length(spark: SparkSession, n: int, seed: int = SEED) -> int:
     square root of n: they are walked as a small job, with twice the passes until all have come back.
     """
     rows, cols = domain(n)
-    outside, walk = rows * cols - n, 1
+    outside, walk = rows * cols - n if n else 0, 1
     while outside:
         left = spark.range(n, rows * cols).where(permuted(F.col("id"), n, walk - 1, seed) >= n).limit(1).count()
         if not left:

@@ -7,10 +7,14 @@ import argparse
 from pyspark.sql import SparkSession
 
 from articleloom.plans import jobs
-from articleloom.session import SETTINGS
+from articleloom.session import SETTINGS, size_shuffles
 from articleloom.sources.scratch import scratch_path
 
 
+# What each job reads most of.
+INPUT = {"store": "xml", "report": "articles", "index": "articles", "ask": "index"}
+
+
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="articleloom", description="Process articles and answer questions about them.")
     commands = parser.add_subparsers(dest="job", required=True)
@@ -42,6 +46,7 @@ def main() -> None:
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    size_shuffles(spark, getattr(arguments, INPUT[arguments.job]))
     if arguments.job == "store":
         print(jobs.store_articles(spark, arguments.xml, arguments.articles, arguments.summary))
     elif arguments.job == "report":

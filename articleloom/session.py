@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -13,6 +14,20 @@ SETTINGS = {
 }
 
 
+# Adaptive execution starts from so many bytes of input a shuffle partition, and merges small ones.
+SHUFFLE_BYTES = 128 << 20
+LEAST_PARTITIONS = 200
+
+
+def size_shuffles(spark: SparkSession, path: str) -> int:
+    """Set the number of shuffle partitions to start from by the size of the files below a folder, from their listing."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    size = listed.agg(F.sum("length")).first()[0] or 0
+    partitions = max(LEAST_PARTITIONS, -(-size // SHUFFLE_BYTES))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    return partitions
+
+
 def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
     """A local session for tests and the bench; a cluster job brings its own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("articleloom")

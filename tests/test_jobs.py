@@ -5,6 +5,9 @@ import subprocess
 import sys
 from pathlib import Path
 
+from pytest import MonkeyPatch
+
+from articleloom import session
 from articleloom.operators.index import open_chunk_index
 from articleloom.plans import jobs
 from articleloom.plans.articles import process_articles
@@ -83,6 +86,19 @@ def test_job_and_plan_keep_the_same_articles(spark, tmp_path):
     assert stored.count() == 6
 
 
+def test_shuffles_are_sized_by_the_input(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x").write_bytes(b"x" * 1000)
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert session.size_shuffles(spark, str(tmp_path)) == session.LEAST_PARTITIONS == int(spark.conf.get(name))
+        with MonkeyPatch.context() as patch:
+            patch.setattr(session, "SHUFFLE_BYTES", 3)
+            assert session.size_shuffles(spark, str(tmp_path)) == 334
+    finally:
+        spark.conf.unset(name)
+
+
 def test_command_line_needs_a_job():
     run = subprocess.run(
         [sys.executable, "-m", "articleloom"], capture_output=True, text=True, check=False,

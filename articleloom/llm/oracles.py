@@ -1,5 +1,76 @@
-"""The same results in SQL where SQL can express them."""
+"""The same results in SQL where SQL can express them.
+
+The others need a library's vocabulary, a model trained on the way or an approximate search; they are tested
+against plain versions in ``tests/llm``.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from articleloom.llm.mixing import POWER, SEED
+from articleloom.llm.sharding import MODULUS, MULTIPLIERS, SHARDS, round_keys
+
+
+def _fraction(text: str) -> str:
+    return f"CAST(('0x' || substr(md5({text}), 1, 12))::BIGINT AS DOUBLE) / 281474976710656.0"
+
+
+MIXING = f"""
+    WITH RECURSIVE sizes AS (
+        SELECT source, CAST(sum(strlen(text)) AS BIGINT) AS bytes FROM documents GROUP BY source),
+    rates AS (
+        SELECT source, sum(bytes) OVER () * pow(bytes, {POWER}) / sum(pow(bytes, {POWER})) OVER () / bytes AS rate FROM sizes),
+    terms AS (
+        SELECT source, rate, 0 AS k, exp(-rate) AS term, exp(-rate) AS total FROM rates
+        UNION ALL
+        SELECT source, rate, k + 1, term * rate / (k + 1), total + term * rate / (k + 1) FROM terms
+        WHERE k < rate + 10 * sqrt(rate) + 20),
+    drawn AS (
+        SELECT doc_id, source, {_fraction(f"'{SEED}/' || doc_id")} AS chance FROM documents),
+    counted AS (
+        SELECT doc_id, source, rate, count(*) FILTER (total <= chance) AS copies
+        FROM drawn JOIN terms USING (source) GROUP BY ALL)
+    SELECT doc_id, source, CAST(copy AS INTEGER) AS mix_copy, CAST(copies AS INTEGER) AS mix_copies,
+           round(rate, 6) AS mix_rate, {_fraction(f"'{SEED}/order/' || doc_id || '/' || copy")} AS mix_key
+    FROM (SELECT *, unnest(range(1, copies + 1)) AS copy FROM counted)"""
+
+
+def _mixed(value: str, key: int) -> str:
+    first = f"(xor({value}, {key}) % {MODULUS} * {MULTIPLIERS[0]} % {MODULUS})"
+    second = f"(xor({first}, {first} >> 15) % {MODULUS} * {MULTIPLIERS[1]} % {MODULUS})"
+    return f"xor({second}, {second} >> 13)"
+
+
+def _network(source: str, condition: str) -> str:
+    """One pass over ``source(number, spot)``: the rounds as nested selects."""
+    sql = f"SELECT number, n, a, b, spot // b AS l, spot % b AS r FROM {source} {condition}"
+    for left, right in round_keys(20):
+        sql = f"SELECT number, n, a, b, (l + {_mixed('r', left)}) % a AS l, r FROM ({sql})"
+        sql = f"SELECT number, n, a, b, l, (r + {_mixed('l', right)}) % b AS r FROM ({sql})"
+    return f"SELECT number, n, a, b, l * b + r AS spot FROM ({sql})"
+
+
+SHARDING = f"""
+    WITH RECURSIVE crc_table AS (
+        SELECT list(list_reduce(range(9), lambda c, i:
+                   CASE WHEN i = 0 THEN c WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, start) ORDER BY start) AS crcs
+        FROM range(256) firsts(start)),
+    bytes AS (
+        SELECT doc_id, text, row_number() OVER () - 1 AS number, hex(encode(text)) AS digits FROM documents),
+    summed AS (
+        SELECT doc_id, text, number, xor(4294967295, list_reduce(
+            list_transform(range(1, length(digits), 2), lambda i: ('0x' || substr(digits, i, 2))::BIGINT),
+            lambda c, byte: xor(c >> 8, crcs[CAST(xor(c, byte) & 255 AS INTEGER) + 1]), CAST(4294967295 AS BIGINT))) AS crc
+        FROM bytes, crc_table),
+    domains AS (
+        SELECT n, a, CAST(ceil(n / a) AS BIGINT) AS b
+        FROM (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a FROM documents)),
+    starts AS (SELECT number, n, a, b, number AS spot FROM bytes, domains),
+    walk AS (
+        {_network("starts", "")}
+        UNION ALL
+        {_network("walk", "WHERE spot >= n")})
+    SELECT doc_id, CAST(strlen(text) + 8 AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'rows' AS law,
+           CAST(spot % {SHARDS} AS INTEGER) AS shard, CAST(spot // {SHARDS} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+    FROM summed JOIN walk USING (number) WHERE spot < n"""
+
+ORACLES: dict[str, str] = {"op1_sharding": SHARDING, "op7_mixing": MIXING}

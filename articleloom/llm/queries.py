@@ -50,7 +50,7 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The copies in the order of their keys, without the texts."""
     mix = mixing.mixed(_documents(spark, sf_dir).select("doc_id", "source", "text"))
-    return mix.select("doc_id", "source", "mix_copy", "mix_copies", "mix_rate", "mix_key")
+    return mix.select("doc_id", "source", "mix_copy", "mix_copies", F.round("mix_rate", 6).alias("mix_rate"), "mix_key")
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

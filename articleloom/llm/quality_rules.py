@@ -7,6 +7,8 @@ document is scored in the task that counted it. No shuffle but of the sample.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -61,11 +63,13 @@ def repeated_words(words: list[bytes]) -> int:
     same = windows[order[1:]] == windows[order[:-1]]
     if not same.any():
         return 0
+    alike = np.zeros(n, bool)
+    alike[order[1:][same]] = alike[order[:-1][same]] = True
+    # Windows with equal hashes are compared by their words, so a collision is not counted.
+    found = [(at, tuple(words[at:at + WINDOW])) for at in np.flatnonzero(alike).tolist()]
+    often = Counter(window for _, window in found)
     again = np.zeros(n, bool)
-    # Equal hashes are compared word by word, so a collision is not counted.
-    for a, b in zip(order[:-1][same].tolist(), order[1:][same].tolist(), strict=True):
-        if not (again[a] and again[b]) and words[a:a + WINDOW] == words[b:b + WINDOW]:
-            again[a] = again[b] = True
+    again[[at for at, window in found if often[window] > 1]] = True
     edges = np.zeros(len(words) + 1, np.int64)
     edges[:n] += again
     edges[WINDOW:] -= again

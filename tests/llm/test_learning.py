@@ -1,0 +1,238 @@
+"""Toxicity, personal data and quality rules."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from articleloom.llm import boosting, pii, quality_rules, toxicity
+from tests.llm import brute
+from tests.llm.conftest import DOCUMENTS, EDGES
+
+LABELS = "doc_id long, quality int, toxic int"
+ORDINARY = ["river", "window", "garden", "music", "letter", "morning", "silver", "market", "winter", "paper"]
+TOXIC = ["blarghead", "snotfink", "wretchling"]
+
+
+def labelled(spark, n=700):
+    draw = random.Random(4)
+    rows, labels = [], []
+    for i in range(n):
+        toxic = i % 7 == 0
+        words = [draw.choice(ORDINARY) + draw.choice(["", "s", "ly", "ing"]) for _ in range(draw.randint(15, 60))]
+        if toxic:
+            for _ in range(2):
+                words.insert(draw.randrange(len(words)), draw.choice(TOXIC) + draw.choice(["", ".", "!"]))
+        good = i % 5 != 0
+        text = " ".join(words) if good else "### ".join(word.upper() for word in words)
+        rows.append((i, text))
+        labels.append((i, int(good), int(toxic)))
+    return spark.createDataFrame(rows, DOCUMENTS), spark.createDataFrame(labels, LABELS)
+
+
+# Toxicity
+
+
+def test_held_out_toxicity(spark):
+    documents, labels = labelled(spark)
+    rows = toxicity.toxicity(documents, toxicity.train(documents, labels)).collect()
+    assert len(rows) == 700
+    for row in rows:
+        assert row["held_out"] == (zlib.crc32(str(row["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= row["score"] <= 1 and row["predicted"] == int(row["score"] >= 0.5)
+    held = [row for row in rows if row["held_out"]]
+    right = [row["predicted"] == int(row["doc_id"] % 7 == 0) for row in held]
+    assert sum(right) / len(right) > 0.97
+
+
+def test_held_out_labels_are_not_learnt_from(spark):
+    documents, labels = labelled(spark)
+    changed = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    more = changed.unionByName(spark.createDataFrame([(None, 1, 1), (1, 1, None)], LABELS))
+    first, second = (toxicity.train(documents, frame) for frame in (labels, more))
+    assert vars(first) == vars(second)
+
+
+def test_toxicity_of_odd_rows(spark, edges, empty):
+    documents, labels = labelled(spark)
+    model = toxicity.train(documents, labels)
+    rows = toxicity.toxicity(edges, model).collect()
+    assert len(rows) == len(EDGES) and all(row["predicted"] == 0 for row in rows)
+    assert toxicity.without_toxic(edges, model).count() == len(EDGES)
+    assert toxicity.without_toxic(edges, model).columns == edges.columns
+    assert toxicity.toxicity(empty, model).collect() == []
+    assert toxicity.train(documents, labels.filter("toxic = 0")) is None
+    assert toxicity.train(empty, labels) is None
+    assert {row["score"] for row in toxicity.toxicity(edges, None).collect()} == {0.0}
+
+
+def test_toxic_documents_leave(spark):
+    documents, labels = labelled(spark)
+    kept = toxicity.without_toxic(documents, toxicity.train(documents, labels))
+    texts = [row["text"].lower() for row in kept.collect()]
+    assert 580 <= len(texts) <= 605 and not any(word in text for text in texts for word in TOXIC)
+
+
+# Personal data
+
+
+@pytest.fixture(scope="module")
+def weights():
+    draw = random.Random(5)
+    texts = []
+    for i in range(300):
+        card = "4" + "".join(str(draw.randrange(10)) for _ in range(14))
+        card += next(d for d in "0123456789" if pii.luhn(card + d))
+        texts.append(draw.choice([
+            f"write to name{i}@mail{i % 5}.example.com today", f"from {draw.randrange(1, 255)}.{draw.randrange(255)}.3.4 again",
+            f"paid by {card} then", f"call +1 (555) {draw.randrange(100, 999)}-{draw.randrange(1000, 9999)} now",
+            f"in {draw.randrange(1900, 2030)} there were {draw.randrange(9999999)} of them", f"build {draw.randrange(300, 999)}.400.1.2 out",
+            f"password={draw.randrange(10**9):x}c0ffee{draw.randrange(10**6)}", "number 4111111111111112 is none"]))
+    return pii.learn(pii.training_paths(texts))
+
+
+def test_base_spans_against_plain_patterns():
+    draw = random.Random(1)
+    letters = "0123456789.@+- ()abé0123456789.@"
+    texts = ["".join(draw.choice(letters) for _ in range(draw.randint(1, 60))) for _ in range(20_000)]
+    for text in [*texts, "a@b.c", "1.2.3.4.5.6.7.8", "0001.2.3.4", "+1" + "2" * 20, "4111 1111-1111 1111"]:
+        assert pii.base_spans(text) == brute.base_spans(text), text
+
+
+def test_long_runs_take_linear_time():
+    for text in ("x" * 200_000, "1" * 200_000, "1.1" * 50_000, "a@" * 100_000, "+1 " * 60_000):
+        pii.base_spans(text)
+
+
+def test_the_field_adds_what_the_patterns_miss(weights):
+    def added(text):
+        return [(kind, text[start:end]) for kind, start, end in pii.find_spans(text, weights)[1]]
+
+    assert added("call (555) 234-7962 today") == [("phone", "(555) 234-7962")]
+    assert added("write to joe.doe [at] mail.org soon") == [("email", "joe.doe [at] mail.org")]
+    assert added("call +1 (555) 234-7962 4539578763621486 now") in ([], [("card", "4539578763621486")], [("phone", "+1 (555) 234-7962")],
+        [("phone", "+1 (555) 234-7962"), ("card", "4539578763621486")])
+    assert added("in 1999 there were 12 of 15, or 2,000") == []
+    text = "see a@b.org and 10.0.0.1"
+    base, more = pii.find_spans(text, weights)
+    assert [text[s:e] for _, s, e in base] == ["a@b.org", "10.0.0.1"] and more == []
+
+
+def test_the_best_path_is_found(weights):
+    """Against all ways to cut a cluster."""
+    draw = random.Random(8)
+    for _ in range(60):
+        text = " ".join(draw.choice(["12", "555-1234", "a@b.org", "(555)", "+1", "4539578763621486", "10.0.0.1"]) for _ in range(5))
+        for group in pii.clusters(text):
+            found = [(i, j, weights[:, on].sum(axis=1).max()) for i, j, _, _, on in pii.segments(text, group)]
+
+            def best(at, found=found, size=len(group)):
+                if at == size:
+                    return 0.0
+                return max([best(at + 1), *(score + best(j) for i, j, score in found if i == at)])
+
+            chosen = {(s, e): k for k, s, e in pii.decode(text, weights)}
+            score = 0.0
+            for _, _, start, end, on in pii.segments(text, group):
+                if (start, end) in chosen:
+                    score += weights[pii.KINDS.index(chosen.pop((start, end)))][on].sum()
+            assert score == pytest.approx(best(0))
+
+
+def test_gradient_of_the_field():
+    """The likelihood of the true paths grows as weights are learnt."""
+    paths = pii.training_paths([f"at name{i}@mail.org or {i}.2.3.4 or 77{i}" for i in range(60)])
+
+    def hits(weights):
+        return sum(
+            (int(np.argmax(weights[:, on].sum(axis=1))), weights[:, on].sum(axis=1).max() > 0) == (dict(true).get(k, 9), True)
+            for _, found, true in paths for k, (*_, on) in enumerate(found) if k in dict(true))
+
+    assert hits(pii.learn(paths)) > 0.9 * sum(len(true) for *_, true in paths)
+
+
+def test_personal_data_digest(spark, edges, empty, weights):
+    text = "see a@b.org, 10.0.0.1 and +1 (555) 234-7962"
+    frame = spark.createDataFrame([(1, text), (2, "nothing")], DOCUMENTS)
+    rows = {row["doc_id"]: row for row in pii.span_digest(pii.personal_data(frame, weights)).collect()}
+    row = rows[1]
+    joined = ",".join(f"{k}:{s}:{e}" for k, s, e in brute.base_spans(text))
+    import hashlib
+    assert (row["n_email"], row["n_ip"], row["n_card"], row["n_phone"]) == (1, 1, 0, 1)
+    assert row["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest() and row["spans"] == joined
+    assert (rows[2]["spans"], rows[2]["base_sha256"]) == ("", hashlib.sha256(b"").hexdigest())
+    assert pii.span_digest(pii.personal_data(edges, weights)).count() == len(EDGES)
+    assert pii.personal_data(empty, weights).collect() == []
+    assert pii.train(empty).shape == (4, len(pii.FEATURES))
+
+
+# Quality rules
+
+
+def test_counts_against_a_plain_version():
+    draw = random.Random(2)
+    pieces = ["a", "b", "ab", " ", " ", "\n", "\t", "\r", "#", "|", "é", "\x0b", "x y z u v ", "\x1c", " ", "日本"]
+    texts = ["".join(draw.choice(pieces) for _ in range(draw.randint(0, 60))) for _ in range(3000)] + [t for _, t in EDGES]
+    for text in texts:
+        assert quality_rules.statistics(text or "")[0] == brute.quality_counts(text), repr(text)
+
+
+def test_equal_hashes_are_not_taken_for_equal_words(monkeypatch):
+    monkeypatch.setattr(quality_rules, "hash", lambda word: 7, raising=False)
+    words = [b"a", b"b", b"c", b"d", b"e", b"f", b"a", b"b", b"c", b"d", b"e"]
+    assert quality_rules.repeated_words(words) == 10
+    assert quality_rules.repeated_words([b"%d" % i for i in range(30)]) == 0
+
+
+def test_trees_are_monotone_and_learn():
+    random_rows = np.random.default_rng(1)
+    rows = random_rows.random((1500, 3))
+    labels = (rows[:, 0] + 0.3 * np.sin(9 * rows[:, 0]) + rows[:, 1] > 1).astype(float)
+    forest = boosting.grow(rows, labels, [1, 0, -1])
+    assert ((forest.margin(rows) > 0) == labels).mean() > 0.93
+    for feature, direction in ((0, 1), (2, -1)):
+        moved = rows.copy()
+        moved[:, feature] += random_rows.random(1500)
+        assert (direction * (forest.margin(moved) - forest.margin(rows)) >= -1e-9).all()
+
+
+def test_flat_nodes_score_as_a_walk_does():
+    random_rows = np.random.default_rng(2)
+    rows, labels = random_rows.random((200, 4)), random_rows.integers(0, 2, 200).astype(float)
+    forest = boosting.grow(rows, labels, [0, 0, 0, 0], trees=5)
+
+    def walk(row):
+        total = forest.base
+        for node in forest.roots:
+            while forest.left[node] != node:
+                node = forest.left[node] if row[forest.feature[node]] <= forest.threshold[node] else forest.right[node]
+            total += forest.value[node]
+        return total
+
+    assert np.allclose(forest.margin(rows), [walk(row) for row in rows])
+
+
+def test_quality_verdicts(spark, edges, empty):
+    documents, labels = labelled(spark)
+    known = labels.filter("doc_id % 2 = 0")
+    rows = quality_rules.quality_verdicts(documents, quality_rules.train(documents, known)).collect()
+    others = [row for row in rows if row["doc_id"] % 2]
+    assert sum(row["kept"] == (row["doc_id"] % 5 != 0) for row in others) / len(others) > 0.97
+    assert all(not (row["kept"] and row["base_failed"]) for row in rows)
+    rows = quality_rules.quality_verdicts(edges, None).collect()
+    assert len(rows) == len(EDGES) and all(row["base_failed"] and not row["kept"] for row in rows)
+    assert quality_rules.quality_verdicts(empty, None).collect() == []
+    assert quality_rules.train(empty, labels) is None
+    assert quality_rules.train(documents, labels.filter("quality = 1")) is None
+
+
+def test_repeated_windows_fail(spark):
+    text = " ".join(["one two three four five"] * 3 + ["w%d" % i for i in range(30)])
+    frame = spark.createDataFrame([(1, text), (2, "one two three four five " * 2 + text[72:] + " more" * 4 + " and so on" * 3)], DOCUMENTS)
+    rows = quality_rules.quality_verdicts(frame.withColumn("kept", F.lit("x")), None).collect()
+    for row, (_, words) in zip(sorted(rows), sorted(map(tuple, frame.collect())), strict=True):
+        counts = brute.quality_counts(words)
+        assert row["base_failed"] == (100 * counts[4] > 20 * counts[0])
+    assert sorted(rows)[0]["base_failed"]

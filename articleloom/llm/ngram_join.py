@@ -10,12 +10,13 @@ Which segments are spent on which set follows their cost:
 * Empty segments are never indexed. A set with N segments that are not empty meets every partner in N - H of them or more;
   sets for which that leaves none also index the one-deletion neighbourhoods of their segments (a budget of two
   differences in place of one), and in the last resort single shingles.
-* Buckets with many sets that turned out not to belong together are skipped for sets that still meet every partner in their
-  other buckets; among the sets that cannot afford it all pairs of the bucket are compared.
+* A set that is in fewer shared buckets than it meets every partner in has no partner, and leaves all its buckets; this
+  is done again as buckets empty. Most sets that share only a passage go here.
+* What a set still has to look into is all its buckets but need - 1, and it skips the fullest ones.
 
-Every pair that shares enough buckets is verified on its whole sets. Within a bucket each set is first compared with one
-pivot; only buckets that then still hold several components are searched for further pairs, so a group of
-thousands of near copies costs a comparison a copy, not one a pair. Pairs inside one component are not looked for.
+Every pair that is left is verified on its whole sets. First, for some turns, each bucket's components are compared
+with one pivot only, and buckets that hold one component are closed: a group of thousands of near copies costs a
+comparison a copy, not one a pair. Pairs inside one component are not looked for, all others are.
 
 Signatures travel from task to task as arrays, a blob for each part of the signature space; sets are kept nowhere, those
 of the few documents to be compared are made again from their texts.
@@ -23,11 +24,13 @@ of the few documents to be compared are made again from their texts.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,9 +43,11 @@ SIMILAR = (75, 100)
 # Bytes of text for each part of the signature space; a part is sorted in one task.
 PART_BYTES = 4 << 20
 # Signatures a task gathers before it sends them on.
-GATHERED = 4_000_000
-# Buckets of more sets are skipped where that loses nothing.
-LARGE_BUCKET = 64
+GATHERED = 1_500_000
+# Rows of a batch of texts or sets that a task holds.
+BATCH_ROWS = 400
+# Turns in which buckets are compared with a pivot before all pairs that are left.
+STAR_TURNS = 2
 # Ids of sets to be read again that are sent to all tasks; beyond it the texts are joined.
 MOST_SENT = 2_000_000
 
@@ -285,15 +290,67 @@ def _similar(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(found, pa.bool_())
 
 
-def _links(pairs: DataFrame, documents: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-    """The pairs (a, b) whose sets are similar, by comparing the whole sets."""
-    pairs = stored(pairs, name)
+def _links(pairs: DataFrame, documents: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """The stored pairs (a, b) whose sets are similar, by comparing the whole sets; None if there are none."""
+    if not pairs.limit(1).count():
+        return None
     involved = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
     wanted = stored(sets.join(involved, "set_id", "left_semi").select("text_hash").distinct(), "wanted")
     contents = stored(_contents(documents, wanted), "contents")
     first = contents.select(F.col("set_id").alias("a"), F.col("elements").alias("of_a"))
     second = contents.select(F.col("set_id").alias("b"), F.col("elements").alias("of_b"))
-    return stored(pairs.join(second, "b").join(first, "a").where(_similar("of_a", "of_b")).select("a", "b"), "links")
+    found = stored(pairs.join(second, "b").join(first, "a").where(_similar("of_a", "of_b")).select("a", "b"), "links")
+    return found if found.limit(1).count() else None
+
+
+def _able(members: DataFrame, needs: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components, of sets that are in as many of these as they need.
+
+    A set meets each partner in ``need`` buckets or more. If it is in fewer that hold another component, it has no
+    partner left to find and leaves all of them.
+    """
+    holding = (
+        members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"))
+        .where("low <> high").select("key", "size"))
+    held = stored(members.select("key", "set_id", "component").join(holding, "key"), "held")
+    able = held.groupBy("set_id").agg(F.count(F.lit(1)).alias("met")).join(needs, "set_id").where("met >= need")
+    able = stored(able.select("set_id", "need", "met"), "able")
+    if able.count() <= MOST_SENT:
+        able = F.broadcast(able)
+    return held.join(able, "set_id").select("key", "set_id", "component", "need", "met", "size")
+
+
+def _star(members: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of each bucket's pivot with one set of each other component in it; another choice each turn.
+
+    In the first turn every set is a component, and pairs must share the buckets they need. The number of pairs is at
+    most that of the members.
+    """
+    chance = F.xxhash64("set_id", F.lit(turn))
+    pivots = members.groupBy("key").agg(F.min(F.struct(chance.alias("chance"), "set_id", "component")).alias("pivot"))
+    others = members
+    if turn:
+        others = members.groupBy("key", "component").agg(
+            F.min(F.struct(chance.alias("chance"), "set_id")).alias("first"), F.lit(1).alias("need"))
+        others = others.select("key", "component", "first.set_id", "need")
+    pairs = others.join(pivots, "key").where(F.col("component") != F.col("pivot.component"))
+    pairs = pairs.groupBy(
+        F.least("set_id", "pivot.set_id").alias("a"), F.greatest("set_id", "pivot.set_id").alias("b")).agg(
+        F.count(F.lit(1)).alias("shared"), F.max("need").alias("need"))
+    return pairs.where("shared >= need").select("a", "b")
+
+
+def _probed(members: DataFrame) -> DataFrame:
+    """All pairs (a, b) of different components that can still be similar, each found where it is cheapest.
+
+    A set needs to look into all but ``need - 1`` of its buckets to meet every partner: the smallest ones.
+    """
+    cheapest = F.row_number().over(Window.partitionBy("set_id").orderBy("size", "key"))
+    probes = members.withColumn("place", cheapest).where("place <= met - need + 1")
+    left = probes.select("key", F.col("set_id").alias("x"), F.col("component").alias("of_x"))
+    right = members.select("key", F.col("set_id").alias("y"), F.col("component").alias("of_y"))
+    met = left.join(right, "key").where("of_x <> of_y")
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -317,8 +374,25 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select("node", "component")
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Arrow batches of at most so many rows for the jobs run within: long texts and sets come by the batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def grouped(documents: DataFrame) -> DataFrame:
     """``doc_id, text_hash, n_shingles, component`` of every document; the component is a set's id, null for an empty set."""
+    with batches_of(documents.sparkSession, BATCH_ROWS):
+        return _grouped(documents)
+
+
+def _grouped(documents: DataFrame) -> DataFrame:
     documents = documents.select("doc_id", "text")
     size = documents.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -329,38 +403,26 @@ def grouped(documents: DataFrame) -> DataFrame:
     filled = rows.where("n_shingles > 0")
     sets = filled.groupBy("set_id").agg(F.min("need").alias("need"), F.min("text_hash").alias("text_hash"))
 
-    # Each set with the pivots it shares enough buckets with.
-    needs = sets.select("set_id", "need")
-    star = (
-        members.where("set_id <> pivot").groupBy("pivot", "set_id").agg(F.count(F.lit(1)).alias("shared"))
-        .join(needs, "set_id").where("shared >= need").select(F.col("pivot").alias("a"), F.col("set_id").alias("b")))
-    links = _links(star, documents, sets, "star_pairs")
-    of = components(links)
-
-    # Buckets that still hold several components.
-    marked = members.select("key", "set_id").join(of.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-        "key", "set_id", F.coalesce("component", "set_id").alias("component"))
-    marked = stored(marked, "marked")
-    open_buckets = (
-        marked.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low <> high").select("key", "size"))
-    remaining = stored(marked.join(open_buckets, "key"), "open_buckets")
-    skipped = remaining.where(F.col("size") > LARGE_BUCKET).groupBy("set_id").agg(F.count(F.lit(1)).alias("skipped"))
-    budget = needs.join(skipped, "set_id", "left").select(
-        "set_id", (F.col("need") - F.coalesce("skipped", F.lit(0))).alias("need"))
-    remaining = stored(remaining.join(budget, "set_id"), "open_members")
-    # In large buckets only sets that might meet a partner nowhere else.
-    kept = remaining.where((F.col("size") <= LARGE_BUCKET) | (F.col("need") <= 0))
-    left = kept.select("key", F.col("set_id").alias("a"), F.col("component").alias("of_a"), F.col("need").alias("need_a"))
-    right = kept.select("key", F.col("set_id").alias("b"), F.col("component").alias("of_b"), F.col("need").alias("need_b"))
-    pairs = (
-        left.join(right, "key").where("of_a <> of_b AND a < b").groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("shared"), F.max(F.greatest("need_a", "need_b")).alias("need"))
-        .where("shared >= need").select("a", "b")
-        .join(stored(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "star"), ["a", "b"], "left_anti"))
-    further = _links(pairs, documents, sets, "further_pairs")
-    of = components(links.unionAll(further))
+    needs = stored(sets.select("set_id", F.greatest("need", F.lit(1)).alias("need")), "needs")
+    members = members.select("key", "set_id", F.col("set_id").alias("component"))
+    members = _able(_able(members, needs), needs)
+    links = tried = members.select(F.col("set_id").alias("a"), F.col("set_id").alias("b")).limit(0)
+    of = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    for turn in range(STAR_TURNS + 1):
+        if not members.limit(1).count():
+            break
+        last = turn == STAR_TURNS
+        pairs = _probed(members) if last else _star(members, turn)
+        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti") if turn else pairs, "pairs")
+        tried = tried.unionAll(pairs)
+        found = _links(pairs, documents, sets)
+        if found is not None:
+            links = links.unionAll(found)
+            of = components(links)
+        if found is not None and not last:
+            members = members.select("key", "set_id").join(of.withColumnRenamed("node", "set_id"), "set_id", "left").select(
+                "key", "set_id", F.coalesce("component", "set_id").alias("component"))
+            members = _able(members, needs)
 
     named = filled.join(of.withColumnRenamed("node", "set_id"), "set_id", "left").select(
         "doc_id", "text_hash", "n_shingles", F.coalesce("component", "set_id").alias("component"))

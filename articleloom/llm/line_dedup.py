@@ -3,7 +3,7 @@
 A line is the set of its distinct words. Words are ordered by rarity, rarest first, and a line is indexed by the first
 few of them only: lines of similarity t share a word within their first n - ceil(t n) + 1 (prefix filter). Pairs in a bucket
 are kept if their sizes allow the similarity (length filter), if enough words follow the shared one (positional filter)
-and if the parities of their words in 64 bits differ in no more places than the sets may differ in words. What is left
+and if the parities of their words in 32 bits differ in no more places than the sets may differ in words. What is left
 is verified on the whole sets.
 
 Rarity is the count over the whole corpus of a word's bucket among ``RARITY`` buckets, a table of bounded size. Any order
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from articleloom.llm.ngram_join import MOST_SENT, mixed
+from articleloom.llm.ngram_join import MOST_SENT, batches_of, mixed
 from articleloom.sources.scratch import stored
 
 # Similarity as a fraction, and the distinct words from which a line takes part: shorter ones are headings and the like.
@@ -35,12 +35,15 @@ RARITY_BITS = 17
 RARITY = 1 << RARITY_BITS
 
 # Bytes of text for each part of the index, text that a task works on at once, and entries it gathers.
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 AT_ONCE = 2_000_000
 GATHERED = 2_000_000
 LARGE_BUCKET = 200
+BATCH_ROWS = 2000
+# Sizes from which an entry only says that a line is so long.
+LARGEST = 60_000
 
-_ONE = np.uint64(1)
+_ONE = np.uint32(1)
 
 
 def least_overlap(n, m):
@@ -60,42 +63,53 @@ def _words(data: bytes) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def rarity(documents: DataFrame) -> np.ndarray:
-    """The place of each bucket of words when they are ordered by how often their words occur."""
+def rarity(documents: DataFrame) -> tuple[np.ndarray, int]:
+    """The place of each bucket of words when they are ordered by how often their words occur, and the bytes of all texts."""
 
     def count(batches):
-        counts = np.zeros(RARITY, np.int64)
+        counts, codes, gathered, size = np.zeros(RARITY, np.int64), [], 0, 0
         for frame in batches:
             for text in frame.column(0):
                 if text.is_valid:
-                    found = _words(text.as_py().encode().lower())
-                    counts += np.bincount((found & np.uint64(RARITY - 1)).astype(np.int64), minlength=RARITY) \
-                        if len(found) > RARITY else 0
-                    if 0 < len(found) <= RARITY:
-                        np.add.at(counts, (found & np.uint64(RARITY - 1)).astype(np.int64), 1)
+                    data = text.as_py().encode()
+                    size += len(data)
+                    codes.append(_words(data.lower()))
+                    gathered += len(codes[-1])
+                    if gathered > AT_ONCE:
+                        counts += _buckets(codes)
+                        codes, gathered = [], 0
+        if codes:
+            counts += _buckets(codes)
         buckets = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(counts[buckets])], ["bucket", "words"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(buckets, -1)), pa.array(np.append(counts[buckets], size))], ["bucket", "words"])
 
     counted = documents.select("text").mapInArrow(count, "bucket bigint, words bigint")
     totals = counted.groupBy("bucket").agg(F.sum("words").alias("words")).toPandas()  # at most RARITY rows
+    size = int(totals["words"][totals["bucket"] < 0].sum())
+    totals = totals[totals["bucket"] >= 0]
     counts = np.zeros(RARITY, np.int64)
     counts[totals["bucket"].to_numpy()] = totals["words"].to_numpy()
     places = np.empty(RARITY, np.uint64)
     places[np.argsort(counts, kind="stable")] = np.arange(RARITY, dtype=np.uint64)
-    return places
+    return places, size
+
+
+def _buckets(codes: list[np.ndarray]) -> np.ndarray:
+    return np.bincount((np.concatenate(codes) & np.uint64(RARITY - 1)).astype(np.int64), minlength=RARITY)
 
 
 class Lines:
     """The lines of some texts that take part, as flat arrays: words by line, rarest first."""
 
-    def __init__(self, texts: list[str], places: np.ndarray):
+    def __init__(self, texts: list[str], places: np.ndarray, wanted: list[list[int]] | None = None):
         lines, owners, numbers = [], [], []
         self.line_counts = []
         for owner, text in enumerate(texts):
             split = text.encode().lower().split(b"\n")
             self.line_counts.append(len(split))
-            for number, line in enumerate(split):
-                words = line.split()
+            for number in range(len(split)) if wanted is None else wanted[owner]:
+                words = split[number].split()
                 if len(words) >= LEAST_WORDS:
                     lines.append(words)
                     owners.append(owner)
@@ -121,23 +135,23 @@ class Lines:
             at = self.starts[:-1]
             sums = np.add.reduceat(spread, at) + self.sizes.astype(np.uint64)
             self.ids = mixed(sums).view(np.int64)
-            self.parity = np.bitwise_xor.reduceat(_ONE << (spread >> np.uint64(58)), at)
+            self.parity = np.bitwise_xor.reduceat(_ONE << (spread >> np.uint64(59)).astype(np.uint32), at)
             self.spread = spread
         else:
-            self.ids, self.parity, self.spread = np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+            self.ids, self.parity, self.spread = np.empty(0, np.int64), np.empty(0, np.uint32), np.empty(0, np.uint64)
 
 
-GATHER = ("part int, sets binary, keys binary, doc_id bigint, text_hash bigint, lines int, line int, set_id bigint")
-MET = ("kind int, a bigint, b bigint, key bigint, place int, size int, parity bigint, "
-       "doc_id bigint, text_hash bigint, lines int, line int")
+GATHER = "part int, keys binary, doc_id bigint, text_hash bigint, lines int, numbers binary, sets binary"
+MET = ("kind int, a bigint, b bigint, key bigint, place int, size int, parity int, differ int, "
+       "doc_id bigint, text_hash bigint, lines int, numbers array<int>, sets array<bigint>")
 
-# What an index blob holds of each entry and of its set.
-ENTRY = np.dtype([("key", np.uint32), ("place", np.uint16), ("size", np.uint16)])
-SET = np.dtype([("id", np.int64), ("parity", np.uint64), ("count", np.int32)])
+# An entry of the index: a set and one of its rarest words.
+ENTRY = np.dtype([("id", np.int64), ("key", np.uint32), ("parity", np.uint32), ("size", np.uint16), ("place", np.uint8)])
 
 
 def _schema(ddl: str) -> pa.Schema:
-    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(),
+             "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64())}
     return pa.schema([(name, kinds[kind]) for name, kind in (field.split() for field in ddl.split(", "))])
 
 
@@ -147,67 +161,54 @@ def _batch(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
 
 
 def _gather(documents: DataFrame, places: np.ndarray, parts: int) -> DataFrame:
-    """Index blobs for each part, a row for each line that takes part, and a row for each document (``set_id`` null)."""
+    """Index blobs for each part, and a row for each document with the numbers and sets of its lines that take part."""
     shared = documents.sparkSession.sparkContext.broadcast(places)
     schema = _schema(GATHER)
 
     def gather(batches):
-        places, seen, sets, entries = shared.value, set(), [], []
+        places, seen, entries = shared.value, set(), []
         spread = TaskContext.get().partitionId()
 
         def blobs():
-            if not sets:
+            if not entries:
                 return
-            every = np.concatenate(sets)
-            index = np.concatenate([found for found, _, _ in entries])
-            owner = np.repeat(np.arange(len(every)), every["count"])
-            part = np.concatenate([found for _, found, _ in entries])
+            index = np.concatenate([found for found, _ in entries])
+            part = np.concatenate([found for _, found in entries])
+            entries.clear()
             order = np.argsort(part, kind="stable")
             edges = np.searchsorted(part[order], np.arange(parts + 1))
             for k in range(parts):
-                mine = order[edges[k]:edges[k + 1]]
-                if len(mine):
-                    own, counts = np.unique(owner[mine], return_counts=True)
-                    chosen = every[own]
-                    chosen["count"] = counts
-                    yield _batch(schema, 1, part=[k], sets=[chosen.tobytes()], keys=[index[mine].tobytes()])
-            sets.clear()
-            entries.clear()
+                if edges[k] < edges[k + 1]:
+                    yield _batch(schema, 1, part=[k], keys=[index[order[edges[k]:edges[k + 1]]].tobytes()])
 
         def work(ids, texts, hashes):
             nonlocal spread
             lines = Lines(texts, places)
             n = len(texts)
+            edges = np.searchsorted(lines.owners, np.arange(n + 1)).tolist()
+            cuts = list(zip(edges, edges[1:], strict=False))
+            # Documents are dealt out over the parts evenly, whichever sets they hold.
             yield _batch(schema, n, part=(np.arange(spread, spread + n) % parts).astype(np.int32), doc_id=ids, text_hash=hashes,
-                         lines=lines.line_counts)
+                         lines=lines.line_counts, numbers=[lines.numbers[a:b].astype(np.int32).tobytes() for a, b in cuts],
+                         sets=[lines.ids[a:b].tobytes() for a, b in cuts])
             spread += n
-            if not len(lines.ids):
-                return
-            owners = lines.owners.tolist()
-            # Lines are dealt out over the parts evenly, whichever sets they hold.
-            yield _batch(schema, len(owners), part=(np.arange(spread, spread + len(owners)) % parts).astype(np.int32),
-                         doc_id=[ids[k] for k in owners], text_hash=[hashes[k] for k in owners],
-                         line=lines.numbers, set_id=lines.ids)
-            spread += len(owners)
             # A task indexes each distinct set once.
             _, firsts = np.unique(lines.ids, return_index=True)
-            fresh = [k for k in firsts.tolist() if int(lines.ids[k]) not in seen]
+            fresh = [k for k, identity in zip(firsts.tolist(), lines.ids[firsts].tolist(), strict=True) if identity not in seen]
             seen.update(lines.ids[fresh].tolist())
             if not fresh:
                 return
             fresh = np.array(fresh)
             counts = prefix_length(lines.sizes[fresh])
-            place = np.concatenate([np.arange(c) for c in counts.tolist()])
-            at = np.repeat(lines.starts[fresh], counts) + place
-            key = mixed(lines.spread[at])
-            found = np.empty(len(at), ENTRY)
-            found["key"] = key.astype(np.uint32)
-            found["place"] = np.minimum(place, 65535)
-            found["size"] = np.minimum(np.repeat(lines.sizes[fresh], counts), 65535)
-            chosen = np.empty(len(fresh), SET)
-            chosen["id"], chosen["parity"], chosen["count"] = lines.ids[fresh], lines.parity[fresh], counts
-            sets.append(chosen)
-            entries.append((found, ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64), None))
+            ends = np.cumsum(counts)
+            place = np.arange(ends[-1]) - np.repeat(ends - counts, counts)
+            key = mixed(lines.spread[np.repeat(lines.starts[fresh], counts) + place])
+            found = np.empty(len(key), ENTRY)
+            found["id"], found["key"] = np.repeat(lines.ids[fresh], counts), key.astype(np.uint32)
+            found["parity"] = np.repeat(lines.parity[fresh], counts)
+            # Of longer lines and later places the filters only know that they are at least so large.
+            found["size"], found["place"] = np.minimum(np.repeat(lines.sizes[fresh], counts), LARGEST), np.minimum(place, 255)
+            entries.append((found, ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)))
 
         size, group = 0, ([], [], [])
         for frame in batches:
@@ -218,7 +219,7 @@ def _gather(documents: DataFrame, places: np.ndarray, parts: int) -> DataFrame:
                 if size > AT_ONCE:
                     yield from work(*group)
                     size, group = 0, ([], [], [])
-                    if sum(len(found) for found, _, _ in entries) > GATHERED:
+                    if sum(len(found) for found, _ in entries) > GATHERED:
                         yield from blobs()
         if group[0]:
             yield from work(*group)
@@ -232,39 +233,36 @@ def passes(size_a, size_b, place_a, place_b, differ):
     low, high = SIMILAR
     overlap = least_overlap(size_a, size_b)
     short, long_ = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
-    return (high * short >= low * long_) & (
-        1 + np.minimum(size_a - place_a, size_b - place_b) - 1 >= overlap) & (
-        differ <= size_a + size_b - 2 * overlap)
+    return (long_ >= LARGEST) | (
+        (high * short >= low * long_) & (np.minimum(size_a - place_a, size_b - place_b) >= overlap)
+        & (differ <= size_a + size_b - 2 * overlap))
 
 
 def _meet(gathered: DataFrame, parts: int) -> DataFrame:
-    """Kind 0: documents and lines as they were; kind 1: pairs of small buckets that pass the filters; kind 2: members of large ones."""
+    """Kind 0: the documents; kind 1: pairs of small buckets that pass the filters; kind 2: members of large buckets."""
     schema = _schema(MET)
 
     def meet(batches):
         blobs: dict[int, list] = {}
         for frame in batches:
-            for row in frame.filter(frame.column("keys").is_valid()).select(["part", "sets", "keys"]).to_pylist():
-                blobs.setdefault(row["part"], []).append((row["sets"], row["keys"]))
+            for row in frame.filter(frame.column("keys").is_valid()).select(["part", "keys"]).to_pylist():
+                blobs.setdefault(row["part"], []).append(row["keys"])
             rest = frame.filter(frame.column("keys").is_null())
             n = rest.num_rows
             if n:
-                yield _batch(schema, n, kind=np.zeros(n, np.int32), a=rest.column("set_id"),
-                             **{name: rest.column(name) for name in ("doc_id", "text_hash", "lines", "line")})
+                arrays = {name: [np.frombuffer(row.as_py(), kind) for row in rest.column(name)]
+                          for name, kind in (("numbers", np.int32), ("sets", np.int64))}
+                yield _batch(schema, n, kind=np.zeros(n, np.int32), **arrays,
+                             **{name: rest.column(name) for name in ("doc_id", "text_hash", "lines")})
         for part, found in blobs.items():
-            sets = np.concatenate([np.frombuffer(a, SET) for a, _ in found])
-            entries = np.concatenate([np.frombuffer(b, ENTRY) for _, b in found])
+            entries = np.concatenate([np.frombuffer(blob, ENTRY) for blob in found])
             found.clear()
-            owner = np.repeat(np.arange(len(sets)), sets["count"])
-            ids, parity = sets["id"][owner], sets["parity"][owner]
-            order = np.lexsort((ids, entries["size"], entries["key"]))
-            entries, ids, parity = entries[order], ids[order], parity[order]
-            new = np.ones(len(ids), bool)
-            # The same set from several tasks.
-            new[1:] = (ids[1:] != ids[:-1]) | (entries["key"][1:] != entries["key"][:-1]) | (
-                entries["place"][1:] != entries["place"][:-1])
-            entries, ids, parity = entries[new], ids[new], parity[new]
-            key = entries["key"].astype(np.int64)
+            # The same set comes from several tasks.
+            entries = entries[np.lexsort((entries["id"], entries["size"], entries["key"]))]
+            new = np.ones(len(entries), bool)
+            new[1:] = (entries["id"][1:] != entries["id"][:-1]) | (entries["key"][1:] != entries["key"][:-1])
+            entries = entries[new]
+            ids, parity, key = entries["id"], entries["parity"], entries["key"].astype(np.int64)
             size, place = entries["size"].astype(np.int64), entries["place"].astype(np.int64)
             starts = np.flatnonzero(np.diff(key, prepend=-1))
             counts = np.diff(np.append(starts, len(key)))
@@ -277,41 +275,45 @@ def _meet(gathered: DataFrame, parts: int) -> DataFrame:
                 if not len(here):
                     break
                 there = here + step
-                good = passes(size[here], size[there], place[here], place[there], np.bitwise_count(parity[here] ^ parity[there]))
+                differ = np.bitwise_count(parity[here] ^ parity[there]).astype(np.int64)
+                good = passes(size[here], size[there], place[here], place[there], differ)
                 a, b = ids[here[good]], ids[there[good]]
-                pairs.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)[a != b])
+                pairs.append(np.stack([np.minimum(a, b), np.maximum(a, b), differ[good]], axis=1))
             if pairs and len(pairs := np.concatenate(pairs)):
                 pairs = np.unique(pairs, axis=0)
-                yield _batch(schema, len(pairs), kind=np.ones(len(pairs), np.int32), a=pairs[:, 0], b=pairs[:, 1])
+                yield _batch(schema, len(pairs), kind=np.ones(len(pairs), np.int32), a=pairs[:, 0], b=pairs[:, 1],
+                             differ=pairs[:, 2].astype(np.int32))
             if large.any():
-                n = int(large.sum())
-                yield _batch(schema, n, kind=np.full(n, 2, np.int32), a=ids[large], key=(np.int64(part) << np.int64(32)) + key[large],
-                             place=place[large].astype(np.int32), size=size[large].astype(np.int32),
-                             parity=parity[large].view(np.int64))
+                yield _batch(schema, n := int(large.sum()), kind=np.full(n, 2, np.int32), a=ids[large],
+                             key=(np.int64(part) << np.int64(32)) + key[large], place=place[large].astype(np.int32),
+                             size=size[large].astype(np.int32), parity=parity[large].view(np.int32))
 
     return gathered.repartition(parts, "part").mapInArrow(meet, MET)
 
 
-def _contents(documents: DataFrame, places: np.ndarray, wanted: DataFrame, involved: DataFrame) -> DataFrame:
-    """``set_id, words binary`` of the involved sets, from the texts with the wanted hashes."""
+def _contents(documents: DataFrame, places: np.ndarray, involved: DataFrame) -> DataFrame:
+    """``set_id, words binary`` of sets (``set_id, first``), each from its first line."""
     shared = documents.sparkSession.sparkContext.broadcast(places)
+    wanted = stored(
+        involved.groupBy(F.col("first.text_hash").alias("text_hash")).agg(F.sort_array(F.collect_set("first.line")).alias("numbers")),
+        "wanted_lines")
 
     def make(batches):
         seen = set()
         for frame in batches:
             for start in range(0, frame.num_rows, 200):
-                lines = Lines([text or "" for text in frame.column(0).slice(start, 200).to_pylist()], shared.value)
-                _, firsts = np.unique(lines.ids, return_index=True)
-                fresh = [k for k in firsts.tolist() if int(lines.ids[k]) not in seen]
-                seen.update(lines.ids[fresh].tolist())
-                words = [lines.words[lines.starts[k]:lines.starts[k + 1]].tobytes() for k in fresh]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lines.ids[fresh], pa.int64()), pa.array(words, pa.binary())], ["set_id", "words"])
+                part = frame.slice(start, 200)
+                texts, numbers = (part.column(i).to_pylist() for i in (0, 1))
+                # Of texts that are stored often a task reads one.
+                new = [k for k, found in enumerate(part.column(2).to_pylist()) if not (found in seen or seen.add(found))]
+                lines = Lines([texts[k] or "" for k in new], shared.value, [numbers[k] for k in new])
+                words = [lines.words[a:b].tobytes() for a, b in zip(lines.starts, lines.starts[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([pa.array(lines.ids, pa.int64()), pa.array(words, pa.binary())], ["set_id", "words"])
 
     if wanted.count() <= MOST_SENT:
         wanted = F.broadcast(wanted)
-    texts = documents.withColumn("text_hash", F.xxhash64("text")).join(wanted, "text_hash", "left_semi").select("text")
-    made = texts.mapInArrow(make, "set_id bigint, words binary").join(involved, "set_id", "left_semi")
+    texts = documents.withColumn("text_hash", F.xxhash64("text")).join(wanted, "text_hash").select("text", "numbers", "text_hash")
+    made = texts.mapInArrow(make, "set_id bigint, words binary")
     return made.groupBy("set_id").agg(F.first("words").alias("words"))
 
 
@@ -326,16 +328,38 @@ def _similar(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(found, pa.bool_())
 
 
-def _later(pairs: DataFrame, documents: DataFrame, places: np.ndarray, sets: DataFrame) -> DataFrame:
-    """``set_id`` of the later set of every pair (a, b) that is similar."""
-    involved = stored(pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct(), "involved")
-    wanted = stored(sets.join(involved, "set_id").select(F.col("first.text_hash").alias("text_hash")).distinct(), "wanted")
-    contents = stored(_contents(documents, places, wanted, involved), "contents")
-    firsts = stored(sets.join(involved, "set_id", "left_semi").select("set_id", "first").join(contents, "set_id"), "known")
-    a = firsts.select(F.col("set_id").alias("a"), F.col("words").alias("of_a"), F.col("first").alias("first_a"))
-    b = firsts.select(F.col("set_id").alias("b"), F.col("words").alias("of_b"), F.col("first").alias("first_b"))
-    similar = pairs.join(a, "a").join(b, "b").where(_similar("of_a", "of_b"))
-    return similar.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("set_id")).distinct()
+def _oriented(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b, differ) as (``early, late, differ``) by their first lines."""
+    a = sets.select(F.col("set_id").alias("a"), F.col("first").alias("of_a"))
+    b = sets.select(F.col("set_id").alias("b"), F.col("first").alias("of_b"))
+    ordered = pairs.join(a, "a").join(b, "b").withColumn("straight", F.col("of_a") < F.col("of_b"))
+    return ordered.select(
+        F.when(F.col("straight"), F.col("a")).otherwise(F.col("b")).alias("early"),
+        F.when(F.col("straight"), F.col("b")).otherwise(F.col("a")).alias("late"), "differ")
+
+
+def _similar_late(pairs: DataFrame, documents: DataFrame, places: np.ndarray, sets: DataFrame) -> DataFrame:
+    """``set_id`` of the late sets that are similar to their early one, by comparing the whole sets."""
+    if not pairs.limit(1).count():
+        return pairs.select(F.col("late").alias("set_id"))
+    involved = pairs.select(F.col("early").alias("set_id")).union(pairs.select("late")).distinct()
+    contents = stored(_contents(documents, places, stored(sets.join(involved, "set_id"), "involved")), "contents")
+    early = contents.select(F.col("set_id").alias("early"), F.col("words").alias("of_early"))
+    late = contents.select(F.col("set_id").alias("late"), F.col("words").alias("of_late"))
+    return pairs.join(early, "early").join(late, "late").where(_similar("of_early", "of_late")).select(
+        F.col("late").alias("set_id")).distinct()
+
+
+def _gone(pairs: DataFrame, documents: DataFrame, places: np.ndarray, sets: DataFrame) -> DataFrame:
+    """``set_id`` of every set that is similar to an early one of its pairs (``early, late, differ``).
+
+    Each set is compared with its likeliest partner first, and only those that this does not settle with all others.
+    """
+    likeliest = pairs.groupBy("late").agg(F.min(F.struct("differ", "early")).alias("best"))
+    first = stored(likeliest.select(F.col("best.early").alias("early"), "late"), "likeliest")
+    gone = stored(_similar_late(first, documents, places, sets), "gone")
+    others = pairs.select("early", "late").join(gone, F.col("late") == F.col("set_id"), "left_anti").join(first, ["early", "late"], "left_anti")
+    return stored(gone.union(_similar_late(stored(others.distinct(), "other_pairs"), documents, places, sets)), "gone")
 
 
 def line_verdicts(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -346,45 +370,51 @@ def line_verdicts(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     document, then hash of its text, then their place; null ids come last. Shorter lines always stay. Rows that repeat both id and text
     are one document. Null texts have one empty line. Other columns are not read.
     """
-    documents = documents.select("doc_id", "text")
-    size = documents.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    with batches_of(documents.sparkSession, BATCH_ROWS):
+        return _line_verdicts(documents.select("doc_id", "text"))
+
+
+def _line_verdicts(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    places, size = rarity(documents)
     parts = max(2 * partitions, size // PART_BYTES + 1)
-    places = rarity(documents)
     met = stored(_meet(_gather(documents, places, parts), parts), "lines")
-    rows = met.where("kind = 0 AND a IS NULL").select("doc_id", "text_hash", "lines")
-    lines = met.where("kind = 0 AND a IS NOT NULL").select("doc_id", "text_hash", "line", F.col("a").alias("set_id"))
+    rows = met.where("kind = 0").select("doc_id", "text_hash", "lines", "numbers", "sets")
+    lines = rows.select("doc_id", "text_hash", F.explode(F.arrays_zip("numbers", "sets")).alias("at")).select(
+        "doc_id", "text_hash", F.col("at.numbers").alias("line"), F.col("at.sets").alias("set_id"))
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "line").alias("place")
     sets = stored(lines.groupBy("set_id").agg(F.min(place).alias("first")), "line_sets")
 
-    members = stored(
-        met.where("kind = 2").select(F.col("a").alias("set_id"), "key", "place", "size", "parity").join(sets, "set_id"), "large")
-    earliest = members.groupBy("key").agg(F.min(F.struct("first", "set_id", "place", "size", "parity")).alias("pivot"))
-    overlap = F.expr(f"({SIMILAR[0]} * (a.size + b.size) + {sum(SIMILAR) - 1}) div {sum(SIMILAR)}")
-    good = (
-        F.expr(f"{SIMILAR[1]} * least(a.size, b.size) >= {SIMILAR[0]} * greatest(a.size, b.size)")
-        & (F.least(F.expr("a.size - a.place"), F.expr("b.size - b.place")) >= overlap)
-        & (F.expr("bit_count(a.parity ^ b.parity)") <= F.expr("a.size + b.size") - 2 * overlap))
-    each = F.least("a.set_id", "b.set_id").alias("a"), F.greatest("a.set_id", "b.set_id").alias("b")
-    star = (
-        members.alias("b").join(earliest.select("key", "pivot.*").alias("a"), "key")
-        .where(good & F.expr("a.set_id <> b.set_id")).select(*each))
-    small = met.where("kind = 1").select("a", "b")
-    pairs = stored(small.unionAll(star).distinct(), "line_pairs")
-    gone = stored(_later(pairs, documents, places, sets), "later_sets")
-
-    # Of the large buckets, the sets that are still there with all earlier members.
-    open_sets = members.join(gone, "set_id", "left_anti")
-    further = (
-        open_sets.alias("b").join(members.alias("a"), "key").where(good & (F.col("a.first") < F.col("b.first"))).select(*each)
-        .distinct().join(pairs, ["a", "b"], "left_anti"))
-    gone = stored(gone.union(_later(stored(further, "further_line_pairs"), documents, places, sets)).distinct(), "gone_sets")
+    small = stored(
+        met.where("kind = 1").groupBy("a", "b").agg(F.min("differ").alias("differ")), "line_pairs")
+    pairs = stored(_oriented(small, sets), "ordered_pairs")
+    gone = _gone(pairs, documents, places, sets)
+
+    # In large buckets the earliest line is compared with all others, then what that leaves with all earlier ones.
+    members = met.where("kind = 2").select(F.col("a").alias("set_id"), "key", "place", "size", "parity")
+    if members.limit(1).count():
+        members = stored(members.join(sets, "set_id"), "large")
+        earliest = members.groupBy("key").agg(F.min(F.struct("first", "set_id", "place", "size", "parity")).alias("pivot"))
+        overlap = F.expr(f"({SIMILAR[0]} * (a.size + b.size) + {sum(SIMILAR) - 1}) div {sum(SIMILAR)}")
+        differ = F.expr("bit_count(CAST(a.parity ^ b.parity AS bigint) & 4294967295L)")
+        good = F.expr(f"greatest(a.size, b.size) >= {LARGEST}") | (
+            F.expr(f"{SIMILAR[1]} * least(a.size, b.size) >= {SIMILAR[0]} * greatest(a.size, b.size)")
+            & (F.least(F.expr("a.size - a.place"), F.expr("b.size - b.place")) >= overlap)
+            & (differ <= F.expr("a.size + b.size") - 2 * overlap))
+        found = [F.col("a.set_id").alias("early"), F.col("b.set_id").alias("late"), differ.alias("differ")]
+        still = members.join(gone, "set_id", "left_anti")
+        star = still.alias("b").join(earliest.select("key", "pivot.*").alias("a"), "key").where(
+            good & F.expr("a.set_id <> b.set_id")).select(*found).distinct()
+        gone = stored(gone.union(_gone(stored(star, "star_pairs"), documents, places, sets)), "gone")
+        still = members.join(gone, "set_id", "left_anti")
+        every = still.alias("b").join(members.alias("a"), "key").where(good & (F.col("a.first") < F.col("b.first"))).select(*found).distinct()
+        gone = stored(gone.union(_gone(stored(every, "large_pairs"), documents, places, sets)), "gone")
 
     marked = stored(
-        sets.join(gone.withColumn("gone", F.lit(True)), "set_id", "left").select("set_id", "first", F.coalesce("gone", F.lit(False)).alias("gone")),
-        "marked_sets")
+        sets.join(gone.distinct().withColumn("gone", F.lit(True)), "set_id", "left").select(
+            "set_id", "first", F.coalesce("gone", F.lit(False)).alias("gone")), "marked_sets")
     removed = lines.join(marked, "set_id").where(F.col("gone") | (place != F.col("first"))).select("doc_id", "text_hash", "line")
-    return removed.distinct(), rows
+    return removed.distinct(), rows.select("doc_id", "text_hash", "lines")
 
 
 def removed_lines(documents: DataFrame) -> DataFrame:

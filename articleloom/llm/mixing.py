@@ -44,10 +44,11 @@ def source_rates(documents: DataFrame, weights: dict[str, float] | None = None,
         for name, value in weights.items():
             weight = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(value))).otherwise(weight)
     weighed = sizes.withColumn("weight", weight)
-    totals = weighed.agg(F.sum("bytes").alias("total"), F.sum("weight").alias("weights"))
-    rate = F.col("total") * F.col("weight") / F.col("weights") / F.col("bytes")
-    return weighed.join(F.broadcast(totals)).select(
-        "source", "bytes", F.when(F.col("bytes") == 0, 1.0).otherwise(F.coalesce(rate, F.lit(1.0))).alias("rate"))
+    total, weights_of_all = weighed.agg(F.sum("bytes"), F.sum("weight")).first()
+    if not total or not weights_of_all:
+        return weighed.select("source", "bytes", F.lit(1.0).alias("rate"))
+    rate = F.lit(total) * F.col("weight") / F.lit(weights_of_all) / F.col("bytes")
+    return weighed.select("source", "bytes", F.when(F.col("bytes") == 0, 1.0).otherwise(rate).alias("rate"))
 
 
 def poisson(chance: Column, mean: Column, most: int = MOST_COPIES) -> Column:

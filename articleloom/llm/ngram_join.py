@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +46,9 @@ PART_BYTES = 4 << 20
 GATHERED = 1_500_000
 # Rows of a batch of texts or sets that a task holds.
 BATCH_ROWS = 400
+# Bands up to this size are cut into so many segments an element.
+FINE_BAND = 128
+FINE_SEGMENTS = 8
 # Turns in which buckets are compared with a pivot before all pairs that are left.
 STAR_TURNS = 2
 # Ids of sets to be read again that are sent to all tasks; beyond it the texts are joined.
@@ -112,9 +115,15 @@ def bands(size: int) -> list[int]:
 
 
 def segment_count(top: int) -> int:
-    """Segments for a band: more than the largest difference, with some to spare for empty and skipped ones."""
+    """Segments for a band: more than the largest difference, with some to spare for empty and skipped ones.
+
+    Small sets are cut so finely that nearly every element has a segment of its own. They hold few of all elements, so it
+    costs little, and a set must then share two thirds of its elements to be compared.
+    """
     most = most_difference(top, top)
-    return 1 if not most else most + 2 + int(0.04 * top + 0.5 * top**0.5)
+    if not most:
+        return 1
+    return FINE_SEGMENTS * top if top <= FINE_BAND else most + 2 + int(0.04 * top + 0.5 * top**0.5)
 
 
 def signatures(elements: np.ndarray) -> tuple[np.ndarray, int]:
@@ -314,10 +323,10 @@ def _able(members: DataFrame, needs: DataFrame) -> DataFrame:
         .where("low <> high").select("key", "size"))
     held = stored(members.select("key", "set_id", "component").join(holding, "key"), "held")
     able = held.groupBy("set_id").agg(F.count(F.lit(1)).alias("met")).join(needs, "set_id").where("met >= need")
-    able = stored(able.select("set_id", "need", "met"), "able")
+    able = stored(able.select("set_id", "need", "met", "elements"), "able")
     if able.count() <= MOST_SENT:
         able = F.broadcast(able)
-    return held.join(able, "set_id").select("key", "set_id", "component", "need", "met", "size")
+    return held.join(able, "set_id").select("key", "set_id", "component", "need", "met", "size", "elements")
 
 
 def _star(members: DataFrame, turn: int) -> DataFrame:
@@ -327,19 +336,25 @@ def _star(members: DataFrame, turn: int) -> DataFrame:
     most that of the members.
     """
     chance = F.xxhash64("set_id", F.lit(turn))
-    pivots = members.groupBy("key").agg(F.min(F.struct(chance.alias("chance"), "set_id", "component")).alias("pivot"))
+    pivots = members.groupBy("key").agg(F.min(F.struct(chance.alias("chance"), "set_id", "component", "elements")).alias("pivot"))
     others = members
     if turn:
         others = members.groupBy("key", "component").agg(
-            F.min(F.struct(chance.alias("chance"), "set_id")).alias("first"), F.lit(1).alias("need"))
-        others = others.select("key", "component", "first.set_id", "need")
+            F.min(F.struct(chance.alias("chance"), "set_id", "elements")).alias("first"), F.lit(1).alias("need"))
+        others = others.select("key", "component", "first.set_id", "first.elements", "need")
     pairs = others.join(pivots, "key").where(F.col("component") != F.col("pivot.component"))
+    pairs = pairs.where(_sizes_fit("elements", "pivot.elements"))
     pairs = pairs.groupBy(
         F.least("set_id", "pivot.set_id").alias("a"), F.greatest("set_id", "pivot.set_id").alias("b")).agg(
         F.count(F.lit(1)).alias("shared"), F.max("need").alias("need"))
     return pairs.where("shared >= need").select("a", "b")
 
 
+def _sizes_fit(a: str, b: str) -> Column:
+    """Whether sets of these sizes can be similar at all."""
+    return SIMILAR[1] * F.least(a, b) >= SIMILAR[0] * F.greatest(a, b)
+
+
 def _probed(members: DataFrame) -> DataFrame:
     """All pairs (a, b) of different components that can still be similar, each found where it is cheapest.
 
@@ -347,9 +362,9 @@ def _probed(members: DataFrame) -> DataFrame:
     """
     cheapest = F.row_number().over(Window.partitionBy("set_id").orderBy("size", "key"))
     probes = members.withColumn("place", cheapest).where("place <= met - need + 1")
-    left = probes.select("key", F.col("set_id").alias("x"), F.col("component").alias("of_x"))
-    right = members.select("key", F.col("set_id").alias("y"), F.col("component").alias("of_y"))
-    met = left.join(right, "key").where("of_x <> of_y")
+    left = probes.select("key", F.col("set_id").alias("x"), F.col("component").alias("of_x"), F.col("elements").alias("size_x"))
+    right = members.select("key", F.col("set_id").alias("y"), F.col("component").alias("of_y"), F.col("elements").alias("size_y"))
+    met = left.join(right, "key").where(F.expr("of_x <> of_y") & _sizes_fit("size_x", "size_y"))
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -401,9 +416,10 @@ def _grouped(documents: DataFrame) -> DataFrame:
     rows = met.where(F.col("key").isNull()).select("doc_id", "set_id", "n_shingles", "need", "text_hash")
     members = met.where(F.col("key").isNotNull()).select("key", "set_id", "pivot")
     filled = rows.where("n_shingles > 0")
-    sets = filled.groupBy("set_id").agg(F.min("need").alias("need"), F.min("text_hash").alias("text_hash"))
+    sets = filled.groupBy("set_id").agg(
+        F.min("need").alias("need"), F.min("n_shingles").alias("size"), F.min("text_hash").alias("text_hash"))
 
-    needs = stored(sets.select("set_id", F.greatest("need", F.lit(1)).alias("need")), "needs")
+    needs = stored(sets.select("set_id", F.greatest("need", F.lit(1)).alias("need"), F.col("size").alias("elements")), "needs")
     members = members.select("key", "set_id", F.col("set_id").alias("component"))
     members = _able(_able(members, needs), needs)
     links = tried = members.select(F.col("set_id").alias("a"), F.col("set_id").alias("b")).limit(0)

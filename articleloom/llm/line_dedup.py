@@ -38,7 +38,7 @@ RARITY = 1 << RARITY_BITS
 PART_BYTES = 8 << 20
 AT_ONCE = 2_000_000
 GATHERED = 2_000_000
-LARGE_BUCKET = 200
+LARGE_BUCKET = 16
 BATCH_ROWS = 2000
 # Sizes from which an entry only says that a line is so long.
 LARGEST = 60_000

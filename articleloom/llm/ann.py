@@ -4,12 +4,14 @@ Centroids come from a bounded sample by balanced splitting: a cell with too many
 halves of equal size, until every cell is small. A graph over the centroids, held in memory, is searched greedily from
 a few entry points to find the centroids near a vector. Each vector is posted to the nearest list and, if it lies
 near a boundary, to further lists whose centroid is at most ``POST_RATIO`` times as far and not nearer to a list already
-chosen than to the vector. A query searches the lists whose centroid is at most ``SEARCH_RATIO`` times as far as the nearest.
+chosen than to the vector. A query searches every list whose centroid is at most ``SEARCH_RATIO`` times as far as the
+nearest, however many these are: queries are few, so they are compared with all centroids instead of by the graph.
 
 Vectors are scaled to length one, so Euclidean order is that of the cosine. Equal vectors are one
-candidate with its few smallest ids: none of the others can be among the nearest. Lists with many members are cut in
-blocks, so neither a list nor a hot vector is one task. The best of the blocks are scored again on the original vectors
-in double precision.
+candidate with its few smallest ids: none of the others can be among the nearest. Lists stand in the order in which cells were
+split and are cut into blocks of even size, so a block holds lists near each other, or a part of one, and neither a
+list nor a hot vector is one task; a query goes to a block once and is compared with all of it. The best of the blocks are
+scored again on the original vectors in double precision.
 """
 
 from __future__ import annotations
@@ -36,10 +38,13 @@ BEAM = 80
 ENTRIES = 16
 POST_LISTS = 4
 POST_RATIO = 1.1
+# Lists that a query searches at least; the ratio decides on all others.
 SEARCH_LISTS = 64
-LEAST_LISTS = 8
 SEARCH_RATIO = 1.3
-BLOCK = 4096
+# Blocks that a table is cut into, more if they would hold more vectors than ``BLOCK``, and queries that a task compares with one.
+BLOCKS = 64
+BLOCK = 32_768
+ASKED = 50_000
 
 
 def split_evenly(points: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,12 +149,23 @@ def lists_to_post(ids: np.ndarray, close: np.ndarray, centroids: np.ndarray) ->
 
 
 def lists_to_search(close: np.ndarray) -> np.ndarray:
-    """Which of the near lists a query searches: those not much farther than the nearest."""
+    """Which lists a query searches, by its cosines with all centroids: those not much farther than the nearest."""
     away = np.sqrt(np.maximum(2 - 2 * close, 0))
-    chosen = away <= SEARCH_RATIO * away[:, :1] + 1e-6
-    chosen[:, :LEAST_LISTS] = True
-    chosen[:, SEARCH_LISTS:] = False
-    return chosen & (close > -np.inf)
+    chosen = away <= SEARCH_RATIO * away.min(axis=1, keepdims=True) + 1e-6
+    least = min(SEARCH_LISTS, close.shape[1])
+    np.put_along_axis(chosen, np.argpartition(away, least - 1, axis=1)[:, :least], True, axis=1)
+    return chosen
+
+
+def blocks_to_search(vectors: np.ndarray, centroids: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
+    """The blocks that hold any part of the lists each vector searches; ``first`` and ``last`` are a list's blocks."""
+    found, most = [], int(last.max()) + 2
+    for start in range(0, len(vectors), 1024):
+        for row in lists_to_search(vectors[start:start + 1024] @ centroids.T):
+            row &= last >= first  # not those without members
+            opened = np.bincount(first[row], minlength=most) - np.bincount(last[row] + 1, minlength=most)
+            found.append(np.flatnonzero(np.cumsum(opened) > 0))
+    return found
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
@@ -186,17 +202,20 @@ def _scaled(rows: np.ndarray) -> np.ndarray:
     return (rows / np.linalg.norm(rows, axis=1, keepdims=True)).astype(np.float32)
 
 
-def cosine(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Cosines in double precision; the sum of a row does not depend on the rows beside it."""
-    lengths = np.sqrt((rows * rows).sum(axis=1)) * np.sqrt((query * query).sum())
-    return (rows * query).sum(axis=1) / lengths
+def cosine(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Cosines of each query with its rows in double precision; the sum of a row does not depend on the rows beside it."""
+    lengths = np.sqrt((rows * rows).sum(axis=2)) * np.sqrt((queries * queries).sum(axis=1))[:, None]
+    return (rows * queries[:, None]).sum(axis=2) / lengths
 
 
 def best_of_block(vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k + 1 best vectors of a block for each query of its list: ``query, score, ids``."""
-    found = []
+    """The k + 1 best vectors of a block for each query of it: ``query, score, ids``."""
+    found = [pd.DataFrame({"query": np.empty(0, np.int64), "score": np.empty(0), "ids": np.empty(0, object)})]
     if len(vectors) and len(queries):
-        rows, ids = _rows(vectors["embedding"]), vectors["ids"].to_list()
+        # A vector may be posted to several lists of the block.
+        vectors = vectors.drop_duplicates("vector")
+        rows, ids = _rows(vectors["embedding"]), vectors["ids"].to_numpy()
+        lowest = np.array([each[0] for each in ids])
         scaled = _scaled(rows)
         for start in range(0, len(queries), 512):
             part = queries.iloc[start:start + 512]
@@ -205,11 +224,13 @@ def best_of_block(vectors: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.Da
             # A few more than asked for by single precision, then the best of them by double.
             most = min(k + 9, len(rows))
             near = np.argpartition(-close, most - 1, axis=1)[:, :most]
-            for query, vector, places in zip(part["query"], asked, near, strict=True):
-                scores = cosine(vector, rows[places])
-                best = sorted(zip(-scores, (ids[place][0] for place in places), places, strict=True))[:k + 1]
-                found.extend((query, -score, ids[place]) for score, _, place in best)
-    return pd.DataFrame(found, columns=["query", "score", "ids"])
+            scores = cosine(asked, rows[near])
+            best = np.lexsort((lowest[near], -scores), axis=1)[:, :k + 1]
+            found.append(pd.DataFrame({
+                "query": np.repeat(part["query"].to_numpy(), best.shape[1]),
+                "score": np.take_along_axis(scores, best, axis=1).ravel(),
+                "ids": ids[np.take_along_axis(near, best, axis=1).ravel()]}))
+    return pd.concat(found, ignore_index=True) if len(found) > 1 else found[0]
 
 
 def _search(distinct: DataFrame, size: int, count: int, k: int) -> DataFrame:
@@ -228,30 +249,44 @@ def _search(distinct: DataFrame, size: int, count: int, k: int) -> DataFrame:
             if not len(frame):
                 continue
             ids, close = near_centroids(_scaled(_rows(frame["embedding"])), centroids, graph)
-            posted, searched = lists_to_post(ids, close, centroids), lists_to_search(close)
-            searched &= frame["asks"].to_numpy()[:, None]
+            posted = lists_to_post(ids, close, centroids)
             frame["posted"] = [row[on].tolist() for row, on in zip(ids, posted, strict=True)]
-            frame["searched"] = [row[on].tolist() for row, on in zip(ids, searched, strict=True)]
             yield frame
 
     placed = stored(own.select("vector", "ids", "embedding", "asks").mapInPandas(
         post, "vector bigint, ids array<bigint>, embedding array<double>, asks boolean, "
-              "posted array<bigint>, searched array<bigint>"), "posting_lists")
+              "posted array<bigint>"), "posting_lists")
     members = placed.select("vector", "ids", "embedding", F.explode("posted").alias("list"))
-    # At most CENTROIDS rows.
-    blocks = members.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    blocks = F.broadcast(blocks)
-    members = members.join(blocks, "list").select(
-        "list", F.pmod(F.xxhash64("vector"), F.col("blocks")).cast("int").alias("block"), "ids", "embedding")
+    # About CENTROIDS rows, of which the driver adds up where each list starts.
+    sizes = members.groupBy("list").agg(F.count(F.lit(1)).alias("rows")).toPandas()
+    rows = np.zeros(len(centroids), np.int64)
+    rows[sizes["list"].to_numpy()] = sizes["rows"].to_numpy()
+    starts = np.cumsum(rows) - rows
+    most = int(min(BLOCK, ceil(rows.sum() / BLOCKS)))
+    lists = F.broadcast(spark.createDataFrame(
+        [(k, int(start), int(n)) for k, (start, n) in enumerate(zip(starts, rows, strict=True)) if n], "list bigint, start bigint, rows bigint"))
+    known = spark.sparkContext.broadcast((starts // most, np.where(rows > 0, starts + rows - 1, -1) // most))
+    slices = ceil(placed.where("asks").count() / ASKED)
+
+    def ask(frames):
+        for frame in frames:
+            if len(frame):
+                blocks = blocks_to_search(_scaled(_rows(frame["asked"])), shared.value[0], *known.value)
+                yield frame.assign(blocks=[found.astype(np.int32) for found in blocks])
+
+    members = members.join(lists, "list").select(
+        F.floor((F.col("start") + F.pmod(F.xxhash64("vector"), F.col("rows"))) / most).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.lit(max(slices, 1) - 1))).alias("slice"), "vector", "ids", "embedding")
     queries = (
-        placed.where("asks").select(F.col("vector").alias("query"), F.col("embedding").alias("asked"), F.explode("searched").alias("list"))
-        .join(blocks, "list")
-        .select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "query", "asked"))
+        placed.where("asks").select(F.col("vector").alias("query"), F.col("embedding").alias("asked"))
+        .mapInPandas(ask, "query bigint, asked array<double>, blocks array<int>")
+        .select(F.explode("blocks").alias("block"),
+                F.pmod(F.xxhash64("query"), F.lit(max(slices, 1))).cast("int").alias("slice"), "query", "asked"))
 
     def search(vectors: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         return best_of_block(vectors, asked, k)
 
-    found = members.groupBy("list", "block").cogroup(queries.groupBy("list", "block")).applyInPandas(
+    found = members.groupBy("block", "slice").cogroup(queries.groupBy("block", "slice")).applyInPandas(
         search, "query bigint, score double, ids array<bigint>")
     each = found.select("query", F.explode("ids").alias("vec_id"), (-F.col("score")).alias("away")).distinct()
     rank = F.row_number().over(Window.partitionBy("query").orderBy("away", "vec_id"))

@@ -4,6 +4,8 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +58,42 @@ def test_recall(spark, monkeypatch):
         assert scores[0] == pytest.approx(a @ b / np.sqrt((a @ a) * (b @ b)), abs=1e-12)
 
 
+def test_the_ratio_alone_bounds_the_lists_searched():
+    """A thousand lists as far as each other, and some beyond the ratio; then two near ones among far ones."""
+    close = np.concatenate([np.full(1000, 0.5), np.full(200, -0.5)])[None]
+    assert ann.lists_to_search(close)[0].tolist() == [True] * 1000 + [False] * 200
+    close = np.concatenate([np.full(2, 0.99), np.full(500, 0.1)])[None]
+    assert ann.lists_to_search(close)[0].sum() == ann.SEARCH_LISTS
+
+
+def test_blocks_cover_the_lists(monkeypatch):
+    monkeypatch.setattr(ann, "SEARCH_LISTS", 1)
+    centroids = np.eye(4, dtype=np.float32)
+    first, last = np.array([0, 2, 2, 5]), np.array([2, 2, -1, 6])  # the third list has no members
+    vectors = np.eye(4, dtype=np.float32)
+    found = ann.blocks_to_search(vectors, centroids, first, last)
+    assert [blocks.tolist() for blocks in found] == [[0, 1, 2], [2], [], [5, 6]]
+
+
+def test_recall_of_a_large_table(spark, tmp_path):
+    """Production parameters on 200,000 vectors without clusters: the lists that hold the nearest are far more than 64."""
+    n, draw = 200_000, np.random.default_rng(7)
+    vectors = draw.normal(size=(n, 64)).astype(np.float32)
+    column = pa.FixedSizeListArray.from_arrays(pa.array(vectors.ravel()), 64).cast(pa.list_(pa.float32()))
+    for part in range(8):
+        pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": column}).slice(part * n // 8, n // 8), tmp_path / f"{part}.parquet")
+    found = ann.nearest(spark.read.parquet(str(tmp_path)), step=500).toPandas().groupby("query_id")["vec_id"].agg(set)
+    scaled = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    hits = 0
+    for query in range(0, n, 500):
+        scores = scaled @ scaled[query]
+        scores[query] = -2
+        hits += len(found[query] & set(np.argpartition(-scores, 5)[:5].tolist()))
+    assert len(found) == 400
+    print(f"recall {hits / 2000}")
+    assert hits / 2000 >= 0.9
+
+
 def test_copies_ties_and_vectors_that_take_no_part(spark):
     same, other = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
     rows = [(i, same) for i in range(0, 120)] + [(200, other), (200, other), (250, None), (300, [0.0] * 3), (350, [1.0, None, 0.0]),

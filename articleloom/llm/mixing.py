@@ -8,8 +8,6 @@ draws the same. The copies are range-partitioned by a hash of their own, a globa
 
 from __future__ import annotations
 
-from math import exp
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +19,8 @@ POWER = 0.7
 # Rows of the table of sources that are sent to all tasks; beyond it Spark plans a join.
 MOST_SOURCES = 50_000
 MOST_COPIES = 400
+# Largest mean that is drawn at once: exp(-mean) is still a normal number.
+MOST_MEAN = 700
 
 
 def unit(*parts: Column) -> Column:
@@ -55,7 +55,7 @@ def poisson(chance: Column, mean: Column, most: int = MOST_COPIES) -> Column:
     """The least k whose cumulated Poisson chance exceeds ``chance``: inversion, term by term.
 
     The state stops growing once it has passed ``chance``. A mean m needs about m + 10 sqrt(m) terms; means so large
-    that ``most`` terms are not enough should be split by the caller.
+    that ``most`` terms are not enough, or that exp(-m) vanishes, should be split by the caller, as ``copies_drawn`` does.
     """
     first = F.exp(-mean)
     start = F.struct(F.lit(0).alias("k"), first.alias("term"), first.alias("sum"))
@@ -69,6 +69,20 @@ def poisson(chance: Column, mean: Column, most: int = MOST_COPIES) -> Column:
     return F.aggregate(F.sequence(F.lit(1), terms), start, step, lambda state: state["k"])
 
 
+def copies_drawn(seed: str, own: Column, mean: Column, largest: float) -> Column:
+    """A Poisson variable of any mean up to ``largest``; a mean above ``MOST_MEAN`` is the sum of parts with hashes of their own."""
+    bound = min(largest, MOST_MEAN)
+    most = max(MOST_COPIES, int(bound + 10 * bound**0.5 + 20))
+    whole = poisson(unit(F.lit(seed), own), mean, most)
+    if largest <= MOST_MEAN:
+        return whole
+    parts = F.greatest(F.ceil(mean / MOST_MEAN), F.lit(1)).cast("int")
+    drawn = F.aggregate(
+        F.sequence(F.lit(1), parts), F.lit(0),
+        lambda total, part: total + poisson(unit(F.lit(seed), F.lit("part"), part, own), mean / parts, most))
+    return F.when(mean <= MOST_MEAN, whole).otherwise(drawn)
+
+
 def mixed(documents: DataFrame, weights: dict[str, float] | None = None, seed: str = SEED,
           power: float = POWER) -> DataFrame:
     """``documents`` repeated to the target weights, with ``mix_copies, mix_copy, mix_rate, mix_key``; rows in ``mix_key`` order.
@@ -80,15 +94,12 @@ def mixed(documents: DataFrame, weights: dict[str, float] | None = None, seed: s
     small = rates.agg(F.count(F.lit(1)), F.max("rate")).first()
     if small[0] <= MOST_SOURCES:
         rates = F.broadcast(rates)
-    most = MOST_COPIES if not small[1] else max(MOST_COPIES, int(small[1] + 10 * small[1] ** 0.5 + 20))
-    if small[1] and exp(-small[1]) == 0.0:
-        raise ValueError(f"a rate of {small[1]} is too large: raise that source's size or lower its weight")
     own = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text").cast("binary")))
     rates = rates.select(F.col("source").alias("rate_source"), F.col("rate").alias("mix_rate"))
     kept = [name for name in documents.columns if name not in {"mix_copies", "mix_copy", "mix_rate", "mix_key", "rate_source"}]
     drawn = (
         documents.select(*kept).join(rates, F.col("source").eqNullSafe(F.col("rate_source"))).drop("rate_source")
-        .withColumn("mix_copies", poisson(unit(F.lit(seed), own), F.col("mix_rate"), most)))
+        .withColumn("mix_copies", copies_drawn(seed, own, F.col("mix_rate"), small[1] or 0.0)))
     copies = drawn.where("mix_copies > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
     keyed = copies.withColumn("mix_key", unit(F.lit(seed), F.lit("order"), own, F.col("mix_copy")))
     partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -147,6 +147,23 @@ def test_copies_are_numbered_and_in_order_of_their_keys(spark):
     assert sorted(rows) == sorted(mixing.mixed(mix_rows(spark).repartition(5)).select("doc_id", "mix_copy", "mix_copies", "mix_key").collect())
 
 
+def test_a_tiny_source_beside_a_very_large_one(spark):
+    """A rate of thousands is drawn in parts; rates that were drawn at once stay as they were."""
+    rows = [(i, "x" * 200, "big") for i in range(300)] + [(1000 + i, "y", "tiny") for i in range(30)]
+    documents = spark.createDataFrame(rows, DOCUMENTS + ", source string")
+    mix = mixing.mixed(documents, {"big": 1.0, "tiny": 1.0}).groupBy("doc_id", "source", "mix_rate").agg(
+        F.count("*").alias("n"), F.max("mix_copies").alias("copies")).collect()
+    tiny = {row["doc_id"]: row["n"] for row in mix if row["source"] == "tiny"}
+    rate = next(row["mix_rate"] for row in mix if row["source"] == "tiny")
+    assert rate == pytest.approx(60_030 / 2 / 30) and all(row["n"] == row["copies"] for row in mix)
+    assert len(tiny) == 30 and len(set(tiny.values())) > 20
+    assert abs(np.mean(list(tiny.values())) - rate) < 4 * (rate / 30) ** 0.5
+    assert 0.4 < np.var(list(tiny.values())) / rate < 2
+    chance = {row["doc_id"]: row["c"] for row in documents.select("doc_id", mixing.unit(F.lit(mixing.SEED), F.col("doc_id").cast("string")).alias("c")).collect()}
+    big = {row["doc_id"]: row["n"] for row in mix if row["source"] == "big"}
+    assert all(big.get(i, 0) == poisson(60_030 / 2 / 60_000, chance[i]) for i in range(300))
+
+
 def test_mixing_odd_rows(edges, empty):
     rows = mixing.mixed(edges).collect()
     assert {row["doc_id"] for row in rows} <= {doc_id for doc_id, _ in EDGES}

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from articleloom.llm.ngram_join import MOST_SENT, batches_of, mixed
 from articleloom.sources.scratch import stored
 
-# Similarity as a fraction, and the distinct words from which a line takes part: shorter ones are headings and the like.
+# Similarity as a fraction, and the distinct words from which a line takes part unless the caller says otherwise.
 SIMILAR = (80, 100)
 LEAST_WORDS = 10
 
@@ -102,7 +102,7 @@ def _buckets(codes: list[np.ndarray]) -> np.ndarray:
 class Lines:
     """The lines of some texts that take part, as flat arrays: words by line, rarest first."""
 
-    def __init__(self, texts: list[str], places: np.ndarray, wanted: list[list[int]] | None = None):
+    def __init__(self, texts: list[str], places: np.ndarray, least: int, wanted: list[list[int]] | None = None):
         lines, owners, numbers = [], [], []
         self.line_counts = []
         for owner, text in enumerate(texts):
@@ -110,7 +110,7 @@ class Lines:
             self.line_counts.append(len(split))
             for number in range(len(split)) if wanted is None else wanted[owner]:
                 words = split[number].split()
-                if len(words) >= LEAST_WORDS:
+                if len(words) >= least:
                     lines.append(words)
                     owners.append(owner)
                     numbers.append(number)
@@ -125,7 +125,7 @@ class Lines:
         new[1:] = (codes[1:] != codes[:-1]) | (line[1:] != line[:-1])
         codes, line = codes[new], line[new]
         sizes = np.bincount(line, minlength=len(lines))
-        kept = sizes >= LEAST_WORDS
+        kept = sizes >= least
         on = kept[line]
         self.words, self.sizes = codes[on], sizes[kept]
         self.owners, self.numbers = np.array(owners, np.int64)[kept], np.array(numbers, np.int64)[kept]
@@ -160,7 +160,7 @@ def _batch(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
         [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
 
-def _gather(documents: DataFrame, places: np.ndarray, parts: int) -> DataFrame:
+def _gather(documents: DataFrame, places: np.ndarray, parts: int, least: int) -> DataFrame:
     """Index blobs for each part, and a row for each document with the numbers and sets of its lines that take part."""
     shared = documents.sparkSession.sparkContext.broadcast(places)
     schema = _schema(GATHER)
@@ -183,7 +183,7 @@ def _gather(documents: DataFrame, places: np.ndarray, parts: int) -> DataFrame:
 
         def work(ids, texts, hashes):
             nonlocal spread
-            lines = Lines(texts, places)
+            lines = Lines(texts, places, least)
             n = len(texts)
             edges = np.searchsorted(lines.owners, np.arange(n + 1)).tolist()
             cuts = list(zip(edges, edges[1:], strict=False))
@@ -306,7 +306,7 @@ def _contents(documents: DataFrame, places: np.ndarray, involved: DataFrame) ->
                 texts, numbers = (part.column(i).to_pylist() for i in (0, 1))
                 # Of texts that are stored often a task reads one.
                 new = [k for k, found in enumerate(part.column(2).to_pylist()) if not (found in seen or seen.add(found))]
-                lines = Lines([texts[k] or "" for k in new], shared.value, [numbers[k] for k in new])
+                lines = Lines([texts[k] or "" for k in new], shared.value, 1, [numbers[k] for k in new])
                 words = [lines.words[a:b].tobytes() for a, b in zip(lines.starts, lines.starts[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays([pa.array(lines.ids, pa.int64()), pa.array(words, pa.binary())], ["set_id", "words"])
 
@@ -362,23 +362,24 @@ def _gone(pairs: DataFrame, documents: DataFrame, places: np.ndarray, sets: Data
     return stored(gone.union(_similar_late(stored(others.distinct(), "other_pairs"), documents, places, sets)), "gone")
 
 
-def line_verdicts(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+def line_verdicts(documents: DataFrame, least: int = LEAST_WORDS) -> tuple[DataFrame, DataFrame]:
     """Two tables: the lines that are removed (``doc_id, text_hash, line``), and the documents (``doc_id, text_hash, lines``).
 
-    Lines are parted by line feeds and counted from 0. A line of ten distinct words or more is removed if an earlier line
-    is similar to it, that is if their sets of words reach 0.8, whether or not the earlier one stays. Lines are ordered by id of the
-    document, then hash of its text, then their place; null ids come last. Shorter lines always stay. Rows that repeat both id and text
+    Lines are parted by line feeds and counted from 0. A line of ``least`` distinct words or more is removed if an earlier such
+    line is similar to it, that is if their sets of words reach 0.8, whether or not the earlier one stays. Lines are ordered by id of the
+    document, then hash of its text, then their place; null ids come last. Shorter lines always stay; with ``least`` 1 every line
+    that has a word takes part. Rows that repeat both id and text
     are one document. Null texts have one empty line. Other columns are not read.
     """
     with batches_of(documents.sparkSession, BATCH_ROWS):
-        return _line_verdicts(documents.select("doc_id", "text"))
+        return _line_verdicts(documents.select("doc_id", "text"), max(least, 1))
 
 
-def _line_verdicts(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _line_verdicts(documents: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     places, size = rarity(documents)
     parts = max(2 * partitions, size // PART_BYTES + 1)
-    met = stored(_meet(_gather(documents, places, parts), parts), "lines")
+    met = stored(_meet(_gather(documents, places, parts, least), parts), "lines")
     rows = met.where("kind = 0").select("doc_id", "text_hash", "lines", "numbers", "sets")
     lines = rows.select("doc_id", "text_hash", F.explode(F.arrays_zip("numbers", "sets")).alias("at")).select(
         "doc_id", "text_hash", F.col("at.numbers").alias("line"), F.col("at.sets").alias("set_id"))
@@ -417,9 +418,9 @@ def _line_verdicts(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     return removed.distinct(), rows.select("doc_id", "text_hash", "lines")
 
 
-def removed_lines(documents: DataFrame) -> DataFrame:
+def removed_lines(documents: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """``doc_id, text_hash, lines, removed array<int>`` of every document; see ``line_verdicts``."""
-    removed, rows = line_verdicts(documents)
+    removed, rows = line_verdicts(documents, least)
     by_document = stored(removed.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list("line")).alias("removed")), "removed")
     by_document = by_document.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("hash"), "removed")
     same = F.col("doc_id").eqNullSafe(F.col("of")) & F.col("text_hash").eqNullSafe(F.col("hash"))
@@ -427,12 +428,12 @@ def removed_lines(documents: DataFrame) -> DataFrame:
         "doc_id", "text_hash", "lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
-def without_lines(documents: DataFrame) -> DataFrame:
+def without_lines(documents: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """``documents`` without the removed lines; ``n_chars`` follows the text if there is such a column.
 
     A document stays if it had no line removed or has a line with a word left.
     """
-    removed, _ = line_verdicts(documents)
+    removed, _ = line_verdicts(documents, least)
     by_document = stored(removed.groupBy("doc_id", "text_hash").agg(F.collect_list("line").alias("removed")), "removed")
     by_document = by_document.select(F.col("doc_id").alias("__of"), F.col("text_hash").alias("__hash"), F.col("removed").alias("__removed"))
     same = F.col("doc_id").eqNullSafe(F.col("__of")) & F.xxhash64("text").eqNullSafe(F.col("__hash"))

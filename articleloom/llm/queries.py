@@ -62,8 +62,8 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The numbers of the lines that are removed from each document, as text."""
-    found = line_dedup.removed_lines(_documents(spark, sf_dir))
+    """The numbers of the lines that are removed from each document, as text; every line that has a word takes part."""
+    found = line_dedup.removed_lines(_documents(spark, sf_dir), least=1)
     return found.select(
         "doc_id", F.col("lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"),
         F.array_join("removed", ",").alias("removed_lines"))

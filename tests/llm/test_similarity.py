@@ -238,6 +238,29 @@ def test_lines_against_brute_force(spark):
     check_lines(spark, lined(1) + EDGES)
 
 
+def test_every_line_with_a_word_takes_part(spark, tmp_path):
+    """Against brute force without a floor: short lines of two to nine words, most of them repeated exactly or nearly."""
+    draw = random.Random(9)
+    words = [f"w{i}" for i in range(14)]
+    short = [" ".join(draw.choice(words) for _ in range(draw.randint(1, 9))) for _ in range(60)]
+    rows = [(i, "\n".join(draw.choice([draw.choice(short), f"{draw.choice(short)} own{i}", "", "Licensed under the Apache License, Version 2.0."])
+                          for _ in range(6))) for i in range(60)] + lined(4, 30) + EDGES
+    frame = spark.createDataFrame(rows, DOCUMENTS).repartition(4)
+    hashes = {row["text"]: row["h"] for row in frame.select("text", F.xxhash64("text").alias("h")).collect()}
+    seen, wanted = [], {}
+    for doc_id, text in sorted(set(rows), key=lambda row: (row[0] is None, row[0] or 0, hashes[row[1]])):
+        gone = wanted.setdefault((doc_id, hashes[text]), [])
+        for number, line in enumerate((text or "").encode().lower().split(b"\n")):
+            if line_words := frozenset(line.split()):
+                if any(100 * len(line_words & other) >= 80 * len(line_words | other) for other in seen):
+                    gone.append(number)
+                seen.append(line_words)
+    assert sum(map(len, wanted.values())) > 200
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    found = {tuple(row)[::3] for row in QUERIES["op10_line_dedup"](spark, str(tmp_path)).collect()}
+    assert found == {(doc_id, ",".join(map(str, gone))) for (doc_id, _), gone in wanted.items()}
+
+
 def test_lines_in_large_buckets(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "LARGE_BUCKET", 2)
     monkeypatch.setattr(line_dedup, "MOST_SENT", 0)

@@ -104,22 +104,21 @@ def tokens(text: str) -> list[tuple[int, int]]:
         while end < len(text) and end - hit.end() < LONGEST_TOKEN and not text[end].isspace():
             end += 1
         found.append((start, end))
-    if "at]" in text or "AT]" in text or "at)" in text or "AT)" in text:
-        for hit in _AT_WORD.finditer(text):
-            start, end = hit.start(), hit.end()
-            while start > 0 and hit.start() - start < LONGEST_TOKEN and not text[start - 1].isspace():
-                start -= 1
-            while end < len(text) and end - hit.end() < LONGEST_TOKEN and not text[end].isspace():
-                end += 1
-            found.append((start, end))
-        found.sort()
-        merged = []
-        for start, end in found:
-            if merged and start < merged[-1][1]:
-                merged[-1] = merged[-1][0], max(end, merged[-1][1])
-            else:
-                merged.append((start, end))
-        found = merged
+    for hit in _AT_WORD.finditer(text):
+        start, end = hit.start(), hit.end()
+        while start > 0 and hit.start() - start < LONGEST_TOKEN and not text[start - 1].isspace():
+            start -= 1
+        while end < len(text) and end - hit.end() < LONGEST_TOKEN and not text[end].isspace():
+            end += 1
+        found.append((start, end))
+    found.sort()
+    merged = []
+    for start, end in found:
+        if merged and start < merged[-1][1]:
+            merged[-1] = merged[-1][0], max(end, merged[-1][1])
+        else:
+            merged.append((start, end))
+    found = merged
     return found
 
 

@@ -236,3 +236,10 @@ def test_repeated_windows_fail(spark):
         counts = brute.quality_counts(words)
         assert row["base_failed"] == (100 * counts[4] > 20 * counts[0])
     assert sorted(rows)[0]["base_failed"]
+
+
+@pytest.mark.parametrize("text", ["joe {at} x.org", "joe <at> x.org", "joe [ at ] x.org", "joe [At] x.org", "joe(at)x.org", "joe ( AT ) x.org"])
+def test_every_form_of_the_at_word_is_a_token(text):
+    assert pii.tokens(f"write to {text} now") == [(9, 9 + len(text))]
+    assert pii.tokens(f"room 12 {text}") == [(5, 7), (8, 8 + len(text))]
+    assert pii.tokens("at home (that is) <b>at</b>") == []

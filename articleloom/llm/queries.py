@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articleloom.llm import ann, line_dedup, mixing, ngram_join, packing, pii, quality_rules, sharding, token_counts, toxicity
+from articleloom.llm import (
+    ann, lexical, line_dedup, mixing, ngram_join, packing, pii, quality_rules, sharding, spelling, token_counts, toxicity, warc)
+from articleloom.sources.scratch import scratch_path
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,8 +71,24 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("removed", ",").alias("removed_lines"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_documents(spark, sf_dir))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives hold when they are read back; payloads are checked there and not carried on."""
+    path = scratch_path(spark, "warc")
+    warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
+    return warc.page_records(warc.read_archives(spark, path, payloads=False))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_documents(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_sharding, op2_toxicity, op3_token_counts, op4_personal_data, op5_quality_rules,
-        op6_nearest_neighbours, op7_mixing, op8_best_fit_packing, op9_ngram_join, op10_line_dedup)
+        op6_nearest_neighbours, op7_mixing, op8_best_fit_packing, op9_ngram_join, op10_line_dedup,
+        op11_spelling_variants, op12_warc, op13_lexical_search)
 }

@@ -68,3 +68,21 @@ CHUNK_INDEX = T.StructType([
     T.StructField("page_content", T.StringType()),
     T.StructField("embedding", T.ArrayType(T.FloatType())),
 ])
+
+# The small tables of an index: articles by batch, those that a batch replaced and the batch they lie in, and what became of batches.
+ARTICLE_VERSIONS = T.StructType([
+    T.StructField("text_id", T.StringType()),
+    T.StructField("version", T.StringType()),
+    T.StructField("batch", T.LongType()),
+])
+
+REPLACED_ARTICLES = T.StructType([
+    T.StructField("text_id", T.StringType()),
+    T.StructField("old", T.LongType()),
+    T.StructField("batch", T.LongType()),
+])
+
+BATCHES = T.StructType([
+    T.StructField("batch", T.LongType()),
+    T.StructField("state", T.StringType()),
+])

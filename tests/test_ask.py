@@ -93,16 +93,92 @@ def test_unchanged_articles_are_neither_chunked_nor_shuffled(spark, tmp_path):
     articles(spark, 1, 2, 3).write.parquet(str(tmp_path / "articles"))
     stored = spark.read.parquet(str(tmp_path / "articles"))
     index.append_to_index(stored, path)
-    held = spark.read.parquet(path)
-    more = index.with_version(stored.unionByName(articles(spark, 4)), 1000, 200)
-    plan = plan_of(index.new_articles(more, held))
+    held = index.ChunkIndex.open(spark, path)
+    fresh, added, rows = index.new_articles(stored.unionByName(articles(spark, 4)), held)
+    plan = plan_of(fresh)
     outer = plan[:plan.index("BroadcastExchange")]
-    assert "Exchange hashpartitioning" not in outer and "content" in outer
-    assert index.new_articles(index.with_version(stored, 1000, 200), held).count() == 0
-    before = {file.name for file in (tmp_path / "index").glob("part-*")}
-    rows = spark.read.parquet(path).count()
-    index.append_to_index(stored, path)
-    assert spark.read.parquet(path).count() == rows and before
+    assert "Exchange hashpartitioning" not in outer and "content" in outer and "sha2" not in outer
+    assert rows == 1 and [tuple(row)[::2] for row in added.select("text_id", "version", "old").collect()] == [("t4", None)]
+    assert index.append_to_index(stored, path) is None
+    assert index.ChunkIndex.open(spark, path).batches == [0]
+
+
+def test_opening_an_index_reads_no_chunks(spark, tmp_path):
+    path = str(tmp_path / "index")
+    index.append_to_index(articles(spark, 1, 2), path)
+    plan = plan_of(open_chunk_index(spark, path))
+    assert "Aggregate" not in plan and "Join" not in plan
+    index.append_to_index(changed(articles(spark, 2), "title", "Other"), path)
+    plan = plan_of(open_chunk_index(spark, path))
+    assert "Aggregate" not in plan and "Exchange hashpartitioning" not in plan and "PartitionFilters" in plan
+    assert plan.count("FileScan") == 2  # chunks, and the table of replaced articles
+
+
+def rows_of(spark, path):
+    return sorted(tuple(row) for row in open_chunk_index(spark, path).select("chunk_id", "version", "batch", "page_content").collect())
+
+
+def test_compaction(spark, tmp_path):
+    path = str(tmp_path / "index")
+    index.append_to_index(articles(spark, 1, 2), path)
+    index.append_to_index(articles(spark, 3), path)
+    assert index.compact_index(spark, path) == []
+    index.append_to_index(changed(articles(spark, 2, 3), "content", "new words " * 300), path)
+    index.append_to_index(articles(spark, 4), path)
+    before = rows_of(spark, path)
+    assert index.compact_index(spark, path) == [0, 1]
+    opened = index.ChunkIndex.open(spark, path)
+    # Nothing is left of batch 1; no file of a batch that counts holds a replaced article.
+    assert opened.batches == [0, 2, 3] and opened.replaced_rows == 0
+    assert rows_of(spark, path) == before
+    stored = spark.read.parquet(f"{path}/chunks").filter("batch IN (0, 2, 3)")
+    assert stored.count() == len(before)
+    assert index.compact_index(spark, path) == []
+    # A later change of what was compacted, and of what was retired.
+    index.append_to_index(articles(spark, 2, 3), path)
+    assert {row["batch"] for row in open_chunk_index(spark, path).filter("pmid IN ('2', '3')").collect()} == {4}
+
+
+def test_a_run_that_failed_counts_for_nothing(spark, tmp_path):
+    path = str(tmp_path / "index")
+    index.append_to_index(articles(spark, 1, 2), path)
+    before = rows_of(spark, path)
+
+    def broken(chunks):
+        return chunks.withColumn("embedding", F.raise_error(F.lit("lost")).cast("array<float>"))
+
+    with pytest.raises(Exception, match="lost"):
+        index.append_to_index(changed(articles(spark, 2, 3), "title", "Other"), path, embed=broken)
+    assert rows_of(spark, path) == before
+    index.append_to_index(articles(spark, 3), path)
+    assert index.ChunkIndex.open(spark, path).batches == [0, 2]
+    assert len(rows_of(spark, path)) > len(before)
+
+
+def test_an_interrupted_compaction_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "index")
+    index.append_to_index(articles(spark, 1, 2), path)
+    index.append_to_index(changed(articles(spark, 2), "title", "Other"), path)
+    before = rows_of(spark, path)
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(index, "_add_states", lost)
+        with pytest.raises(RuntimeError):
+            index.compact_index(spark, path)
+    assert rows_of(spark, path) == before
+    assert index.compact_index(spark, path) == [0]
+    assert rows_of(spark, path) == before
+
+
+def test_an_index_of_no_articles(spark, tmp_path):
+    path = str(tmp_path / "index")
+    index.append_to_index(articles(spark, 1).limit(0), path)
+    assert open_chunk_index(spark, path).count() == 0
+    index.append_to_index(articles(spark, 1), path)
+    assert open_chunk_index(spark, path).count() > 0
 
 
 def test_missing_index(spark, tmp_path):

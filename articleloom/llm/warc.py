@@ -317,21 +317,22 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
         for batch in batches:
             for archive, records, content in zip(*batch.columns, strict=True):
                 name, rows, held, number = archive.as_py(), [], 0, -1
-                if content.is_valid:
-                    for number, record in enumerate(archive_records(content.as_py())):
-                        held += len(record.get("payload") or b"") if payloads else 0
-                        if not payloads:
-                            record.pop("payload", None)
-                        rows.append({"archive": name, "record": number, **record})
-                        if len(rows) >= 4096 or held >= 16 << 20:
-                            yield pa.RecordBatch.from_pylist(rows, schema)
-                            rows, held = [], 0
+                for number, record in enumerate(archive_records(content.as_py())):
+                    held += len(record.get("payload") or b"") if payloads else 0
+                    if not payloads:
+                        record.pop("payload", None)
+                    rows.append({"archive": name, "record": number, **record})
+                    if len(rows) >= 4096 or held >= 16 << 20:
+                        yield pa.RecordBatch.from_pylist(rows, schema)
+                        rows, held = [], 0
                 if number + 1 != records.as_py():
                     rows.append({"archive": name, "problem": f"{number + 1} records in place of {records}"})
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    wanted = _send(manifest, manifest.count())
-    return files.join(wanted, "archive", "right").select("archive", "records", "content").mapInArrow(read, RECORD)
+    # The names are sent to the archives, or both joined by name; archives that are gone are told by their names alone.
+    found = files.join(_send(manifest, manifest.count()), "archive").select("archive", "records", "content").mapInArrow(read, RECORD)
+    gone = manifest.join(files.select("archive"), "archive", "left_anti").select("archive", F.lit("archive is missing").alias("problem"))
+    return found.unionByName(gone, allowMissingColumns=True)
 
 
 def _or_error(wrong: Column, message: Column, value: str) -> Column:

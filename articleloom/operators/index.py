@@ -5,7 +5,8 @@ Below the path of an index lie
 * ``chunks/batch=N``: the chunks that run N added;
 * ``articles/batch=N``: id and version of the articles they are of, one narrow row each;
 * ``replaced/batch=N``: the articles of earlier batches that run N replaced, with the ``old`` batch they lie in;
-* ``batches``: what became of each batch, a row when it is started, added in full and retired.
+* ``postings/batch=N/bucket=B``: the inverted form of the batches it was written for;
+* ``batches``: what became of each batch, a row when it is started, added in full, inverted and retired.
 
 A run takes its number by starting a batch and adds it last, so what a failed run leaves counts for nothing. An index is opened by
 reading the small tables; no chunk is read for it.
@@ -22,13 +23,14 @@ from pyspark.sql import functions as F
 
 from articleloom.functions.embedding import DIMS, term_vector, vector_length
 from articleloom.operators.chunk import CHUNK_OVERLAP, CHUNK_SIZE, chunk_articles
-from articleloom.schemas import ARTICLE_VERSIONS, BATCHES, CHUNK_INDEX, REPLACED_ARTICLES
+from articleloom.operators import postings
+from articleloom.schemas import ARTICLE_VERSIONS, BATCHES, CHUNK_INDEX, POSTINGS, REPLACED_ARTICLES
 from articleloom.sources.scratch import stored
 
 ID_BYTES = 64 << 20  # ids of articles up to this size are sent to all tasks
 ARTICLE_ID_BYTES = 256  # of one such id in a hash table: two hashes
 
-STARTED, ADDED, RETIRED = "started", "added", "retired"
+STARTED, ADDED, INVERTED, RETIRED = "started", "added", "inverted", "retired"
 
 
 def embed_chunks(chunks: DataFrame, dims: int = DIMS) -> DataFrame:
@@ -71,6 +73,7 @@ class ChunkIndex:
     spark: SparkSession
     path: str
     batches: Collection[int]
+    inverted: Collection[int]  # those of them that have postings
     replaced_rows: int
     last: int  # the highest number of a batch, whatever became of it; -1 without one
     max_bytes: int = ID_BYTES
@@ -80,7 +83,8 @@ class ChunkIndex:
         """Read the small tables; a missing path is an error."""
         states = spark.read.schema(BATCHES).parquet(f"{path}/batches").groupBy("batch").agg(F.collect_set("state").alias("states")).collect()
         batches = sorted(row["batch"] for row in states if ADDED in row["states"] and RETIRED not in row["states"])
-        index = ChunkIndex(spark, path, batches, 0, max((row["batch"] for row in states), default=-1), max_bytes)
+        inverted = {row["batch"] for row in states if INVERTED in row["states"]} & set(batches)
+        index = ChunkIndex(spark, path, batches, inverted, 0, max((row["batch"] for row in states), default=-1), max_bytes)
         index.replaced_rows = index.replaced().count()
         return index
 
@@ -113,6 +117,17 @@ class ChunkIndex:
         return self.current(self._of_batches("chunks", CHUNK_INDEX).select("*", "_metadata"))
 
 
+    def postings(self) -> DataFrame:
+        """The inverted form of the index; every batch must have one: see ``invert_index``."""
+        missing = set(self.batches) - set(self.inverted)
+        if missing:
+            raise ValueError(f"batches without postings: {sorted(missing)}")
+        rows = self._of_batches("postings", POSTINGS)
+        if not self.replaced_rows:
+            return rows
+        return postings.without_replaced(rows, _send(self.replaced(), self.replaced_rows, self.max_bytes))
+
+
 def _index_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.schema(BATCHES).parquet(f"{path}/batches")
@@ -193,6 +208,16 @@ def _add_states(spark: SparkSession, path: str, batches: Collection[int], state:
     rows.coalesce(1).write.mode("append").parquet(f"{path}/batches")
 
 
+def invert_index(spark: SparkSession, path: str, block_chunks: int = postings.BLOCK_CHUNKS) -> list[int]:
+    """Write the postings of the batches that have none; returns their numbers."""
+    index = ChunkIndex.open(spark, path)
+    missing = [batch for batch in index.batches if batch not in index.inverted]
+    if missing:
+        postings.write_postings(index._of_batches("chunks", CHUNK_INDEX, missing), f"{path}/postings", block_chunks)
+        _add_states(spark, path, missing, INVERTED)
+    return missing
+
+
 def compact_index(spark: SparkSession, path: str, max_bytes: int = ID_BYTES) -> list[int]:
     """Take the replaced articles out of the files of an index; returns the batches that were written anew or retired.
 
@@ -209,6 +234,9 @@ def compact_index(spark: SparkSession, path: str, max_bytes: int = ID_BYTES) ->
     chunks = index.current(index._of_batches("chunks", CHUNK_INDEX, left))
     _overwrite_batches(chunks.select(*CHUNK_INDEX.names), f"{path}/chunks")
     _overwrite_batches(kept, f"{path}/articles")
+    inverted = [batch for batch in index.inverted if batch in left]
+    if inverted:
+        postings.write_postings(index._of_batches("chunks", CHUNK_INDEX, inverted), f"{path}/postings")
     _add_states(spark, path, [batch for batch in touched if batch not in left], RETIRED)
     spark.createDataFrame([], REPLACED_ARTICLES).write.mode("overwrite").parquet(f"{path}/replaced")
     return touched

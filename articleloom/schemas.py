@@ -69,6 +69,18 @@ CHUNK_INDEX = T.StructType([
     T.StructField("embedding", T.ArrayType(T.FloatType())),
 ])
 
+# The inverted form of the index: a row for each block of chunks and each bucket in it, and a head row for each block.
+POSTINGS = T.StructType([
+    T.StructField("block", T.StringType()),
+    T.StructField("bucket", T.IntegerType()),
+    T.StructField("batch", T.LongType()),
+    T.StructField("width", T.IntegerType()),
+    T.StructField("places", T.ArrayType(T.IntegerType())),
+    T.StructField("counts", T.ArrayType(T.FloatType())),
+    T.StructField("chunk_ids", T.ArrayType(T.StringType())),
+    T.StructField("squares", T.ArrayType(T.DoubleType())),
+])
+
 # The small tables of an index: articles by batch, those that a batch replaced and the batch they lie in, and what became of batches.
 ARTICLE_VERSIONS = T.StructType([
     T.StructField("text_id", T.StringType()),

@@ -239,6 +239,13 @@ ORACLES: dict[str, str] = {
             FROM processed),
         {chunked("changed", ", pmid")}
         SELECT pmid, chunk_ix, page_content FROM chunks""",
+    "index_compacted": f"""
+        WITH RECURSIVE {processed()},
+        changed AS (
+            SELECT * REPLACE (CASE WHEN title LIKE '% in de' THEN 'neu und ' || content ELSE content END AS content)
+            FROM processed),
+        {chunked("changed", ", pmid")}
+        SELECT pmid, chunk_ix, page_content FROM chunks""",
     "index_job": f"{CHUNKED} SELECT pmid, chunk_ix, page_content FROM chunks",
     "corpus_status": f"""
         {CHUNKED} SELECT count(*) AS total_chunks, count(DISTINCT pmid) AS total_articles FROM chunks""",
@@ -337,6 +344,7 @@ ORACLES: dict[str, str] = {
             FROM embeddings, centre)
         ORDER BY distance, vec_id LIMIT 5""",
     "text_search_topk": f"{HITS} SELECT question_id, chunk_id, rank, distance FROM hits",
+    "text_search_postings": f"{HITS} SELECT question_id, chunk_id, rank, distance FROM hits",
     "rag_prompts": f"""
         {HITS} SELECT question_id, {_prompt()} AS prompt FROM hits JOIN chunks USING (chunk_id)
         GROUP BY question_id, question""",

@@ -13,7 +13,7 @@ from articleloom.functions.text import clean, stable_id
 from articleloom.operators import chunk, context, extract, index, nearest, quality, report
 from articleloom.plans import jobs
 from articleloom.plans.articles import process_articles, process_extracted
-from articleloom.plans.ask import retrieve, search_chunks
+from articleloom.plans.ask import retrieve, search_chunks, search_postings
 from articleloom.schemas import RAW_ARTICLE, SUMMARY
 from articleloom.sources import articles_xml, sinks, tables
 from articleloom.sources.scratch import scratch_path
@@ -287,6 +287,19 @@ def index_changed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.open_chunk_index(spark, path).select("pmid", "chunk_ix", "page_content")
 
 
+@query
+def index_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``index_changed_articles``, from files out of which the replaced articles were taken."""
+    path = scratch_path(spark, "chunk_index")
+    documents = processed(spark, sf_dir)
+    german = F.col("title").endswith(" in de")
+    changed = documents.withColumn("content", F.when(german, F.concat(F.lit("neu und "), F.col("content"))).otherwise(F.col("content")))
+    for articles in (documents, changed):
+        index.append_to_index(articles, path)
+    index.compact_index(spark, path)
+    return index.open_chunk_index(spark, path).select("pmid", "chunk_ix", "page_content")
+
+
 def built_index(spark: SparkSession, sf_dir: str) -> str:
     """The path of an index that the job built from stored articles."""
     articles, path = scratch_path(spark, "articles"), scratch_path(spark, "chunk_index")
@@ -553,6 +566,19 @@ def text_search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.withColumn("distance", F.round("distance", 6))
 
 
+@query
+def text_search_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same hits from the inverted index, to which French texts were added in another form first."""
+    path = scratch_path(spark, "chunk_index")
+    documents = processed(spark, sf_dir)
+    french = documents.filter(F.col("title").endswith(" in fr")).withColumn("content", F.upper("content"))
+    for articles in (french, documents):
+        index.append_to_index(articles, path)
+    index.invert_index(spark, path)
+    hits = search_postings(questions(spark, sf_dir), index.ChunkIndex.open(spark, path))
+    return hits.withColumn("distance", F.round("distance", 6))
+
+
 def _retrieved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieve(questions(spark, sf_dir), stored_index(spark, sf_dir))
 

@@ -17,7 +17,8 @@ pytestmark = pytest.mark.skipif(not DIR.exists(), reason="test tables are not he
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_against_sql(spark, name):
     duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{DIR}/documents.parquet'")
+    for table in ("documents", "pages", "benchmark"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DIR}/{table}.parquet'")
     oracle = duck.execute(ORACLES[name])
     columns = [column[0] for column in oracle.description]
     result = QUERIES[name](spark, str(DIR))

@@ -144,11 +144,11 @@ def new_articles(articles: DataFrame, index: ChunkIndex | None, size: int = CHUN
 
     ``old`` is the batch of the version that one replaces, null for an article that is new.
 
-    Ids and versions decide, before anything is chunked: they are computed once, stored, and compared with the narrow table
-    of the index. If the new ones are few they are sent to all tasks, and the texts of the articles are not shuffled. Of several
+    Ids and versions decide, before anything is chunked: they are computed once and compared with the narrow table of the index,
+    and what is new is stored. If the new ones are few they are sent to all tasks, and the texts of the articles are not shuffled. Of several
     versions of one id in a batch the lowest is taken; only the rows of such ids are brought together.
     """
-    versions = stored(with_version(articles, size, overlap).select("text_id", "version"), "versions")
+    versions = with_version(articles, size, overlap).select("text_id", "version")
     narrow = versions.groupBy("text_id").agg(F.min("version").alias("version"), F.count("*").alias("times"))
     if index is None:
         narrow = narrow.withColumn("old", F.lit(None).cast("long"))
@@ -185,15 +185,15 @@ def append_to_index(
         return None
     batch = 0 if index is None else index.last + 1
     _add_states(spark, path, [batch], STARTED)
-    number = F.lit(batch).cast("long").alias("batch")
     chunks = chunk_articles(fresh, size, overlap)
     for name, rows_of_table in [
-        ("chunks", embed(chunks).withColumn("batch", number).select(*CHUNK_INDEX.names)),
+        ("chunks", embed(chunks).select(*(name for name in CHUNK_INDEX.names if name != "batch"))),
         # An article without a chunk is known as well, so that it is not looked at again.
-        ("articles", added.select("text_id", "version", number)),
-        ("replaced", added.filter("old IS NOT NULL").select("text_id", "old", number)),
+        ("articles", added.select("text_id", "version")),
+        ("replaced", added.filter("old IS NOT NULL").select("text_id", "old")),
     ]:
-        rows_of_table.write.mode("append").partitionBy("batch").parquet(f"{path}/{name}")
+        # Into the batch's directory by name: as a partition column the batch would have the rows sorted by it.
+        rows_of_table.write.parquet(f"{path}/{name}/batch={batch}")
     _add_states(spark, path, [batch], ADDED)
     return batch
 

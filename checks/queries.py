@@ -16,7 +16,7 @@ from articleloom.plans.articles import process_articles, process_extracted
 from articleloom.plans.ask import retrieve, search_chunks, search_postings
 from articleloom.schemas import RAW_ARTICLE, SUMMARY
 from articleloom.sources import articles_xml, sinks, tables
-from articleloom.sources.scratch import scratch_path
+from articleloom.sources.scratch import scratch_path, stored
 from checks.inputs import (
     LANGUAGE_DEFAULT,
     LANGUAGE_LEXICON,
@@ -50,9 +50,9 @@ def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The chunk index of all documents, written once and opened again."""
+    """The chunk index of all documents, written once and opened again; articles come from a table, as in the job."""
     path = scratch_path(spark, "chunk_index")
-    index.append_to_index(processed(spark, sf_dir), path)
+    index.append_to_index(stored(processed(spark, sf_dir), "articles"), path)
     return index.open_chunk_index(spark, path)
 
 
@@ -264,14 +264,13 @@ def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def index_incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents are added, then documents and pages together: only the pages are new."""
     path = scratch_path(spark, "chunk_index")
-    documents = processed(spark, sf_dir)
+    documents = stored(processed(spark, sf_dir), "articles")
     pages = table(spark, sf_dir, "pages").select(
         stable_id(F.lit("page"), F.col("page_id").cast("string")).alias("text_id"),
         F.col("page_id").cast("string").alias("pmid"), clean(F.col("html")).alias("content"), F.col("url").alias("ref_id"))
     for articles in (documents, tables.union_sources([documents, pages])):
         index.append_to_index(articles, path)
-    stored = index.open_chunk_index(spark, path)
-    return stored.groupBy("pmid", "title", "source").agg(
+    return index.open_chunk_index(spark, path).groupBy("pmid", "title", "source").agg(
         F.count("*").alias("chunk_count"), F.sum(F.length("page_content")).alias("characters"))
 
 
@@ -279,7 +278,7 @@ def index_incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def index_changed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents are added, then again with German texts changed: each article has the chunks of its latest text."""
     path = scratch_path(spark, "chunk_index")
-    documents = processed(spark, sf_dir)
+    documents = stored(processed(spark, sf_dir), "articles")
     german = F.col("title").endswith(" in de")
     changed = documents.withColumn("content", F.when(german, F.concat(F.lit("neu und "), F.col("content"))).otherwise(F.col("content")))
     for articles in (documents, changed):
@@ -291,7 +290,7 @@ def index_changed_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def index_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``index_changed_articles``, from files out of which the replaced articles were taken."""
     path = scratch_path(spark, "chunk_index")
-    documents = processed(spark, sf_dir)
+    documents = stored(processed(spark, sf_dir), "articles")
     german = F.col("title").endswith(" in de")
     changed = documents.withColumn("content", F.when(german, F.concat(F.lit("neu und "), F.col("content"))).otherwise(F.col("content")))
     for articles in (documents, changed):
@@ -570,7 +569,7 @@ def text_search_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_search_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same hits from the inverted index, to which French texts were added in another form first."""
     path = scratch_path(spark, "chunk_index")
-    documents = processed(spark, sf_dir)
+    documents = stored(processed(spark, sf_dir), "articles")
     french = documents.filter(F.col("title").endswith(" in fr")).withColumn("content", F.upper("content"))
     for articles in (french, documents):
         index.append_to_index(articles, path)

@@ -331,6 +331,7 @@ ORACLES: dict[str, str] = {
     "knn_cosine": knn("cosine"),
     "knn_l2_blocks": knn("l2"),
     "knn_cosine_blocks": knn("cosine"),
+    "knn_quantised": knn("l2"),
     "knn_fifty": knn("l2", "50"),
     "knn_single": """
         WITH means AS (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from articleloom.functions import text
 from articleloom.functions.lexicon import classify
 from articleloom.functions.text import clean, stable_id
-from articleloom.operators import chunk, context, extract, index, nearest, quality, report
+from articleloom.operators import chunk, context, extract, index, nearest, quality, quantised, report
 from articleloom.plans import jobs
 from articleloom.plans.articles import process_articles, process_extracted
 from articleloom.plans.ask import retrieve, search_chunks, search_postings
@@ -164,11 +164,12 @@ def xml_inequalities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def xml_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The funnel over files in which French articles lack an end tag."""
+    """The funnel over files in which French articles lack an end tag, observed while the parsed articles are written."""
     path = scratch_path(spark, "articles_xml")
     broken = F.when(F.col("lang") == "fr", F.replace(as_xml(), F.lit("</front>"), F.lit(""))).otherwise(as_xml())
     by_language(spark, sf_dir).select(broken.alias("value")).write.text(path)
-    return quality.quality_funnel(extract.extract_fields(articles_xml.read_articles_xml(spark, path)))
+    _, funnel = jobs.parse_articles(spark, path, scratch_path(spark, "extracted"))
+    return spark.createDataFrame([funnel], ", ".join(f"{name} bigint" for name in funnel))
 
 
 @query
@@ -545,6 +546,15 @@ def knn_fifty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(asked, vectors, vector_id="vec_id").withColumn("distance", F.round("distance", 6))
 
 
+@query
+def knn_quantised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By a scan of bytes, with what their bounds leave open measured on the vectors."""
+    path = scratch_path(spark, "quantised")
+    quantised.write_quantised(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), path)
+    hits = quantised.nearest_quantised(vector_questions(spark, sf_dir), spark.read.parquet(path), vector_id="vec_id")
+    return hits.withColumn("distance", F.round("distance", 6))
+
+
 @query
 def knn_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vectors nearest to the mean of all vectors."""

@@ -45,16 +45,26 @@ def drop_blank_content(df: DataFrame, column: str = "content") -> DataFrame:
     return df.filter(~is_blank(F.col(column)))
 
 
+def funnel_counts(extracted: DataFrame, usable: Column | None = None) -> list[Column]:
+    """The aggregates of the quality funnel, for an aggregation or for an observation of rows that pass by."""
+    kept = is_usable() if usable is None else usable
+    counts = [F.count(F.lit(1)).alias("initial_count"), F.count_if(kept).alias("kept_count")]
+    if "malformed" in extracted.columns:
+        counts.append(F.count_if("malformed").alias("malformed_count"))
+    return counts
+
+
+def with_dropped(counts: dict[str, int]) -> dict[str, int]:
+    """Observed counts of the funnel with the number of those that were dropped."""
+    return {**counts, "dropped_count": counts["initial_count"] - counts["kept_count"]}
+
+
 def quality_funnel(extracted: DataFrame, usable: Column | None = None) -> DataFrame:
     """One row, one pass: articles read, kept and dropped. ``usable`` names the verdict if it is stored.
 
     If there is a column ``malformed``, the dropped ones that could not be parsed are counted by themselves as well.
     """
-    kept = is_usable() if usable is None else usable
-    counts = [F.count("*").alias("initial_count"), F.count_if(kept).alias("kept_count")]
-    if "malformed" in extracted.columns:
-        counts.append(F.count_if("malformed").alias("malformed_count"))
-    return extracted.agg(*counts).withColumn("dropped_count", F.col("initial_count") - F.col("kept_count"))
+    return extracted.agg(*funnel_counts(extracted, usable)).withColumn("dropped_count", F.col("initial_count") - F.col("kept_count"))
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from articleloom.functions.lexicon import DEFAULT_DOMAIN, MEDICAL_DOMAINS, Lexicon
@@ -10,7 +10,7 @@ from articleloom.operators import context, report
 from articleloom.operators.chunk import CHUNK_OVERLAP, CHUNK_SIZE
 from articleloom.operators.extract import extract_fields
 from articleloom.operators.index import append_to_index, open_chunk_index
-from articleloom.operators.quality import drop_blank_content, is_usable, keep_first_stored, quality_funnel
+from articleloom.operators.quality import drop_blank_content, funnel_counts, is_usable, keep_first_stored, with_dropped
 from articleloom.operators.nearest import BATCH_BYTES
 from articleloom.plans.articles import FIRST_BY, finish, with_fingerprint
 from articleloom.plans.ask import retrieve
@@ -30,11 +30,10 @@ def store_articles(
     corpus, is left at ``parsed_path`` for the caller to remove; without one it goes to the scratch folder.
 
     The XML is parsed once, into a table in the shared scratch folder: a lost executor costs a
-    read of that table and no parsing. The funnel and the deduplication read narrow columns of
-    it, and the summary is written from the stored articles, so both outputs hold the same ids.
+    read of that table and no parsing. The funnel is observed while it is written; the deduplication reads narrow
+    columns of it, and the summary is written from the stored articles, so both outputs hold the same ids.
     """
-    parsed = parse_articles(spark, xml_path, parsed_path or scratch_path(spark, "extracted"))
-    funnel = quality_funnel(parsed, F.col("usable")).first().asDict()
+    parsed, funnel = parse_articles(spark, xml_path, parsed_path or scratch_path(spark, "extracted"))
     if not funnel["kept_count"]:
         return funnel
     usable = parsed.filter("usable")
@@ -44,8 +43,11 @@ def store_articles(
     return funnel
 
 
-def parse_articles(spark: SparkSession, xml_path: str, path: str) -> DataFrame:
-    """Article XML as a stored table of extracted fields.
+def parse_articles(spark: SparkSession, xml_path: str, path: str) -> tuple[DataFrame, dict[str, int]]:
+    """Article XML as a stored table of extracted fields, and its quality funnel.
+
+    The funnel is observed on the rows as they are written, so no further scan is needed for it. Each task of that one stage is
+    counted once, when it succeeds.
 
     Beside them it has what later steps would otherwise read whole texts for: whether the
     article is usable, a fingerprint to break ties by, and a row id, which is fixed once stored.
@@ -55,8 +57,9 @@ def parse_articles(spark: SparkSession, xml_path: str, path: str) -> DataFrame:
         .withColumn("usable", is_usable())
         .withColumn("row_id", F.monotonically_increasing_id())
     )
-    extracted.write.parquet(path)
-    return spark.read.schema(extracted.schema).parquet(path)
+    observed = Observation("funnel")
+    extracted.observe(observed, *funnel_counts(extracted, F.col("usable"))).write.parquet(path)
+    return spark.read.schema(extracted.schema).parquet(path), with_dropped(observed.get)
 
 
 def report_articles(spark: SparkSession, articles_path: str, domain: str = "neurology") -> dict[str, DataFrame]:

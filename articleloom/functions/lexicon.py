@@ -28,11 +28,16 @@ def _shortest_only(keywords: Sequence[str]) -> list[str]:
             if not any(other != word and other in word for other in keywords)]
 
 
-def classify(content: Column, lexicon: Lexicon = MEDICAL_DOMAINS, default: str = DEFAULT_DOMAIN) -> Column:
+def classify(content: Column, lexicon: Lexicon = MEDICAL_DOMAINS, default: str = DEFAULT_DOMAIN, automaton: bool = False) -> Column:
     """First domain, in lexicon order, with a keyword anywhere inside the lower-cased content.
 
-    The match is on substrings, so "gene" also finds "general".
+    The match is on substrings, so "gene" also finds "general". The built-in form looks for one keyword after the other, which is
+    best for a few dozen; with ``automaton`` all are looked for in one pass over the text, for lexicons of thousands.
     """
+    if automaton:
+        from articleloom.functions.automaton import classify_by_automaton  # its library may not be there
+
+        return classify_by_automaton(content, lexicon, default)
     folded = F.lower(content)
     branches: Column | None = None
     for domain, keywords in lexicon:

@@ -212,6 +212,13 @@ ORACLES: dict[str, str] = {
     "xml_roundtrip_year": f"WITH {RAW} SELECT ref_id, year, pmid FROM raw",
     "partitioned_roundtrip": f"WITH {BY_LANGUAGE} SELECT * REPLACE (nullif(year, '') AS year) FROM processed",
     "parquet_tree": "SELECT doc_id, text, CAST(NULL AS VARCHAR) AS source FROM documents",
+    "tree_mixed_schemas": """
+        SELECT doc_id,
+               CASE WHEN lang = 'es' THEN CAST(to_json([text, source]) AS VARCHAR) WHEN lang <> 'fr' THEN text END AS text,
+               CAST(CASE lang WHEN 'de' THEN n_chars / 4 WHEN 'es' THEN n_chars % 1000 ELSE n_chars END AS DOUBLE) AS size,
+               CASE WHEN lang IN ('de', 'fr') THEN source END AS source,
+               CASE lang WHEN 'fr' THEN CAST(doc_id AS VARCHAR) WHEN 'es' THEN CAST(n_chars > 500 AS VARCHAR) END AS label
+        FROM documents""",
     "skipped_files": "SELECT 'broken.parquet' AS file",
     "summary_json_roundtrip": f"WITH {BY_LANGUAGE} SELECT text_id, pmid, title, domain, year, journal FROM processed",
     "output_partition_plan": """
@@ -260,6 +267,14 @@ ORACLES: dict[str, str] = {
     "classify_custom_lexicon": f"""
         SELECT doc_id, {classify('content', LANGUAGE_LEXICON, LANGUAGE_DEFAULT)} AS domain
         FROM (SELECT doc_id, {clean('text')} AS content FROM documents)""",
+    "classify_large_lexicon": f"""
+        WITH entries AS (
+            SELECT p_brand AS domain, p_name AS word FROM part
+            UNION SELECT 'Letter ' || word[1], word
+            FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]{{6,}}')) AS word FROM benchmark)),
+        content AS (SELECT doc_id, lower({clean('text')}) AS folded FROM documents)
+        SELECT doc_id, coalesce(min(domain), 'none') AS domain
+        FROM content LEFT JOIN entries ON contains(folded, lower(word)) GROUP BY doc_id""",
     "title_from_citation": f"""
         SELECT doc_id, CASE WHEN contains(content, '.') THEN split_part(content, '.', 2) ELSE content END AS title
         FROM (SELECT doc_id, {clean('text')} AS content FROM documents)""",
@@ -295,6 +310,12 @@ ORACLES: dict[str, str] = {
         WITH {EXTRACTED}
         SELECT pmid, ref_id, article_title, citation_text FROM extracted
         QUALIFY row_number() OVER (PARTITION BY pmid ORDER BY ref_id) = 1""",
+    "dedup_incremental": f"""
+        WITH {EXTRACTED},
+        runs AS (
+            SELECT CAST(CASE lang WHEN 'fr' THEN 1 ELSE 0 END AS INTEGER) AS run, pmid, ref_id, article_title FROM extracted)
+        SELECT run, pmid, ref_id, article_title FROM runs
+        QUALIFY row_number() OVER (PARTITION BY pmid ORDER BY run, ref_id) = 1""",
     "domain_counts": f"WITH {BY_LANGUAGE} SELECT domain, count(*) AS count FROM processed GROUP BY 1",
     "domain_overview": f"""
         WITH {BY_LANGUAGE}
@@ -324,6 +345,16 @@ ORACLES: dict[str, str] = {
     "chunk_metadata": f"{CHUNKED} SELECT chunk_id, pmid, title, 'N/A' AS journal, year, source, chunk_ix FROM chunks",
     "chunk_counts": f"{CHUNKED} SELECT pmid, count(*) AS chunk_count FROM chunks GROUP BY 1",
     "chunk_term_vectors": f"{CHUNKED} {weights('chunks', 'chunk_id', 'page_content')}",
+    "chunk_projected_vectors": f"""
+        {CHUNKED}, counts AS ({term_counts('chunks', 'chunk_id', 'page_content')}),
+        signs AS (
+            SELECT CAST(bucket AS INTEGER) AS bucket, CAST(position AS INTEGER) AS position,
+                   CASE WHEN substr(md5(bucket || '/' || position), 1, 1) < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS sign
+            FROM range(256) b(bucket), range(16) p(position))
+        SELECT chunk_id, position, CAST(coalesce(value, 0) AS DOUBLE) AS value
+        FROM (SELECT chunk_id, CAST(position AS INTEGER) AS position FROM chunks, range(16) p(position))
+        LEFT JOIN (SELECT chunk_id, position, sum(tf * sign) AS value FROM counts JOIN signs USING (bucket) GROUP BY 1, 2)
+        USING (chunk_id, position)""",
     "question_term_vectors": f"""
         SELECT item_id AS question_id, bucket, weight FROM ({weights('benchmark', 'item_id', 'text')})""",
 

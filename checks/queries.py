@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from articleloom.functions import text
 from articleloom.functions.lexicon import classify
+from articleloom.functions.projection import projected_vector, write_projection
 from articleloom.functions.text import clean, stable_id
 from articleloom.operators import chunk, context, extract, index, nearest, quality, quantised, report
 from articleloom.plans import jobs
 from articleloom.plans.articles import process_articles, process_extracted
 from articleloom.plans.ask import retrieve, search_chunks, search_postings
 from articleloom.schemas import RAW_ARTICLE, SUMMARY
-from articleloom.sources import articles_xml, sinks, tables
+from articleloom.sources import articles_xml, keys, mixed, sinks, tables
 from articleloom.sources.scratch import scratch_path, stored
 from checks.inputs import (
     LANGUAGE_DEFAULT,
@@ -222,6 +223,22 @@ def parquet_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_parquet_tree(spark, path, documents.select("doc_id", "text", "source").schema)
 
 
+@query
+def tree_mixed_schemas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in files by language, with columns that differ in type and order or are missing."""
+    path = scratch_path(spark, "tree")
+    documents = stored(table(spark, sf_dir, "documents"), "documents")
+    shapes = {
+        "de": ["int(doc_id) AS doc_id", "text", "n_chars / 4 AS size", "source"],
+        "fr": ["source", "string(doc_id) AS label", "n_chars AS size", "doc_id"],
+        "es": ["doc_id", "smallint(n_chars % 1000) AS size", "n_chars > 500 AS label", "array(text, source) AS text"],
+    }
+    documents.filter(~F.col("lang").isin(list(shapes))).selectExpr("doc_id", "text", "n_chars AS size").write.parquet(f"{path}/rest")
+    for lang, columns in shapes.items():
+        documents.filter(F.col("lang") == lang).selectExpr(*columns).write.parquet(f"{path}/deep/{lang}")
+    return mixed.read_mixed_tree(spark, path).rows
+
+
 @query
 def skipped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The name of the one file among the documents' that cannot be read."""
@@ -364,6 +381,21 @@ def classify_custom_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", classify(F.col("content"), LANGUAGE_LEXICON, LANGUAGE_DEFAULT).alias("domain"))
 
 
+def large_lexicon(spark: SparkSession, sf_dir: str) -> list[tuple[str, list[str]]]:
+    """A domain for each brand of part with the parts' names, then one for each first letter with the longer words of benchmark items."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_brand").alias("domain"), F.col("p_name").alias("word"))
+    words = table(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{6,}"), 0)).alias("word"))
+    entries = parts.unionByName(words.select(F.concat(F.lit("Letter "), F.substring("word", 1, 1)).alias("domain"), "word")).distinct()
+    found = entries.groupBy("domain").agg(F.sort_array(F.collect_list("word")).alias("words")).orderBy("domain").collect()
+    return [(row["domain"], row["words"]) for row in found]
+
+
+@query
+def classify_large_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lexicon = large_lexicon(spark, sf_dir)
+    return clean_documents(spark, sf_dir).select("doc_id", classify(F.col("content"), lexicon, "none", automaton=True).alias("domain"))
+
+
 @query
 def title_from_citation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_documents(spark, sf_dir).select("doc_id", text.title_from_citation(F.col("content")).alias("title"))
@@ -427,6 +459,19 @@ def dedup_stored_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivors.select("pmid", "ref_id", "article_title", "citation_text")
 
 
+@query
+def dedup_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over all but French documents, then one over all of them: of each key the first row of the first run that has it."""
+    known = keys.KeySet.open(spark, scratch_path(spark, "keys"), "pmid", buckets=8)
+    documents = extracted_documents(spark, sf_dir)
+    path = scratch_path(spark, "survivors")
+    for number, rows in enumerate((documents.filter(~F.col("article_title").endswith(" in fr")), documents)):
+        found = stored(keys.keep_unknown(rows, known, [F.col("ref_id")]), "unknown")
+        known.add(found)
+        found.select(F.lit(number).alias("run"), "pmid", "ref_id", "article_title").write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
 # Reports
 
 
@@ -503,6 +548,15 @@ def question_term_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(index.term_weights(index.embed_questions(questions(spark, sf_dir)), "question_id"))
 
 
+@query
+def chunk_projected_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By a model of 16 signs for each bucket, read by the workers from shared storage."""
+    path = scratch_path(spark, "projection")
+    write_projection(spark, path, 16)
+    vectors = document_chunks(spark, sf_dir).select("chunk_id", projected_vector(F.col("page_content"), path).alias("embedding"))
+    return vectors.select("chunk_id", F.posexplode("embedding").alias("position", "value")).withColumn("value", F.col("value").cast("double"))
+
+
 # Search
 
 

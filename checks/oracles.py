@@ -363,6 +363,7 @@ ORACLES: dict[str, str] = {
     "knn_l2_blocks": knn("l2"),
     "knn_cosine_blocks": knn("cosine"),
     "knn_quantised": knn("l2"),
+    "knn_approximate_recall": "SELECT count(*) AS questions, true AS reached FROM embeddings",
     "knn_fifty": knn("l2", "50"),
     "knn_single": """
         WITH means AS (

@@ -11,7 +11,7 @@ from articleloom.functions import text
 from articleloom.functions.lexicon import classify
 from articleloom.functions.projection import projected_vector, write_projection
 from articleloom.functions.text import clean, stable_id
-from articleloom.operators import chunk, context, extract, index, nearest, quality, quantised, report
+from articleloom.operators import approximate, chunk, context, extract, index, nearest, quality, quantised, report
 from articleloom.plans import jobs
 from articleloom.plans.articles import process_articles, process_extracted
 from articleloom.plans.ask import retrieve, search_chunks, search_postings
@@ -609,6 +609,16 @@ def knn_quantised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.withColumn("distance", F.round("distance", 6))
 
 
+@query
+def knn_approximate_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether hashing finds nine tenths of the nearest neighbours of all vectors, found by the exact search."""
+    vectors = stored(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vectors")
+    asked = vector_questions(spark, sf_dir)
+    exact = stored(nearest.nearest(asked, vectors, vector_id="vec_id"), "exact")
+    found = approximate.nearest_approximate(asked, vectors, vector_id="vec_id")
+    return approximate.recall_of(found, exact, "vec_id").select("questions", (F.col("recall") >= 0.9).alias("reached"))
+
+
 @query
 def knn_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vectors nearest to the mean of all vectors."""

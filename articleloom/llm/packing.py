@@ -24,6 +24,7 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ END = 1
 
 # Words whose ids a worker remembers, and the characters it cuts at once.
 MOST_REMEMBERED = 1_000_000
-AT_ONCE = 1_000_000
+AT_ONCE = 2_000_000
 
 STOPS = ".,!?;:"
 
@@ -65,25 +66,42 @@ class WordIds:
             return letters.lower(), word[len(letters):]
         return (word,)
 
-    def of(self, texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's begin; a last entry is where they end.
+
+        Arrow splits the texts and tells distinct words apart; only these are looked up, and the ids are gathered by their places.
+        """
+        whole = pa.array(texts, pa.large_string())
+        for space in "\n\t\r":
+            whole = pc.replace_substring(whole, space, " ")
+        split = pc.split_pattern(whole, " ")
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
         words, parts = self.words, self.parts
         if len(words) > MOST_REMEMBERED:
             words.clear()
         if len(parts) > MOST_REMEMBERED:
             parts.clear()
-        new = {word: self._parts(word) for word in {word for line in split for word in line} - words.keys()}
-        unseen = list({part for found in new.values() for part in found} - parts.keys())
+        new = {word: self._parts(word) for word in distinct if word not in words}
+        # Asked one by one: a difference with the keys of a dictionary goes through all of them.
+        unseen = list({part for found in new.values() for part in found if part not in parts})
         for part, encoded in zip(unseen, self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False), strict=True):
             parts[part] = array("I", encoded.ids).tobytes()
         for word, found in new.items():
             words[word] = b"".join(map(parts.__getitem__, found))
-        ids = [b"".join(map(words.__getitem__, line)) for line in split]
+        held = [words[word] for word in distinct]
         for seen, known in ((new, words), (unseen, parts)):
             for word in seen:
                 if len(word) > 64:
                     del known[word]
-        return ids
+        ids = np.frombuffer(b"".join(held), np.uint32)
+        sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        places = coded.indices.to_numpy()
+        taken = sizes[places]
+        ends = np.concatenate([[0], np.cumsum(taken)])
+        starts = (np.cumsum(sizes) - sizes)[places]
+        flat = ids[np.repeat(starts - ends[:-1], taken) + np.arange(ends[-1])]
+        return flat, ends[split.offsets.to_numpy()]
 
 
 def document_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
@@ -101,15 +119,19 @@ def document_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = C
         state = shared.value
         if "words" not in state:
             state["words"] = WordIds(state["tokenizer"])
-        rows, group, size = [], [], 0
+        numbers, lengths, sums, kept, offsets, group, size = [], [], [], [], [0], [], 0
 
         def flush() -> None:
-            for ids in state["words"].of(group):
-                ids += end
-                pieces = [ids[at:at + 4 * capacity] for at in range(0, len(ids), 4 * capacity)]
-                rows.append([
-                    {"piece": i, "start": i * capacity, "length": len(piece) // 4, "ids_crc32": zlib.crc32(piece),
-                     "ids": piece if keep_ids else None} for i, piece in enumerate(pieces)])
+            flat, starts = state["words"].of(group)
+            for a, b in zip(starts.tolist(), starts[1:].tolist(), strict=False):
+                ids = flat[a:b].tobytes() + end
+                for at in range(0, len(ids), 4 * capacity):
+                    piece = ids[at:at + 4 * capacity]
+                    numbers.append(at // (4 * capacity))
+                    lengths.append(len(piece) // 4)
+                    sums.append(zlib.crc32(piece))
+                    kept.append(piece if keep_ids else None)
+                offsets.append(len(numbers))
             group.clear()
 
         for text in texts:
@@ -119,9 +141,10 @@ def document_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = C
                 flush()
                 size = 0
         flush()
-        piece = pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
-                           ("ids_crc32", pa.int64()), ("ids", pa.binary())])
-        return pa.array(rows, pa.list_(piece))
+        pieces = pa.StructArray.from_arrays(
+            [pa.array(numbers, pa.int32()), pa.array(np.array(numbers, np.int64) * capacity), pa.array(lengths, pa.int64()),
+             pa.array(sums, pa.int64()), pa.array(kept, pa.binary())], ["piece", "start", "length", "ids_crc32", "ids"])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pieces)
 
     pieces = documents.select("doc_id", F.explode(cut(F.col("text"))).alias("p")).select("doc_id", "p.*")
     return pieces if keep_ids else pieces.drop("ids")

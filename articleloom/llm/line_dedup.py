@@ -27,9 +27,9 @@ from pyspark.sql import types as T
 from articleloom.llm.ngram_join import MOST_SENT, batches_of, mixed
 from articleloom.sources.scratch import stored
 
-# Similarity as a fraction, and the distinct words from which a line takes part unless the caller says otherwise.
+# Similarity as a fraction, and the distinct words from which a line takes part unless the caller says otherwise: every line that has one.
 SIMILAR = (80, 100)
-LEAST_WORDS = 10
+LEAST_WORDS = 1
 
 RARITY_BITS = 17
 RARITY = 1 << RARITY_BITS
@@ -367,7 +367,7 @@ def line_verdicts(documents: DataFrame, least: int = LEAST_WORDS) -> tuple[DataF
 
     Lines are parted by line feeds and counted from 0. A line of ``least`` distinct words or more is removed if an earlier such
     line is similar to it, that is if their sets of words reach 0.8, whether or not the earlier one stays. Lines are ordered by id of the
-    document, then hash of its text, then their place; null ids come last. Shorter lines always stay; with ``least`` 1 every line
+    document, then hash of its text, then their place; null ids come last. Shorter lines always stay; by default every line
     that has a word takes part. Rows that repeat both id and text
     are one document. Null texts have one empty line. Other columns are not read.
     """

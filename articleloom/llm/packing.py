@@ -58,6 +58,13 @@ class WordIds:
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
+    def check(self) -> None:
+        """Refuse a tokenizer whose ids are not those of the words, by a text with all that words are parted by."""
+        probe = "Some Words,with  stops.And\tTABS;\nlines: 12 times? Yes! \r\n École"
+        flat, _ = self.of([probe])
+        if flat.tolist() != self.tokenizer.encode(probe, add_special_tokens=False).ids:
+            raise ValueError("the tokenizer keeps white space or looks beyond words: their ids are not those of the text")
+
     @staticmethod
     def _parts(word: str) -> tuple[str, ...]:
         letters = word.rstrip(STOPS)
@@ -111,7 +118,9 @@ def document_pieces(documents: DataFrame, tokenizer_path: str, capacity: int = C
     A document is the ids of its text, then the end id; only documents longer than the capacity are cut.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
-        shared = documents.sparkSession.sparkContext.broadcast({"tokenizer": file.read()})
+        tokenizer = file.read()
+    WordIds(tokenizer).check()
+    shared = documents.sparkSession.sparkContext.broadcast({"tokenizer": tokenizer})
     end = array("I", [END]).tobytes()
 
     @F.arrow_udf(f"array<{PIECE}>")

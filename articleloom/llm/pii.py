@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 # The kinds in their order.
 KINDS = ("email", "ip", "card", "phone")
 
-# Bound on the documents that weights are learnt from.
+# Bounds on what weights are learnt from: documents, characters of each around its digits and at signs, and clusters of tokens.
 SAMPLE = 4000
+EXCERPT = 2000
 TRAINING_CLUSTERS = 2000
 
 LONGEST_SPAN = 5
@@ -252,19 +253,22 @@ def altered(kind: str, span: str) -> list[str]:
 
 
 def training_paths(texts: list[str], most: int = TRAINING_CLUSTERS) -> list[tuple[int, list, list]]:
-    """Clusters as (tokens, candidates, true spans as (candidate, kind)), from the base patterns and their altered forms."""
-    paths = []
+    """Clusters as (tokens, candidates, true spans as (candidate, kind)), from the base patterns and their altered forms.
+
+    If there are more than ``most``, each kind and the clusters without a span get an equal share, what one does not use goes to
+    the others, and each share is spread evenly over the texts in their order.
+    """
+    sorted_out: dict[str | None, list] = {kind: [] for kind in (*KINDS, None)}
 
     def add(text: str, spans: list[tuple[str, int, int]]) -> None:
         wanted = {(start, end): KINDS.index(kind) for kind, start, end in spans}
         for group in clusters(text):
-            found = segments(text, group)
-            true = [(k, wanted[start, end]) for k, (_, _, start, end, _) in enumerate(found) if (start, end) in wanted]
-            paths.append((len(group), found, true))
+            first, last = group[0][0], group[-1][1]
+            inside = [kind for kind, start, end in spans if first <= start and end <= last]
+            # The rarest kinds first, so that a cluster of two kinds counts for the one that needs it more.
+            sorted_out[min(inside, key=lambda kind: len(sorted_out[kind])) if inside else None].append((text, group, wanted))
 
     for text in texts:
-        if len(paths) >= most:
-            break
         spans = base_spans(text)
         add(text, spans)
         for kind, start, end in spans:
@@ -272,7 +276,16 @@ def training_paths(texts: list[str], most: int = TRAINING_CLUSTERS) -> list[tupl
                 before, after = text[max(0, start - 40):start], text[end:end + 40]
                 if not re.search(r"[0-9@]", before + after):
                     add(before + form + after, [(kind, len(before), len(before) + len(form))])
-    return paths[:most]
+    paths, left = [], most
+    for shares, found in zip(range(len(sorted_out), 0, -1), sorted(sorted_out.values(), key=len), strict=True):
+        taken = min(len(found), left // shares)
+        left -= taken
+        for k in range(taken):
+            text, group, wanted = found[k * len(found) // taken]
+            candidates = segments(text, group)
+            true = [(c, wanted[start, end]) for c, (_, _, start, end, _) in enumerate(candidates) if (start, end) in wanted]
+            paths.append((len(group), candidates, true))
+    return paths
 
 
 def learn(paths: list[tuple[int, list, list]], rounds: int = 20, rate: float = 0.3, ridge: float = 1e-3) -> np.ndarray:
@@ -309,9 +322,10 @@ def learn(paths: list[tuple[int, list, list]], rounds: int = 20, rate: float = 0
 
 
 def train(documents: DataFrame, most: int = SAMPLE) -> np.ndarray:
-    """Weights from at most ``most`` documents that hold a digit or an at sign, by the order of a hash of the text.
+    """Weights from at most ``most`` distinct texts that hold a digit or an at sign, those with the lowest hashes.
 
-    What comes to the driver is the surroundings of digits and at signs, cut to 2,000 characters a document.
+    The hashes alone are sorted; texts are read in a second scan, and what comes to the driver is the surroundings of digits and at
+    signs, cut to ``EXCERPT`` characters a text.
     """
 
     @F.arrow_udf("string")
@@ -320,17 +334,20 @@ def train(documents: DataFrame, most: int = SAMPLE) -> np.ndarray:
         for text in texts:
             text = text.as_py() or ""
             parts = [text[max(0, group[0][0] - 50):group[-1][1] + 50] for group in clusters(text)]
-            rows.append("\n\n\n".join(parts)[:2000])
+            rows.append("\n\n\n".join(parts)[:EXCERPT])
         return pa.array(rows, pa.string())
 
-    chosen = (
-        documents.where(F.col("text").rlike("[0-9@]")).select("text")
-        .orderBy(F.xxhash64("text")).limit(most))
-    found = [row[0] for row in chosen.select(near(F.col("text")).alias("near")).distinct().orderBy("near").collect()]
+    hashed = documents.select("text", F.xxhash64("text").alias("hash"))
+    holding = F.col("text").rlike("[0-9@]")
+    lowest = hashed.where(holding).select("hash").distinct().orderBy("hash").limit(most).collect()
+    if not lowest:
+        return learn([])
+    chosen = hashed.where((F.col("hash") <= lowest[-1]["hash"]) & holding)
+    excerpts = chosen.select("hash", near(F.col("text")).alias("near")).groupBy("hash").agg(F.min("near").alias("near"))
+    found = [row["near"] for row in sorted(excerpts.collect())]
     return learn(training_paths(found))
 
 
-
 def find_spans(text: str, weights: np.ndarray) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """The base spans, and those of the field that touch none of them."""
     base = base_spans(text)

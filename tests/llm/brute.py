@@ -38,14 +38,14 @@ def near_duplicates(rows):
     return sorted(((doc_id, len(sets[i]), smallest[find(i)]) for i, (doc_id, _) in enumerate(rows)), key=str)
 
 
-def removed_lines(rows, text_hash):
+def removed_lines(rows, text_hash, least=1):
     """{(doc_id, text): removed line numbers} for lines similar to an earlier one."""
     order = sorted(set(rows), key=lambda row: (row[0] is None, row[0] or 0, text_hash[row[1]]))
     seen, removed = [], defaultdict(set)
     for doc_id, text in order:
         for number, line in enumerate((text or "").encode().lower().split(b"\n")):
             words = frozenset(line.split())
-            if len(words) < 10:
+            if len(words) < least:
                 continue
             if any(100 * len(words & other) >= 80 * len(words | other) for other in seen):
                 removed[doc_id, text].add(number)

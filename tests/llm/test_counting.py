@@ -179,10 +179,22 @@ def test_word_ids_are_those_of_the_library(monkeypatch):
     with open(WORDS, encoding="utf-8") as file:
         words = packing.WordIds(file.read())
     texts = odd_texts(5000)
-    for found, text in zip(words.of(texts), texts, strict=True):
-        assert np.frombuffer(found, np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+    def ids(texts):
+        flat, starts = words.of(texts)
+        return [flat[a:b].tolist() for a, b in zip(starts.tolist(), starts[1:].tolist(), strict=False)]
+
+    for found, text in zip(ids(texts), texts, strict=True):
+        assert found == library.encode(text, add_special_tokens=False).ids, repr(text)
     monkeypatch.setattr(packing, "MOST_REMEMBERED", 5)
-    assert words.of(texts) == words.of(texts[::-1])[::-1]
+    assert ids(texts) == ids(texts[::-1])[::-1]
+    assert ids([]) == [] and ids(["", " \n"]) == [[], []]
+
+
+def test_other_kinds_of_tokenizers_are_refused(spark):
+    documents = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="white space"):
+        packing.document_pieces(documents, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def best_fit_decreasing(lengths, capacity):

@@ -83,7 +83,7 @@ class WordIds:
             whole = pc.replace_substring(whole, space, " ")
         split = pc.split_pattern(whole, " ")
         coded = split.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         words, parts = self.words, self.parts
         if len(words) > MOST_REMEMBERED:
             words.clear()

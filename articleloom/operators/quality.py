@@ -103,20 +103,33 @@ def keep_first_of_source(
     """As ``keep_first``, for a frame that is cheap to read again and has no row id: key and order tell rows apart.
 
     The named columns alone decide which rows are not first. If these are few they are sent to all tasks, else the rows
-    are moved once, by hash; the other columns are never sorted. Only if rows repeat in key and order, which
-    nothing can tell apart, does the frame go through ``keep_first``. Keys must not be null.
+    are moved once, by hash; the other columns are not sorted. Of rows that repeat in key and order, which nothing can tell
+    apart, one is kept; only the rows of such keys go through ``keep_first``. Keys must not be null.
     """
     names = [key, *order]
     narrow = df.select(*names).groupBy(*names).agg(F.count("*").alias("rows"))
     distinct, rows, keys = narrow.agg(F.count("*"), F.sum("rows"), F.count_distinct(key)).first()
     if not distinct or rows == keys:
         return df
-    if rows > distinct:
-        return keep_first(df, [key], [F.col(name) for name in order])
+    kept = _without_later(df, narrow, key, order, rows - keys, max_bytes) if distinct > keys else df
+    if rows == distinct:
+        return kept
+    repeated = narrow.filter("rows > 1").select(F.col(key).alias(f"_repeated_{key}")).distinct()
+    few = (rows - distinct) * REPEATED_NAMES_BYTES <= max_bytes
+    repeated, same = F.broadcast(repeated) if few else repeated.hint("shuffle_hash"), F.col(key) == F.col(f"_repeated_{key}")
+    several = keep_first(kept.join(repeated, same, "left_semi"), [key], [F.col(name) for name in order])
+    return kept.join(repeated, same, "left_anti").unionByName(several)
+
+
+def _without_later(
+    df: DataFrame, narrow: DataFrame, key: str, order: Sequence[str], later_rows: int, max_bytes: int,
+) -> DataFrame:
+    """The rows of each key that are first in the given order, by a join with those that are not."""
+    names = [key, *order]
     first = narrow.groupBy(key).agg(F.min(F.struct(*order)).alias("first"))
     later = (
         narrow.select(*names).join(first, key).where(F.struct(*order) != F.col("first"))
         .select(*(F.col(name).alias(f"_later_{name}") for name in names)))
-    few = (rows - keys) * REPEATED_NAMES_BYTES <= max_bytes
+    few = later_rows * REPEATED_NAMES_BYTES <= max_bytes
     same = reduce(and_, (F.col(name).eqNullSafe(F.col(f"_later_{name}")) for name in names))
     return df.join(F.broadcast(later) if few else later.hint("shuffle_hash"), same, "left_anti")

@@ -30,11 +30,11 @@ def read_articles_xml(spark: SparkSession, path: str | list[str]) -> DataFrame:
     other article that has none. Escaped inequality signs stay apart from tags; see ``marked``.
     """
     pieces = (
-        spark.read.option("lineSep", END).text(path)
-        .select(F.regexp_extract("value", rf"(?s).*({START}.*)", 1).alias("xml"), F.col("value"), F.col("_metadata.file_path").alias("ref_id")))
+        spark.read.option("lineSep", END).text(path).filter(F.col("value").rlike(START))
+        .select(F.regexp_extract("value", rf"(?s).*({START}.*)", 1).alias("xml"), F.col("_metadata.file_path").alias("ref_id")))
     whole = F.when(F.endswith(F.col("xml"), F.lit("/>")) & ~F.contains(F.col("xml"), F.lit("</")), F.col("xml")).otherwise(
         F.concat("xml", F.lit(END)))
-    parsed = pieces.filter("xml <> ''").select(F.from_xml(marked(whole), RAW_ARTICLE, READ_OPTIONS).alias("article"), "ref_id")
+    parsed = pieces.select(F.from_xml(marked(whole), RAW_ARTICLE, READ_OPTIONS).alias("article"), "ref_id")
     return parsed.select(
         "article.*", "ref_id", (F.col("article.front").isNull() & F.col("article.body").isNull()).alias("malformed"))
 

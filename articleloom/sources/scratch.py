@@ -13,9 +13,14 @@ WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the folder the session names in ``spark.checkpoint.dir``, else under its warehouse.
 
-    Both are folders that the driver and all executors share.
+    The folder must be one that the driver and all executors share: without a checkpoint folder, a warehouse in a local file system
+    is refused unless the session is local.
     """
-    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.conf.get(WAREHOUSE_DIR)
+    root = spark.conf.get(CHECKPOINT_DIR, None)
+    if not root:
+        root = spark.conf.get(WAREHOUSE_DIR)
+        if root.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     return f"{root.rstrip('/')}/articleloom/{uuid.uuid4().hex}/{name}"
 
 

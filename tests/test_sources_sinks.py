@@ -137,5 +137,8 @@ def test_scratch_is_under_the_checkpoint_folder(spark):
 
 def test_scratch_without_the_setting_is_in_the_warehouse():
     conf = SimpleNamespace(get=lambda key, default=None: "file:/shared/warehouse/" if key == scratch.WAREHOUSE_DIR else default)
-    path = scratch.scratch_path(SimpleNamespace(conf=conf), "x")
+    session = lambda master: SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+    path = scratch.scratch_path(session("local[2]"), "x")
     assert path.startswith("file:/shared/warehouse/articleloom/") and path.endswith("/x")
+    with pytest.raises(ValueError, match="all executors share"):
+        scratch.scratch_path(session("spark://host:7077"), "x")

@@ -4,6 +4,9 @@ Of each vector several tables hold a key: the buckets of a few random projection
 any table are its candidates, and these are measured exactly. How wide buckets are follows from a bounded sample: the chance that two
 vectors share a key depends on their distance and the width alone, so the width is the least at which the sample's nearest
 neighbours would be found as often as wanted.
+
+Candidates are found and measured in the task that holds a block of vectors and a block of questions, and only the best few are kept: pairs
+are neither joined nor shuffled, so that what is stored is bounded by the hits, however many vectors share a key.
 """
 
 from __future__ import annotations
@@ -11,14 +14,13 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pyarrow as pa
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from articleloom.operators.nearest import HIT_BYTES, HITS_BYTES, Batch, _exact, top_per_question, wanted_top_k
+from articleloom.operators.nearest import BATCH_BYTES, KEYS, Batch, BestSoFar, QuestionBatch, nearest_of, wanted_top_k
 from articleloom.sources.scratch import stored
 
 TABLES = 12
@@ -26,6 +28,7 @@ PROJECTIONS = 3  # of a table: its keys agree only where all of them do
 WANTED_RECALL = 0.97  # of the nearest neighbours in the sample
 SAMPLE = 2048  # vectors that the width is fitted on
 SEED = 9
+DENSE = 16  # more than one in so many pairs of a block share a key: all of them are compared in one matrix product
 
 
 def collision(distance: np.ndarray, width: float, dims: int) -> np.ndarray:
@@ -70,27 +73,68 @@ class ProjectionHash:
         moved = F.zip_with(F.col("embedding").cast("array<double>"), shift, lambda x, s: x + s)
         return df.withColumn("_vector", array_to_vector(moved))
 
-    def keys(self, df: DataFrame, name: str) -> DataFrame:
-        """A row for each table: ``name`` and the ``key``, in which the table is part."""
+    def with_keys(self, df: DataFrame) -> DataFrame:
+        """``df`` with an array of keys, one of each table, in which the table is part. Row by row, no shuffle."""
         hashes = F.transform(F.col("_hashes"), lambda h: vector_to_array(h)[0])
-        hashed = self.model.transform(self._shifted(df)).select(name, hashes.alias("hashes"))
+        hashed = self.model.transform(self._shifted(df)).select(*df.columns, hashes.alias("_hashes"))
 
         def key(table: Column) -> Column:
-            return F.xxhash64(table, F.slice("hashes", table * self.projections + 1, F.lit(self.projections)))
+            return F.xxhash64(table, F.slice("_hashes", table * self.projections + 1, F.lit(self.projections)))
 
-        return hashed.select(name, F.explode(F.transform(F.sequence(F.lit(0), F.lit(self.tables - 1)), key)).alias("key"))
+        return hashed.select(*df.columns, F.transform(F.sequence(F.lit(0), F.lit(self.tables - 1)), key).alias(KEYS))
+
+    def keys(self, df: DataFrame, name: str) -> DataFrame:
+        """A row for each table: ``name`` and the ``key``, in which the table is part."""
+        return self.with_keys(df).select(name, F.explode(KEYS).alias("key"))
+
+
+class BestOfSharing(BestSoFar):
+    """The k best of the vectors that share a key with a question, by squared L2."""
+
+    def __init__(self, questions: Batch, top_k: np.ndarray):
+        super().__init__(questions, top_k, "l2")
+
+    def _prepared(self, vectors: Batch) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each table the order of the vectors by key, and their keys in it."""
+        orders = [np.argsort(keys, kind="stable") for keys in vectors.keys.T]
+        return [(order, keys[order]) for order, keys in zip(orders, vectors.keys.T, strict=True)]
+
+    def _candidates(self, part: slice, vectors: Batch, terms: np.ndarray, slack: np.ndarray, prepared: object) -> tuple[np.ndarray, np.ndarray]:
+        asked, count = self.questions.keys[part], len(terms)
+        spans = [(order, np.searchsorted(keys, asked[:, t], "left"), np.searchsorted(keys, asked[:, t], "right"))
+                 for t, (order, keys) in enumerate(prepared)]
+        shared = sum(int((high - low).sum()) for _, low, high in spans)
+        if shared * DENSE <= len(asked) * count:
+            pairs = [np.repeat(np.arange(len(asked)) * count, high - low) + order[_ranges(low, high)] for order, low, high in spans]
+            rows, columns = np.divmod(np.unique(np.concatenate(pairs)), count)
+            near = np.einsum("ij,ij->i", self.terms[part][rows], terms[columns])
+            open_ = near <= (self.worst[part] - self.own[part] + slack)[rows]
+            return rows[open_], columns[open_]
+        allowed = np.zeros((len(asked), count), bool)
+        for order, low, high in spans:
+            for row in np.flatnonzero(high > low):
+                allowed[row, order[low[row]:high[row]]] = True
+        # Those without a common key are farther than any.
+        near = np.where(allowed, self.terms[part] @ terms.T, np.inf)
+        return self._close(part, near, vectors, slack, allowed)
+
+
+def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The whole numbers from each ``low`` up to its ``high``, one range after the other."""
+    sizes = high - low
+    return np.arange(sizes.sum()) + np.repeat(low - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
 
 
 def nearest_approximate(
     questions: DataFrame, vectors: DataFrame, *, vector_id: str, recall: float = WANTED_RECALL, tables: int = TABLES,
-    projections: int = PROJECTIONS, sample: int = SAMPLE, seed: int = SEED,
+    projections: int = PROJECTIONS, sample: int = SAMPLE, seed: int = SEED, max_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """Of the vectors that share a key with a question the ``top_k`` nearest by squared L2: question_id, vector id, distance, rank.
 
     Distances are exact; a neighbour that shares no key is missed. ``vectors`` is read several times and should be stored. Of copies of
     a vector only as many as a question may want, those with the lowest ids, are hashed: the others cannot be among the nearest, and
     a vector that much of the table repeats makes no large bucket. Rows without a vector take no part. The width is fitted on
-    at most ``sample`` vectors, those with the lowest hashes of their ids.
+    at most ``sample`` vectors, those with the lowest hashes of their ids. ``max_bytes`` bounds what is sent to all tasks at once, as for ``nearest``.
     """
     asked = questions.filter("embedding IS NOT NULL").select(
         "question_id", "embedding", wanted_top_k(F.col("top_k") if "top_k" in questions.columns else F.lit(None)).alias("top_k")).filter("top_k > 0")
@@ -102,20 +146,12 @@ def nearest_approximate(
         return vectors.sparkSession.createDataFrame([], T.StructType(fields))
     matrix = Batch.of(drawn["embedding"].combine_chunks()).matrix
     width = bucket_width(matrix, int(most) + 1, recall, tables, projections)
+    hashing = ProjectionHash(present, width, matrix.shape[1], tables, projections, seed)
     same = Window.partitionBy(F.xxhash64("embedding"), "embedding").orderBy(vector_id)
-    hashed = stored(present.withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= int(most)).drop("copy"), "distinct_vectors")
-    hashing = ProjectionHash(hashed, width, matrix.shape[1], tables, projections, seed)
-    pairs = hashing.keys(asked, "question_id").join(hashing.keys(hashed, vector_id), "key").select("question_id", vector_id).distinct()
-
-    @F.arrow_udf("double")
-    def measured(left: pa.Array, right: pa.Array) -> pa.Array:
-        return pa.array(_exact(Batch.of(left).matrix, Batch.of(right).matrix, "l2"), pa.float64())
-
-    few = asked.count() * (HIT_BYTES + 8 * matrix.shape[1]) <= HITS_BYTES
-    ask = asked.select("question_id", F.col("embedding").alias("asked"), "top_k")
-    exact = pairs.join(F.broadcast(ask) if few else ask, "question_id").join(hashed, vector_id).select(
-        "question_id", vector_id, measured("asked", "embedding").alias("distance"), "top_k")
-    return top_per_question(exact, vector_id, int(most))
+    first = present.withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= int(most)).drop("copy")
+    hashed = stored(hashing.with_keys(first), "distinct_vectors")
+    batch = QuestionBatch.of(hashing.with_keys(asked), max_bytes)
+    return nearest_of(batch, hashed, vector_id, BestOfSharing, max_bytes)
 
 
 def recall_of(found: DataFrame, exact: DataFrame, vector_id: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Approximate search against the exact one."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from conftest import plan_of
 
 from articleloom.operators import approximate, nearest
 
@@ -55,3 +57,25 @@ def test_odd_numbers_and_empty_tables(spark, top_k):
     assert approximate.nearest_approximate(asked.limit(0), vectors, vector_id="vec_id").count() == 0
     hits = approximate.nearest_approximate(asked, vectors, vector_id="vec_id")
     assert (hits.count() == 0) == (top_k == 0)
+
+
+@pytest.mark.parametrize("dense", [0, 16, 10**9])
+def test_only_vectors_that_share_a_key_are_hits(monkeypatch, dense):
+    """Whether pairs are listed or compared in one product."""
+    monkeypatch.setattr(approximate, "DENSE", dense)
+    rng = np.random.default_rng(4)
+    asked, vectors = rng.normal(size=(300, 5)), rng.normal(size=(700, 5))
+    asked_keys, keys = rng.integers(0, 9, (300, 3)), rng.integers(0, 9, (700, 3))
+    found = approximate.BestOfSharing(nearest.Batch(asked, (pa.array(range(300)),), asked_keys), np.full(300, 4))
+    found.add(nearest.Batch(vectors, (pa.array(range(700)),), keys))
+    exact = ((asked[:, None] - vectors) ** 2).sum(axis=2)
+    exact[~(asked_keys[:, None] == keys).any(axis=2)] = np.inf
+    assert found.columns[0].reshape(300, 4).tolist() == np.argsort(exact, axis=1)[:, :4].tolist()
+
+
+def test_pairs_that_share_a_key_are_not_joined(spark, tmp_path):
+    """Their number grows with the square of the table; they are measured where they are found."""
+    frame(spark, clustered(5, 200), "vec_id").write.parquet(str(tmp_path / "vectors"))
+    vectors = spark.read.parquet(str(tmp_path / "vectors"))
+    plan = plan_of(approximate.nearest_approximate(frame(spark, clustered(5, 200), "question_id"), vectors, vector_id="vec_id"))
+    assert "Join" not in plan and "MapInArrow" in plan

@@ -22,6 +22,7 @@ from articleloom.operators.nearest import (
     HIT_BYTES,
     HITS_BYTES,
     PAIRS_AT_ONCE,
+    QUESTIONS_AT_ONCE,
     TASKS_PER_CORE,
     Batch,
     QuestionBatch,
@@ -71,52 +72,72 @@ def write_quantised(vectors: DataFrame, path: str) -> None:
 
 
 class OpenPairs:
-    """Pairs of questions and vectors that one task cannot rule out."""
+    """Pairs of questions and vectors that one task cannot rule out, kept by blocks of questions."""
 
     def __init__(self, questions: np.ndarray, top_k: np.ndarray):
         self.questions, self.top_k = questions, top_k
         self.squares = (questions * questions).sum(axis=1)
-        self.rows = np.empty(0, np.int64)
-        self.ids = np.empty(0, object)
-        self.least, self.most, self.same = np.empty(0), np.empty(0), np.empty(0, np.int64)
+        self.bound = np.full(len(top_k), np.inf)  # the k-th smallest of the largest possible distances
+        # Of each block of questions: the question, the vector's id, least and largest possible distance, the hash that copies share.
+        self.blocks: dict[int, list[np.ndarray]] = {}
+
+    def columns(self) -> list[np.ndarray]:
+        """Questions, ids, least and largest possible distances of all pairs left open."""
+        found = [block[:4] for _, block in sorted(self.blocks.items())]
+        return [np.concatenate(parts) for parts in zip(*found, strict=True)] or [np.empty(0, np.int64), np.empty(0, object), np.empty(0), np.empty(0)]
 
     def add(self, codes: np.ndarray, scale: np.ndarray, error: np.ndarray, same: np.ndarray, ids: np.ndarray) -> None:
-        vectors = codes * scale[:, None]
-        squares = (vectors * vectors).sum(axis=1)
-        step = max(1, PAIRS_AT_ONCE // max(1, len(ids)))
-        for start in range(0, len(self.top_k), step):
-            part = slice(start, start + step)
-            near = self.squares[part, None] + squares - 2.0 * (self.questions[part] @ vectors.T)
-            off = _rounding(vectors.shape[1], self.squares[part, None] + squares + 1.0)
-            most = np.sqrt(np.maximum(near, 0) + off) + error
-            least = np.maximum(np.sqrt(np.maximum(near - off, 0)) - error, 0)
-            k = int(self.top_k[part].max(initial=1))
-            bound = np.partition(most, k - 1, axis=1)[:, k - 1] if most.shape[1] > k else np.full(len(most), np.inf)
-            row, column = np.nonzero(least <= bound[:, None] * (1 + SLACK))
-            self.rows = np.concatenate([self.rows, row + start])
-            self.ids = np.concatenate([self.ids, ids[column]])
-            self.least = np.concatenate([self.least, least[row, column]])
-            self.most = np.concatenate([self.most, most[row, column]])
-            self.same = np.concatenate([self.same, same[column]])
-        self._thin()
-
-    def _thin(self) -> None:
-        """Leave out what the k-th smallest bound rules out, and of copies of a vector all but the k with the lowest ids."""
-        if not len(self.rows):
+        step = max(1, PAIRS_AT_ONCE // QUESTIONS_AT_ONCE)
+        for first in range(0, len(ids) if len(self.top_k) else 0, step):
+            rows = slice(first, first + step)
+            vectors = codes[rows] * scale[rows, None]
+            squares = (vectors * vectors).sum(axis=1)
+            # The share that rounding has of a squared distance; twice that, as the comparison below rounds as well.
+            off = 2 * _rounding(vectors.shape[1], 1.0)
+            terms = np.column_stack([vectors, squares * (1 - off) - error[rows] ** 2 * (1 + off), error[rows]])
+            for start in range(0, len(self.top_k), QUESTIONS_AT_ONCE):
+                self._add_block(start, vectors, squares, terms, off, error[rows], same[rows], ids[rows])
+
+    def _add_block(
+        self, start: int, vectors: np.ndarray, squares: np.ndarray, terms: np.ndarray, off: float, error: np.ndarray, same: np.ndarray, ids: np.ndarray,
+    ) -> None:
+        part = slice(start, start + QUESTIONS_AT_ONCE)
+        bound = self.bound[part].copy()
+        unknown, k = np.flatnonzero(np.isinf(bound)), int(self.top_k[part].max())
+        if len(unknown) and len(ids) > k:
+            near = self.squares[part][unknown, None] + squares - 2.0 * (self.questions[part][unknown] @ vectors.T)
+            rounding = _rounding(vectors.shape[1], self.squares[part][unknown, None] + squares + 1.0)
+            bound[unknown] = np.partition(np.sqrt(np.maximum(near, 0) + rounding) + error, k - 1, axis=1)[:, k - 1]
+        bound = bound * (1 + SLACK)
+        # Left open where near <= (bound + error) ** 2 and rounding. All that depends on the vector is in one matrix product.
+        known = np.where(np.isinf(bound), 0.0, bound)
+        asked = np.column_stack([-2.0 * self.questions[part], np.ones(len(bound)), -2.0 * known])
+        limit = bound**2 + off * (self.squares[part] + bound**2 + 1.0) - self.squares[part]
+        row, column = np.divmod(np.flatnonzero(asked @ terms.T <= limit[:, None]), len(ids))
+        if not len(row):
             return
-        order = np.lexsort((np.unique(self.ids, return_inverse=True)[1], self.same, self.rows))
-        group = np.unique(np.stack([self.rows[order], self.same[order]]), axis=1, return_inverse=True)[1].reshape(-1)
-        self._keep(order[_place_in_group(group) < self.top_k[self.rows[order]]])
-        order = np.lexsort((self.most, self.rows))
-        rows = self.rows[order]
-        last = _place_in_group(rows) == self.top_k[rows] - 1
-        bound = np.full(len(self.top_k), np.inf)
-        bound[rows[last]] = self.most[order][last]
-        self._keep(np.flatnonzero(self.least <= bound[self.rows] * (1 + SLACK)))
-
-    def _keep(self, places: np.ndarray) -> None:
-        self.rows, self.ids, self.least, self.most, self.same = (
-            column[places] for column in (self.rows, self.ids, self.least, self.most, self.same))
+        near = self.squares[part][row] + squares[column] - 2.0 * np.einsum("ij,ij->i", self.questions[part][row], vectors[column])
+        rounding = _rounding(vectors.shape[1], self.squares[part][row] + squares[column] + 1.0)
+        most = np.sqrt(np.maximum(near, 0) + rounding) + error[column]
+        least = np.maximum(np.sqrt(np.maximum(near - rounding, 0)) - error[column], 0)
+        found = [row + start, ids[column], least, most, same[column]]
+        held = self.blocks.get(start)
+        self._thin(start, [np.concatenate(pair) for pair in zip(held, found, strict=True)] if held else found)
+
+    def _thin(self, start: int, pairs: list[np.ndarray]) -> None:
+        """Leave out what the k-th smallest bound rules out, and of copies of a vector all but the k with the lowest ids."""
+        rows, ids, _, _, same = pairs
+        order = np.lexsort((np.unique(ids, return_inverse=True)[1], same, rows))
+        changes = (np.diff(rows[order]) != 0) | (np.diff(same[order]) != 0)
+        group = np.concatenate([[0], np.cumsum(changes)])
+        kept = order[_place_in_group(group) < self.top_k[rows[order]]]
+        rows, ids, least, most, same = (column[kept] for column in pairs)
+        order = np.lexsort((most, rows))
+        sorted_rows = rows[order]
+        last = _place_in_group(sorted_rows) == self.top_k[sorted_rows] - 1
+        self.bound[sorted_rows[last]] = most[order][last]
+        left = least <= self.bound[rows] * (1 + SLACK)
+        self.blocks[start] = [column[left] for column in (rows, ids, least, most, same)]
 
 
 def open_pairs(batch: QuestionBatch, number: int, table: DataFrame, vector_id: str) -> DataFrame:
@@ -141,9 +162,9 @@ def open_pairs(batch: QuestionBatch, number: int, table: DataFrame, vector_id: s
             if codes.shape[1] != matrix.shape[1]:
                 raise ValueError(f"vectors differ in length: {[codes.shape[1], matrix.shape[1]]}")
             found.add(codes.astype(np.float64), *(rows[name].to_numpy() for name in ("scale", "error", "same")),
-                      rows[vector_id].to_numpy(zero_copy_only=False).astype(object))
-        questions = Batch(matrix, columns).pick(found.rows)
-        arrays = [questions[0], found.ids, found.least, found.most, found.top_k[found.rows]]
+                      rows[vector_id].to_numpy(zero_copy_only=False))
+        places, ids, least, most = found.columns()
+        arrays = [Batch(matrix, columns).pick(places)[0], ids, least, most, top_k[places]]
         yield pa.RecordBatch.from_arrays([pa.array(a, kind) for a, kind in zip(arrays, types, strict=True)], spark_schema.names)
 
     scanned = table.select("code", "scale", "error", "same", vector_id)

@@ -68,3 +68,26 @@ def test_empty_tables(spark, tmp_path):
     some = spark.read.parquet(str(tmp_path / "some"))
     assert quantised.nearest_quantised(asked.limit(0), some, vector_id="vec_id").count() == 0
     assert quantised.nearest_quantised(asked.selectExpr("*", "9999 AS top_k"), some, vector_id="vec_id").count() == 3 * (len(case(4, 5)) - 1)
+
+
+def test_pairs_are_thinned_out_by_blocks_of_questions(monkeypatch):
+    """What is open for a few questions is not sorted together with that of all others."""
+    sizes = []
+    place = quantised._place_in_group
+    monkeypatch.setattr(quantised, "_place_in_group", lambda groups: sizes.append(len(groups)) or place(groups))
+    rng = np.random.default_rng(6)
+    matrix = rng.normal(size=(4000, 16))
+    scale = np.abs(matrix).max(axis=1) / quantised.LEVELS
+    codes = np.rint(matrix / scale[:, None])
+    error = np.sqrt(((matrix - codes * scale[:, None]) ** 2).sum(axis=1)) * (1 + quantised.SLACK)
+    found = quantised.OpenPairs(matrix, np.full(4000, 3))
+    for start in range(0, 4000, 1000):
+        part = slice(start, start + 1000)
+        found.add(codes[part], scale[part], error[part], np.arange(4000)[part], np.arange(4000)[part])
+    rows, ids, least, most = found.columns()
+    assert max(sizes) < len(rows)
+    exact = np.sqrt(((matrix[:50, None] - matrix) ** 2).sum(axis=2))
+    for row in range(50):
+        assert set(np.argsort(exact[row])[:3]) <= set(ids[rows == row])
+    measured = np.sqrt(((matrix[rows] - matrix[ids]) ** 2).sum(axis=1))
+    assert (least <= measured + 1e-6).all() and (measured <= most + 1e-6).all()

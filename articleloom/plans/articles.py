@@ -10,6 +10,7 @@ from articleloom.functions.text import clean, stable_id, unmarked
 from articleloom.operators.extract import extract_fields
 from articleloom.operators.quality import keep_first_of_source, keep_usable
 from articleloom.schemas import ARTICLES
+from articleloom.sources.scratch import stored
 
 
 # Of articles with one key the one of the lowest file path survives, and within a file that
@@ -50,5 +51,9 @@ def process_extracted(
 
 
 def process_articles(raw: DataFrame, lexicon: Lexicon = MEDICAL_DOMAINS, default: str = DEFAULT_DOMAIN) -> DataFrame:
-    """Raw nested articles to processed articles."""
-    return raw.transform(extract_fields).transform(process_extracted, lexicon, default)
+    """Raw nested articles to processed articles.
+
+    The extracted fields are stored first: they are read several times to filter and deduplicate, and each time, for each condition
+    of a filter, the XML would be parsed again.
+    """
+    return stored(extract_fields(raw), "extracted").transform(process_extracted, lexicon, default)

@@ -219,3 +219,9 @@ def test_classify_order_and_default(spark):
     assert one(spark, classify(F.lit("ab"), lexicon, "none")) == "late"
     assert one(spark, classify(F.lit("A"), lexicon, "none")) == "early"
     assert one(spark, classify(F.lit("x"), [], "none")) == "none"
+
+
+def test_xml_is_parsed_once(spark, folder):
+    """What follows the extraction reads the stored fields: no filter and no join parses articles again."""
+    files = process_articles(read_articles_xml(spark, folder)).inputFiles()
+    assert files and all("/extracted/" in file for file in files)

@@ -18,6 +18,8 @@ CHUNK_OVERLAP = 200
 
 MISSING = "N/A"
 
+TEXTS_AT_ONCE = 256  # of an Arrow batch, held as Python objects
+
 
 def _spans(text: str, size: int, overlap: int) -> list[tuple[int, int]]:
     """Start and end of each chunk, in time linear in the text.
@@ -49,6 +51,20 @@ def _spans(text: str, size: int, overlap: int) -> list[tuple[int, int]]:
     return spans
 
 
+def _cut_few(texts: pa.Array, size: int, overlap: int) -> pa.Array:
+    chunks = []
+    for text in texts.to_pylist():
+        parts = (text[a:b].strip() for a, b in _spans(text, size, overlap)) if text else ()
+        chunks.append([part for part in parts if part])
+    return pa.array(chunks, pa.list_(pa.string()))
+
+
+def cut_batch(texts: pa.Array, size: int, overlap: int) -> pa.Array:
+    """The chunks of an Arrow batch of texts, of which few at a time are Python objects."""
+    cuts = [_cut_few(texts.slice(start, TEXTS_AT_ONCE), size, overlap) for start in range(0, len(texts), TEXTS_AT_ONCE)]
+    return pa.concat_arrays(cuts) if cuts else pa.array([], pa.list_(pa.string()))
+
+
 def chunk_texts(content: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
     """The chunks of cleaned content as ``array<string>``; empty or null content has none.
 
@@ -61,11 +77,7 @@ def chunk_texts(content: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OV
 
     @F.arrow_udf("array<string>")
     def cut(texts: pa.Array) -> pa.Array:
-        chunks = []
-        for text in texts.to_pylist():
-            parts = (text[a:b].strip() for a, b in _spans(text, size, overlap)) if text else ()
-            chunks.append([part for part in parts if part])
-        return pa.array(chunks, pa.list_(pa.string()))
+        return cut_batch(texts, size, overlap)
 
     return cut(content)
 

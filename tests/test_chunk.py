@@ -148,3 +148,17 @@ def test_content_is_cut_once(spark):
     plan = plan_of(chunk_articles(df))
     assert plan.count("ArrowEvalPython") == 1
     assert "Exchange" not in plan
+
+
+def test_few_texts_of_a_batch_are_held_as_python_objects(monkeypatch):
+    import pyarrow as pa
+
+    from articleloom.operators import chunk as module
+
+    held = []
+    few = module._cut_few
+    monkeypatch.setattr(module, "_cut_few", lambda texts, *args: held.append(len(texts)) or few(texts, *args))
+    texts = pa.array([None if i % 7 == 0 else f"{i} word " * (i % 50) for i in range(1000)])
+    assert module.cut_batch(texts, 100, 20).to_pylist() == few(texts, 100, 20).to_pylist()
+    assert sum(held) == 1000 and max(held) <= module.TEXTS_AT_ONCE
+    assert module.cut_batch(texts[:0], 100, 20).to_pylist() == []

@@ -26,9 +26,9 @@ def unmarked(text: Column) -> Column:
 
 def clean(text: Column) -> Column:
     """Tags become spaces, whitespace runs become one space, ends are trimmed - in that order."""
-    # Both patterns.
+    # Both patterns. The second is [\r\n\s]+ without the single spaces, which would be replaced by themselves.
     untagged = F.regexp_replace(text, "<[^>]+>", " ")
-    return F.trim(F.regexp_replace(untagged, r"[\r\n\s]+", " "))
+    return F.trim(F.regexp_replace(untagged, r" \s+|[\t\n\x0B\f\r]\s*", " "))
 
 
 def is_blank(text: Column) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +28,14 @@ def _spans(text: str, size: int, overlap: int) -> list[tuple[int, int]]:
     room for the piece that did not fit. A piece of ``size`` or more is a run by itself, cut
     every ``size - overlap`` characters.
     """
-    spaces = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32) == 32).tolist()
-    starts = spaces if spaces and spaces[0] == 0 else [0, *spaces]
-    edges = [*starts, len(text)]
-    oversize = [i for i, (a, b) in enumerate(pairwise(edges)) if b - a >= size]
+    spaces = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32) == 32)
+    cuts = np.concatenate([spaces if len(spaces) and spaces[0] == 0 else np.append(0, spaces), [len(text)]])
+    oversize = np.flatnonzero(np.diff(cuts) >= size).tolist()
+    edges = cuts.tolist()
+    pieces = len(edges) - 1
     spans = []
     first = 0
-    for stop in [*oversize, len(starts)]:
+    for stop in [*oversize, pieces]:
         # Pieces first..stop-1 are all shorter than a chunk; edges[i + 1] ends piece i.
         while first < stop:
             last = bisect_right(edges, edges[first] + size, first + 1, stop + 1) - 1
@@ -43,10 +43,9 @@ def _spans(text: str, size: int, overlap: int) -> list[tuple[int, int]]:
             if last == stop:
                 break
             first = bisect_left(edges, max(edges[last] - overlap, edges[last + 1] - size), first + 1, last)
-        if stop < len(starts):
+        if stop < pieces:
             a, b = edges[stop], edges[stop + 1]
-            cuts = range(a, b - overlap, size - overlap)
-            spans.extend((cut, min(cut + size, b)) for cut in cuts)
+            spans.extend((cut, min(cut + size, b)) for cut in range(a, b - overlap, size - overlap))
         first = stop + 1
     return spans
 

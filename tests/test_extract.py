@@ -1,6 +1,7 @@
 """Article XML in, flat and processed articles out."""
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from articleloom.functions.lexicon import classify
@@ -225,3 +226,24 @@ def test_xml_is_parsed_once(spark, folder):
     """What follows the extraction reads the stored fields: no filter and no join parses articles again."""
     files = process_articles(read_articles_xml(spark, folder)).inputFiles()
     assert files and all("/extracted/" in file for file in files)
+
+
+def test_all_keywords_are_looked_for_in_one_pass(spark):
+    """No search of its own for each keyword, with the results of one; odd keywords and domains without any among them."""
+    lexicon = [("none", []), ("signs", ["a.c", "(x)", "p|q", "tab\there", "line\nfeed", "$"]), ("inner", ["gene", "eneral"]), ("outer", ["general", "Über"])]
+    texts = ["abc", "A.C", "p", "p|Q", "(X)", "x", "tab\tHERE", "line\nfeed", "a $ b", "Generally", "a generation", "ÜBER", "", None, "ener"]
+    df = spark.createDataFrame([(i, text) for i, text in enumerate(texts)], "id int, text string")
+    found = df.select("id", classify(F.col("text"), lexicon, "other").alias("domain"))
+    assert "Contains" not in plan_of(found)
+    wanted = [next((name for name, words in lexicon if text is not None and any(word.lower() in text.lower() for word in words)), "other") for text in texts]
+    assert [row["domain"] for row in found.orderBy("id").collect()] == wanted
+    assert one(spark, classify(F.lit("x"), [("every", [""])], "none")) == "every"
+
+
+def test_single_spaces_are_not_replaced_by_themselves(spark):
+    pieces = [" ", "  ", "\t", "\n ", " \r\n", "\x0b", "\f", " \t x", "\u00a0", "<b> ", "x", "\u2003"]
+    rows = [(f"{a}u{b}v{c}",) for a in pieces for b in pieces for c in pieces]
+    df = spark.createDataFrame(rows, "text string")
+    plain = F.trim(F.regexp_replace(F.regexp_replace("text", "<[^>]+>", " "), r"[\r\n\s]+", " "))
+    assert df.where(~clean(F.col("text")).eqNullSafe(plain)).count() == 0
+    assert r"[\r\n\s]+" not in plan_of(df.select(clean(F.col("text"))))

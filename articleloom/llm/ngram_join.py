@@ -46,9 +46,8 @@ PART_BYTES = 4 << 20
 GATHERED = 1_500_000
 # Rows of a batch of texts or sets that a task holds.
 BATCH_ROWS = 400
-# Bands up to this size are cut into so many segments an element.
-FINE_BAND = 128
-FINE_SEGMENTS = 8
+# Pairs whose larger set is in a band up to this size are found by single shingles.
+FINE_BAND = 512
 # Turns in which buckets are compared with a pivot before all pairs that are left.
 STAR_TURNS = 2
 # Ids of sets to be read again that are sent to all tasks; beyond it the texts are joined.
@@ -56,6 +55,7 @@ MOST_SENT = 2_000_000
 
 _FACTORS = np.random.default_rng(9).integers(1, 2**62, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SINGLES = 1 << 20
+_ODD = np.uint64(1)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -115,40 +115,47 @@ def bands(size: int) -> list[int]:
 
 
 def segment_count(top: int) -> int:
-    """Segments for a band: more than the largest difference, with some to spare for empty and skipped ones.
+    """Segments for a band: more than the largest difference, with some to spare for empty and skipped ones."""
+    return most_difference(top, top) + 2 + int(0.04 * top + 0.5 * top**0.5)
 
-    Small sets are cut so finely that nearly every element has a segment of its own. They hold few of all elements, so it
-    costs little, and a set must then share two thirds of its elements to be compared.
-    """
-    most = most_difference(top, top)
-    if not most:
-        return 1
-    return FINE_SEGMENTS * top if top <= FINE_BAND else most + 2 + int(0.04 * top + 0.5 * top**0.5)
+
+def least_shared(n: int) -> int:
+    """Elements that a set of n shares with a similar one at least, whatever its size."""
+    return -(-SIMILAR[0] * n // SIMILAR[1])
 
 
 def signatures(elements: np.ndarray) -> tuple[np.ndarray, int]:
-    """Bucket numbers of a set, and in how many of them it meets every partner at least (0 or less: by neighbourhoods)."""
+    """Bucket numbers of a set, and in how many of them it meets every partner at least (0 or less: by neighbourhoods).
+
+    Odd numbers are single shingles, for partners in bands up to ``FINE_BAND``; of these it meets a partner in ``least_shared``. Even ones
+    are segments, for the other bands, and if it has such the second result counts them.
+    """
     n = len(elements)
     parts, needs = [], []
     hashed = mixed(elements + _FACTORS[2])
+    if n <= FINE_BAND:
+        parts.append(mixed(hashed + _tag(_SINGLES)) | _ODD)
+        needs.append(least_shared(n))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashed)])
     largest = n * SIMILAR[1] // SIMILAR[0]
     for top in bands(n):
+        if top <= FINE_BAND:
+            continue
         count = segment_count(top)
         segment = (elements >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)
         starts = np.flatnonzero(np.diff(segment, prepend=np.uint64(count)))
         ends = np.append(starts[1:], n)
         tag = segment[starts] * _FACTORS[3] + _tag(top)
-        parts.append(mixed(sums[ends] - sums[starts] + tag))
+        parts.append(mixed(sums[ends] - sums[starts] + tag) & ~_ODD)
         need = len(starts) - most_difference(n, min(top, largest))
         needs.append(need)
         if need <= 0:
             several = ends - starts >= 2
             each = np.repeat(np.arange(len(starts)), ends - starts)
             each_in = several[each]
-            parts.append(mixed((sums[ends] - sums[starts] + tag)[each][each_in] - hashed[each_in]))
+            parts.append(mixed((sums[ends] - sums[starts] + tag)[each][each_in] - hashed[each_in]) & ~_ODD)
             if need + several.sum() <= 0:
-                parts.append(mixed(hashed + _tag(_SINGLES + top)))
+                parts.append(mixed(hashed + _tag(_SINGLES + top)) & ~_ODD)
     return np.concatenate(parts), min(needs)
 
 
@@ -312,42 +319,59 @@ def _links(pairs: DataFrame, documents: DataFrame, sets: DataFrame) -> DataFrame
     return found if found.limit(1).count() else None
 
 
+def _needs(sets: DataFrame) -> DataFrame:
+    """``set_id, fine, need, small, elements``: in how many buckets of a kind a set meets every partner, and every one not smaller than itself.
+
+    Buckets of single shingles are ``fine``. Similar sets of n and m elements share (n + m) * 3 / 7 or more, which is six sevenths of the smaller
+    one; of segments the smaller set has no more to ask for.
+    """
+    low, high = SIMILAR
+    fine = sets.where(f"size <= {FINE_BAND}").select(
+        "set_id", F.lit(True).alias("fine"), F.expr(f"CAST(({low} * size + {high - 1}) div {high} AS int)").alias("need"),
+        F.expr(f"CAST(({2 * low} * size + {low + high - 1}) div {low + high} AS int)").alias("small"), F.col("size").alias("elements"))
+    need = F.greatest("need", F.lit(1))
+    coarse = sets.where(f"size * {high} div {low} > {FINE_BAND}").select(
+        "set_id", F.lit(False).alias("fine"), need.alias("need"), need.alias("small"), F.col("size").alias("elements"))
+    return fine.unionAll(coarse)
+
+
 def _able(members: DataFrame, needs: DataFrame) -> DataFrame:
     """Members of buckets that hold several components, of sets that are in as many of these as they need.
 
-    A set meets each partner in ``need`` buckets or more. If it is in fewer that hold another component, it has no
-    partner left to find and leaves all of them.
+    A set meets each partner in ``need`` buckets of a kind or more. If it is in fewer that hold another component, it has no
+    partner left to find there and leaves all of them.
     """
     holding = (
         members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"))
         .where("low <> high").select("key", "size"))
-    held = stored(members.select("key", "set_id", "component").join(holding, "key"), "held")
-    able = held.groupBy("set_id").agg(F.count(F.lit(1)).alias("met")).join(needs, "set_id").where("met >= need")
-    able = stored(able.select("set_id", "need", "met", "elements"), "able")
+    fine = (F.col("key") % 2 != 0).alias("fine")
+    held = stored(members.select("key", "set_id", "component", fine).join(holding, "key"), "held")
+    able = held.groupBy("set_id", "fine").agg(F.count(F.lit(1)).alias("met")).join(needs, ["set_id", "fine"]).where("met >= need")
+    able = stored(able.select("set_id", "fine", "need", "small", "met", "elements"), "able")
     if able.count() <= MOST_SENT:
         able = F.broadcast(able)
-    return held.join(able, "set_id").select("key", "set_id", "component", "need", "met", "size", "elements")
+    return held.join(able, ["set_id", "fine"]).select("key", "set_id", "component", "fine", "need", "small", "met", "size", "elements")
 
 
 def _star(members: DataFrame, turn: int) -> DataFrame:
     """Pairs (a, b) of each bucket's pivot with one set of each other component in it; another choice each turn.
 
-    In the first turn every set is a component, and pairs must share the buckets they need. The number of pairs is at
-    most that of the members.
+    In the first turn every set is a component, and pairs must share the buckets they need. The pivot is then the set that shares most of what
+    it has, as the text does of which the others are copies. The number of pairs is at most that of the members.
     """
-    chance = F.xxhash64("set_id", F.lit(turn))
+    chance = F.struct((F.lit(0.0) if turn else -F.col("met") / F.col("elements")).alias("rest"), F.xxhash64("set_id", F.lit(turn)).alias("chance"))
     pivots = members.groupBy("key").agg(F.min(F.struct(chance.alias("chance"), "set_id", "component", "elements")).alias("pivot"))
     others = members
     if turn:
         others = members.groupBy("key", "component").agg(
             F.min(F.struct(chance.alias("chance"), "set_id", "elements")).alias("first"), F.lit(1).alias("need"))
-        others = others.select("key", "component", "first.set_id", "first.elements", "need")
+        others = others.select("key", "component", "first.set_id", "first.elements", "need", (F.col("key") % 2 != 0).alias("fine"))
     pairs = others.join(pivots, "key").where(F.col("component") != F.col("pivot.component"))
     pairs = pairs.where(_sizes_fit("elements", "pivot.elements"))
     pairs = pairs.groupBy(
-        F.least("set_id", "pivot.set_id").alias("a"), F.greatest("set_id", "pivot.set_id").alias("b")).agg(
+        F.least("set_id", "pivot.set_id").alias("a"), F.greatest("set_id", "pivot.set_id").alias("b"), "fine").agg(
         F.count(F.lit(1)).alias("shared"), F.max("need").alias("need"))
-    return pairs.where("shared >= need").select("a", "b")
+    return pairs.where("shared >= need").select("a", "b").distinct()
 
 
 def _sizes_fit(a: str, b: str) -> Column:
@@ -358,13 +382,16 @@ def _sizes_fit(a: str, b: str) -> Column:
 def _probed(members: DataFrame) -> DataFrame:
     """All pairs (a, b) of different components that can still be similar, each found where it is cheapest.
 
-    A set needs to look into all but ``need - 1`` of its buckets to meet every partner: the smallest ones.
+    Both sets of a pair look into all but ``need - 1`` of their buckets, the smallest ones. In the order of all buckets by size the first one that
+    they share is among those of either. The smaller set of a pair needs more of them than the larger, and so looks into fewer.
     """
-    cheapest = F.row_number().over(Window.partitionBy("set_id").orderBy("size", "key"))
-    probes = members.withColumn("place", cheapest).where("place <= met - need + 1")
-    left = probes.select("key", F.col("set_id").alias("x"), F.col("component").alias("of_x"), F.col("elements").alias("size_x"))
-    right = members.select("key", F.col("set_id").alias("y"), F.col("component").alias("of_y"), F.col("elements").alias("size_y"))
-    met = left.join(right, "key").where(F.expr("of_x <> of_y") & _sizes_fit("size_x", "size_y"))
+    cheapest = F.row_number().over(Window.partitionBy("set_id", "fine").orderBy("size", "key"))
+    placed = members.withColumn("place", cheapest)
+    left = placed.where("place <= met - small + 1").select(
+        "key", F.col("set_id").alias("x"), F.col("component").alias("of_x"), F.col("elements").alias("size_x"))
+    right = placed.where("place <= met - need + 1").select(
+        "key", F.col("set_id").alias("y"), F.col("component").alias("of_y"), F.col("elements").alias("size_y"))
+    met = left.join(right, "key").where(F.expr("of_x <> of_y AND size_x <= size_y") & _sizes_fit("size_x", "size_y"))
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -419,7 +446,7 @@ def _grouped(documents: DataFrame) -> DataFrame:
     sets = filled.groupBy("set_id").agg(
         F.min("need").alias("need"), F.min("n_shingles").alias("size"), F.min("text_hash").alias("text_hash"))
 
-    needs = stored(sets.select("set_id", F.greatest("need", F.lit(1)).alias("need"), F.col("size").alias("elements")), "needs")
+    needs = stored(_needs(sets), "needs")
     members = members.select("key", "set_id", F.col("set_id").alias("component"))
     members = _able(_able(members, needs), needs)
     links = tried = members.select(F.col("set_id").alias("a"), F.col("set_id").alias("b")).limit(0)

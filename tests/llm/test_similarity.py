@@ -179,6 +179,24 @@ def test_components_when_every_set_is_left_to_the_last_step(spark, monkeypatch):
     assert sorted(map(tuple, found), key=str) == brute.near_duplicates(rows)
 
 
+def test_copies_below_the_similarity_are_not_paired_with_each_other(spark, monkeypatch):
+    """Texts that share four fifths with one text that is not there: too little for a link, and too little to ask all the others."""
+    draw = random.Random(5)
+    base = [f"b{i}" for i in range(170)]
+    rows = []
+    for i in range(60):
+        text = list(base)
+        for k in range(7):
+            text[10 + 23 * k + draw.randrange(8)] = f"own{i}x{k}"
+        rows.append((i, " ".join(text)))
+    rows += near_copies(6, 40)
+    asked, probed = [], ngram_join._probed
+    monkeypatch.setattr(ngram_join, "_probed", lambda members: asked.append(probed(members).count()) or probed(members))
+    found = ngram_join.near_duplicates(spark.createDataFrame(rows, DOCUMENTS).repartition(3)).collect()
+    assert sorted(map(tuple, found), key=str) == brute.near_duplicates(rows)
+    assert sum(asked) < 60
+
+
 def test_long_chains_are_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (103, 101)], "a long, b long")
     found = dict(map(tuple, ngram_join.components(links).collect()))

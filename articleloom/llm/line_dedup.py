@@ -3,15 +3,16 @@
 A line is the set of its distinct words. Words are ordered by rarity, rarest first, and a line is indexed by the first
 few of them only: lines of similarity t share a word within their first n - ceil(t n) + 1 (prefix filter). Pairs in a bucket
 are kept if their sizes allow the similarity (length filter), if enough words follow the shared one (positional filter)
-and if the parities of their words in 32 bits differ in no more places than the sets may differ in words. What is left
+and if the parities of their words in 128 bits differ in no more places than the sets may differ in words. What is left
 is verified on the whole sets.
 
 Rarity is the count over the whole corpus of a word's bucket among ``RARITY`` buckets, a table of bounded size. Any order
 that all lines share makes the prefix filter exact; the counts only make it sharp.
 
-Lines with equal sets are one set, first seen where its first line stands. Small buckets are joined in the task that holds
-them. Members of large ones are first compared with the bucket's earliest line; those which that does not remove
-are joined by Spark, which splits hot buckets.
+Lines with equal sets are one set, first seen where its first line stands. A bucket is sorted by size and joined in the task that
+holds it, each set with those up to a quarter larger, unless so many of the pairs would pass the filters that it must hold near copies,
+or the sets of like size are too many. In such a large bucket a set is first compared with the likeliest of a few others, then
+with the bucket's earliest line; those which that does not remove are joined by Spark, which splits hot buckets.
 """
 
 from __future__ import annotations
@@ -38,12 +39,26 @@ RARITY = 1 << RARITY_BITS
 PART_BYTES = 8 << 20
 AT_ONCE = 2_000_000
 GATHERED = 2_000_000
+# Pairs a set that pass the filters, as its nearest NEAR neighbours by size tell, and sets of like size, beyond which a bucket is large;
+# pairs a set that its task still makes of a large one.
 LARGE_BUCKET = 16
+NEAR = 32
+MOST_ALIKE = 8192
+LIKELIEST = 4
+# Pairs that a task compares at once.
+COMPARED = 2_000_000
+# Counts of words that travel as one row.
+COUNTED = 2048
 BATCH_ROWS = 2000
 # Sizes from which an entry only says that a line is so long.
 LARGEST = 60_000
+# Bytes of a word up to which it is hashed by tables, a random number for each byte at each place.
+SHORT = 64
 
-_ONE = np.uint32(1)
+_ONE = np.uint64(1)
+_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_TABLE = np.random.default_rng(10).integers(0, 2**64, (SHORT, 256), dtype=np.uint64)
+_TABLE[:, ord("A"):ord("Z") + 1] = _TABLE[:, ord("a"):ord("z") + 1]
 
 
 def least_overlap(n, m):
@@ -58,95 +73,114 @@ def prefix_length(n):
     return n - (low * n + high - 1) // high + 1
 
 
-def _words(data: bytes) -> np.ndarray:
-    words = data.split()
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+def coded(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of a text, A-Z lowered, and where each begins."""
+    raw = np.frombuffer(data, np.uint8)
+    word = ~_SPACE[raw]
+    first = word.copy()
+    first[1:] &= ~word[:-1]
+    starts = np.flatnonzero(first)
+    if not len(starts):
+        return np.empty(0, np.uint64), starts
+    begins = np.flatnonzero(first[word])
+    chars = raw[word]
+    lengths = np.diff(np.append(begins, len(chars)))
+    place = np.minimum(np.arange(len(chars)) - np.repeat(begins, lengths), SHORT - 1)
+    codes = np.add.reduceat(_TABLE.ravel()[(place << 8) | chars], begins)
+    for k in np.flatnonzero(lengths > SHORT).tolist():
+        codes[k] = xxhash.xxh3_64_intdigest(data[starts[k]:starts[k] + lengths[k]].lower())
+    return codes, starts
 
 
 def rarity(documents: DataFrame) -> tuple[np.ndarray, int]:
     """The place of each bucket of words when they are ordered by how often their words occur, and the bytes of all texts."""
 
     def count(batches):
-        counts, codes, gathered, size = np.zeros(RARITY, np.int64), [], 0, 0
+        counts, texts, gathered, size = np.zeros(RARITY, np.int64), [], 0, 0
         for frame in batches:
             for text in frame.column(0):
                 if text.is_valid:
-                    data = text.as_py().encode()
-                    size += len(data)
-                    codes.append(_words(data.lower()))
-                    gathered += len(codes[-1])
+                    texts.append(text.as_py().encode())
+                    gathered += len(texts[-1])
                     if gathered > AT_ONCE:
-                        counts += _buckets(codes)
-                        codes, gathered = [], 0
-        if codes:
-            counts += _buckets(codes)
-        buckets = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(buckets, -1)), pa.array(np.append(counts[buckets], size))], ["bucket", "words"])
-
-    counted = documents.select("text").mapInArrow(count, "bucket bigint, words bigint")
-    totals = counted.groupBy("bucket").agg(F.sum("words").alias("words")).toPandas()  # at most RARITY rows
-    size = int(totals["words"][totals["bucket"] < 0].sum())
-    totals = totals[totals["bucket"] >= 0]
-    counts = np.zeros(RARITY, np.int64)
-    counts[totals["bucket"].to_numpy()] = totals["words"].to_numpy()
+                        counts += _buckets(b"\n".join(texts))
+                        size += gathered
+                        texts, gathered = [], 0
+        counts += _buckets(b"\n".join(texts))
+        yield blobs({-1: np.array([size + gathered]), **dict(enumerate(counts.reshape(-1, COUNTED)))})
+
+    def total(batches):
+        totals = {}
+        for frame in batches:
+            for chunk, counts in zip(frame.column(0).to_pylist(), frame.column(1).to_pylist(), strict=True):
+                totals[chunk] = totals.get(chunk, 0) + np.frombuffer(counts, np.int64)
+        yield blobs(totals)
+
+    def blobs(counts):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(counts.keys(), pa.int32()), pa.array([found.tobytes() for found in counts.values()], pa.binary())], ["chunk", "counts"])
+
+    kind, chunks = "chunk int, counts binary", RARITY // COUNTED
+    counted = documents.select("text").mapInArrow(count, kind).repartition(chunks, "chunk").mapInArrow(total, kind)
+    totals = {row["chunk"]: np.frombuffer(row["counts"], np.int64) for row in counted.collect()}  # RARITY counts
+    if not totals:
+        return np.arange(RARITY, dtype=np.uint64), 0
+    counts = np.concatenate([totals[chunk] for chunk in range(chunks)])
     places = np.empty(RARITY, np.uint64)
     places[np.argsort(counts, kind="stable")] = np.arange(RARITY, dtype=np.uint64)
-    return places, size
+    return places, int(totals[-1][0])
 
 
-def _buckets(codes: list[np.ndarray]) -> np.ndarray:
-    return np.bincount((np.concatenate(codes) & np.uint64(RARITY - 1)).astype(np.int64), minlength=RARITY)
+def _buckets(data: bytes) -> np.ndarray:
+    codes, _ = coded(data)
+    return np.bincount((codes & np.uint64(RARITY - 1)).astype(np.int64), minlength=RARITY)
 
 
 class Lines:
     """The lines of some texts that take part, as flat arrays: words by line, rarest first."""
 
-    def __init__(self, texts: list[str], places: np.ndarray, least: int, wanted: list[list[int]] | None = None):
-        lines, owners, numbers = [], [], []
-        self.line_counts = []
-        for owner, text in enumerate(texts):
-            split = text.encode().lower().split(b"\n")
-            self.line_counts.append(len(split))
-            for number in range(len(split)) if wanted is None else wanted[owner]:
-                words = split[number].split()
-                if len(words) >= least:
-                    lines.append(words)
-                    owners.append(owner)
-                    numbers.append(number)
-        sizes = np.fromiter(map(len, lines), np.int64, len(lines))
-        codes = np.fromiter((code for line in lines for code in map(xxhash.xxh3_64_intdigest, line)), np.uint64, sizes.sum())
+    def __init__(self, texts: list[str], places: np.ndarray, least: int):
+        data = "\n".join(texts).encode()
+        self.line_counts = [text.count("\n") + 1 for text in texts]
+        firsts = np.concatenate([[0], np.cumsum(self.line_counts)]).astype(np.int64)
+        codes, starts = coded(data)
+        line = np.searchsorted(np.flatnonzero(np.frombuffer(data, np.uint8) == ord("\n")), starts)
         place = places[(codes & np.uint64(RARITY - 1)).astype(np.int64)]
         codes = (place << np.uint64(64 - RARITY_BITS)) | (codes >> np.uint64(RARITY_BITS))
-        line = np.repeat(np.arange(len(lines)), sizes)
-        order = np.lexsort((codes, line))
+        order = np.argsort(codes)
+        few = np.uint16 if firsts[-1] <= 1 << 16 else np.int64
+        order = order[np.argsort(line[order].astype(few), kind="stable")]
         codes, line = codes[order], line[order]
         new = np.ones(len(codes), bool)
         new[1:] = (codes[1:] != codes[:-1]) | (line[1:] != line[:-1])
         codes, line = codes[new], line[new]
-        sizes = np.bincount(line, minlength=len(lines))
-        kept = sizes >= least
+        sizes = np.bincount(line, minlength=firsts[-1])
+        kept = sizes >= max(least, 1)
         on = kept[line]
         self.words, self.sizes = codes[on], sizes[kept]
-        self.owners, self.numbers = np.array(owners, np.int64)[kept], np.array(numbers, np.int64)[kept]
+        numbers = np.flatnonzero(kept)
+        self.owners = np.searchsorted(firsts, numbers, side="right") - 1
+        self.numbers = numbers - firsts[self.owners]
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int64)
         if len(self.sizes):
             spread = mixed(self.words)
             at = self.starts[:-1]
             sums = np.add.reduceat(spread, at) + self.sizes.astype(np.uint64)
             self.ids = mixed(sums).view(np.int64)
-            self.parity = np.bitwise_xor.reduceat(_ONE << (spread >> np.uint64(59)).astype(np.uint32), at)
+            bit, half = _ONE << (spread >> np.uint64(58)), (spread >> np.uint64(57)) & _ONE
+            self.parity, self.other = np.bitwise_xor.reduceat(bit * half, at), np.bitwise_xor.reduceat(bit * (half ^ _ONE), at)
             self.spread = spread
         else:
-            self.ids, self.parity, self.spread = np.empty(0, np.int64), np.empty(0, np.uint32), np.empty(0, np.uint64)
+            self.ids = np.empty(0, np.int64)
+            self.parity = self.other = self.spread = np.empty(0, np.uint64)
 
 
 GATHER = "part int, keys binary, doc_id bigint, text_hash bigint, lines int, numbers binary, sets binary"
-MET = ("kind int, a bigint, b bigint, key bigint, place int, size int, parity int, differ int, "
+MET = ("kind int, a bigint, b bigint, key bigint, place int, size int, parity bigint, other bigint, differ int, "
        "doc_id bigint, text_hash bigint, lines int, numbers array<int>, sets array<bigint>")
 
 # An entry of the index: a set and one of its rarest words.
-ENTRY = np.dtype([("id", np.int64), ("key", np.uint32), ("parity", np.uint32), ("size", np.uint16), ("place", np.uint8)])
+ENTRY = np.dtype([("id", np.int64), ("key", np.uint32), ("parity", np.uint64), ("other", np.uint64), ("size", np.uint16), ("place", np.uint8)])
 
 
 def _schema(ddl: str) -> pa.Schema:
@@ -205,7 +239,7 @@ def _gather(documents: DataFrame, places: np.ndarray, parts: int, least: int) ->
             key = mixed(lines.spread[np.repeat(lines.starts[fresh], counts) + place])
             found = np.empty(len(key), ENTRY)
             found["id"], found["key"] = np.repeat(lines.ids[fresh], counts), key.astype(np.uint32)
-            found["parity"] = np.repeat(lines.parity[fresh], counts)
+            found["parity"], found["other"] = np.repeat(lines.parity[fresh], counts), np.repeat(lines.other[fresh], counts)
             # Of longer lines and later places the filters only know that they are at least so large.
             found["size"], found["place"] = np.minimum(np.repeat(lines.sizes[fresh], counts), LARGEST), np.minimum(place, 255)
             entries.append((found, ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)))
@@ -238,8 +272,50 @@ def passes(size_a, size_b, place_a, place_b, differ):
         & (differ <= size_a + size_b - 2 * overlap))
 
 
+def compared(entries: np.ndarray, lengths: np.ndarray, skip: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of entries that pass the filters with one of the ``lengths`` next entries, those first skipped, and in how many bits they differ."""
+    size, place = entries["size"].astype(np.int64), entries["place"].astype(np.int64)
+    parity, other = entries["parity"].copy(), entries["other"].copy()
+    found, ends, at = [], np.cumsum(lengths), 0
+    while at < len(lengths):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + COMPARED, side="right")))
+        n = lengths[at:to]
+        here = np.repeat(np.arange(at, to), n)
+        there = here + 1 + skip + np.arange(len(here)) - np.repeat(np.cumsum(n) - n, n)
+        differ = np.bitwise_count(parity[here] ^ parity[there]).astype(np.int64) + np.bitwise_count(other[here] ^ other[there])
+        good = passes(size[here], size[there], place[here], place[there], differ)
+        found.append((here[good], there[good], differ[good]))
+        at = to
+    return tuple(np.concatenate(column) for column in zip(*found, strict=True))
+
+
+def candidates(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of entries, sorted by key and size, that share a key and pass the filters; last, which entries are in large buckets.
+
+    Of a large bucket there are only the likeliest pairs with sets next by size.
+    """
+    key, size = entries["key"].astype(np.int64), entries["size"].astype(np.int64)
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    counts = np.diff(np.append(starts, len(key)))
+    bucket = np.repeat(np.arange(len(starts)), counts)
+    reach = np.minimum(size * SIMILAR[1] // SIMILAR[0], LARGEST)
+    alike = np.searchsorted((key << 16) | size, (key << 16) | reach, side="right") - np.arange(len(key)) - 1
+    near = np.minimum(alike, NEAR)
+    here, there, differ = compared(entries, near, 0)
+    passed = np.bincount(bucket[here], minlength=len(starts))
+    expected = passed * np.add.reduceat(alike, starts) / np.maximum(np.add.reduceat(near, starts), 1)
+    large = ((expected > LARGE_BUCKET * counts) | (np.maximum.reduceat(alike, starts) > MOST_ALIKE))[bucket]
+
+    order = np.lexsort((differ, here))
+    here, there, differ = here[order], there[order], differ[order]
+    rank = np.arange(len(here)) - np.searchsorted(here, here)
+    kept = ~large[here] | (rank < LIKELIEST)
+    rest = compared(entries, np.where(large, 0, alike - near), NEAR)
+    return *(np.concatenate([column[kept], more]) for column, more in zip((here, there, differ), rest, strict=True)), large
+
+
 def _meet(gathered: DataFrame, parts: int) -> DataFrame:
-    """Kind 0: the documents; kind 1: pairs of small buckets that pass the filters; kind 2: members of large buckets."""
+    """Kind 0: the documents; kind 1: pairs that pass the filters; kind 2: members of large buckets, whose pairs are not all there."""
     schema = _schema(MET)
 
     def meet(batches):
@@ -258,35 +334,22 @@ def _meet(gathered: DataFrame, parts: int) -> DataFrame:
             entries = np.concatenate([np.frombuffer(blob, ENTRY) for blob in found])
             found.clear()
             # The same set comes from several tasks.
-            entries = entries[np.lexsort((entries["id"], entries["size"], entries["key"]))]
+            entries = entries[np.lexsort((entries["id"], (entries["key"].astype(np.int64) << 16) | entries["size"]))]
             new = np.ones(len(entries), bool)
             new[1:] = (entries["id"][1:] != entries["id"][:-1]) | (entries["key"][1:] != entries["key"][:-1])
             entries = entries[new]
-            ids, parity, key = entries["id"], entries["parity"], entries["key"].astype(np.int64)
-            size, place = entries["size"].astype(np.int64), entries["place"].astype(np.int64)
-            starts = np.flatnonzero(np.diff(key, prepend=-1))
-            counts = np.diff(np.append(starts, len(key)))
-            left = np.repeat(starts + counts, counts) - np.arange(len(key))  # members from this one on
-            large = np.repeat(counts > LARGE_BUCKET, counts)
-            pairs = []
-            here = np.flatnonzero(~large & (left > 1))
-            for step in range(1, LARGE_BUCKET):
-                here = here[left[here] > step]
-                if not len(here):
-                    break
-                there = here + step
-                differ = np.bitwise_count(parity[here] ^ parity[there]).astype(np.int64)
-                good = passes(size[here], size[there], place[here], place[there], differ)
-                a, b = ids[here[good]], ids[there[good]]
-                pairs.append(np.stack([np.minimum(a, b), np.maximum(a, b), differ[good]], axis=1))
-            if pairs and len(pairs := np.concatenate(pairs)):
-                pairs = np.unique(pairs, axis=0)
-                yield _batch(schema, len(pairs), kind=np.ones(len(pairs), np.int32), a=pairs[:, 0], b=pairs[:, 1],
-                             differ=pairs[:, 2].astype(np.int32))
+            ids = entries["id"]
+            here, there, differ, large = candidates(entries)
+            for at in range(0, len(here), 100_000):
+                a, b = ids[here[at:at + 100_000]], ids[there[at:at + 100_000]]
+                yield _batch(schema, n := len(a), kind=np.ones(n, np.int32), a=np.minimum(a, b), b=np.maximum(a, b),
+                             differ=differ[at:at + n].astype(np.int32))
             if large.any():
-                yield _batch(schema, n := int(large.sum()), kind=np.full(n, 2, np.int32), a=ids[large],
-                             key=(np.int64(part) << np.int64(32)) + key[large], place=place[large].astype(np.int32),
-                             size=size[large].astype(np.int32), parity=parity[large].view(np.int32))
+                members = entries[large]
+                yield _batch(schema, n := len(members), kind=np.full(n, 2, np.int32), a=members["id"],
+                             key=(np.int64(part) << np.int64(32)) + members["key"].astype(np.int64), place=members["place"].astype(np.int32),
+                             size=members["size"].astype(np.int32), parity=members["parity"].astype(np.int64),
+                             other=members["other"].astype(np.int64))
 
     return gathered.repartition(parts, "part").mapInArrow(meet, MET)
 
@@ -306,7 +369,8 @@ def _contents(documents: DataFrame, places: np.ndarray, involved: DataFrame) ->
                 texts, numbers = (part.column(i).to_pylist() for i in (0, 1))
                 # Of texts that are stored often a task reads one.
                 new = [k for k, found in enumerate(part.column(2).to_pylist()) if not (found in seen or seen.add(found))]
-                lines = Lines([texts[k] or "" for k in new], shared.value, 1, [numbers[k] for k in new])
+                split = [(texts[k] or "").split("\n") for k in new]
+                lines = Lines(["\n".join(map(text.__getitem__, numbers[k])) for k, text in zip(new, split, strict=True)], shared.value, 1)
                 words = [lines.words[a:b].tobytes() for a, b in zip(lines.starts, lines.starts[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays([pa.array(lines.ids, pa.int64()), pa.array(words, pa.binary())], ["set_id", "words"])
 
@@ -328,38 +392,34 @@ def _similar(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(found, pa.bool_())
 
 
-def _oriented(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _oriented(pairs: DataFrame, firsts: DataFrame) -> DataFrame:
     """Pairs (a, b, differ) as (``early, late, differ``) by their first lines."""
-    a = sets.select(F.col("set_id").alias("a"), F.col("first").alias("of_a"))
-    b = sets.select(F.col("set_id").alias("b"), F.col("first").alias("of_b"))
+    a = firsts.select(F.col("set_id").alias("a"), F.col("first").alias("of_a"))
+    b = firsts.select(F.col("set_id").alias("b"), F.col("first").alias("of_b"))
     ordered = pairs.join(a, "a").join(b, "b").withColumn("straight", F.col("of_a") < F.col("of_b"))
     return ordered.select(
         F.when(F.col("straight"), F.col("a")).otherwise(F.col("b")).alias("early"),
         F.when(F.col("straight"), F.col("b")).otherwise(F.col("a")).alias("late"), "differ")
 
 
-def _similar_late(pairs: DataFrame, documents: DataFrame, places: np.ndarray, sets: DataFrame) -> DataFrame:
+def _similar_late(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     """``set_id`` of the late sets that are similar to their early one, by comparing the whole sets."""
-    if not pairs.limit(1).count():
-        return pairs.select(F.col("late").alias("set_id"))
-    involved = pairs.select(F.col("early").alias("set_id")).union(pairs.select("late")).distinct()
-    contents = stored(_contents(documents, places, stored(sets.join(involved, "set_id"), "involved")), "contents")
     early = contents.select(F.col("set_id").alias("early"), F.col("words").alias("of_early"))
     late = contents.select(F.col("set_id").alias("late"), F.col("words").alias("of_late"))
     return pairs.join(early, "early").join(late, "late").where(_similar("of_early", "of_late")).select(
         F.col("late").alias("set_id")).distinct()
 
 
-def _gone(pairs: DataFrame, documents: DataFrame, places: np.ndarray, sets: DataFrame) -> DataFrame:
+def _gone(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     """``set_id`` of every set that is similar to an early one of its pairs (``early, late, differ``).
 
     Each set is compared with its likeliest partner first, and only those that this does not settle with all others.
     """
     likeliest = pairs.groupBy("late").agg(F.min(F.struct("differ", "early")).alias("best"))
     first = stored(likeliest.select(F.col("best.early").alias("early"), "late"), "likeliest")
-    gone = stored(_similar_late(first, documents, places, sets), "gone")
+    gone = stored(_similar_late(first, contents), "gone")
     others = pairs.select("early", "late").join(gone, F.col("late") == F.col("set_id"), "left_anti").join(first, ["early", "late"], "left_anti")
-    return stored(gone.union(_similar_late(stored(others.distinct(), "other_pairs"), documents, places, sets)), "gone")
+    return stored(gone.union(_similar_late(others.distinct(), contents)), "gone")
 
 
 def line_verdicts(documents: DataFrame, least: int = LEAST_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -386,18 +446,20 @@ def _line_verdicts(documents: DataFrame, least: int) -> tuple[DataFrame, DataFra
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "line").alias("place")
     sets = stored(lines.groupBy("set_id").agg(F.min(place).alias("first")), "line_sets")
 
-    small = stored(
-        met.where("kind = 1").groupBy("a", "b").agg(F.min("differ").alias("differ")), "line_pairs")
-    pairs = stored(_oriented(small, sets), "ordered_pairs")
-    gone = _gone(pairs, documents, places, sets)
+    small = met.where("kind = 1").groupBy("a", "b").agg(F.min("differ").alias("differ"))
+    small = stored(small, "line_pairs")
+    members = met.where("kind = 2").select(F.col("a").alias("set_id"), "key", "place", "size", "parity", "other")
+    involved = small.select(F.col("a").alias("set_id")).union(small.select("b")).union(members.select("set_id")).distinct()
+    firsts = stored(sets.join(involved, "set_id"), "firsts")
+    contents = stored(_contents(documents, places, firsts), "contents")
+    gone = _gone(stored(_oriented(small, firsts), "ordered_pairs"), contents)
 
     # In large buckets the earliest line is compared with all others, then what that leaves with all earlier ones.
-    members = met.where("kind = 2").select(F.col("a").alias("set_id"), "key", "place", "size", "parity")
     if members.limit(1).count():
-        members = stored(members.join(sets, "set_id"), "large")
-        earliest = members.groupBy("key").agg(F.min(F.struct("first", "set_id", "place", "size", "parity")).alias("pivot"))
+        members = stored(members.join(firsts, "set_id"), "large")
+        earliest = members.groupBy("key").agg(F.min(F.struct("first", "set_id", "place", "size", "parity", "other")).alias("pivot"))
         overlap = F.expr(f"({SIMILAR[0]} * (a.size + b.size) + {sum(SIMILAR) - 1}) div {sum(SIMILAR)}")
-        differ = F.expr("bit_count(CAST(a.parity ^ b.parity AS bigint) & 4294967295L)")
+        differ = F.expr("bit_count(a.parity ^ b.parity) + bit_count(a.other ^ b.other)")
         good = F.expr(f"greatest(a.size, b.size) >= {LARGEST}") | (
             F.expr(f"{SIMILAR[1]} * least(a.size, b.size) >= {SIMILAR[0]} * greatest(a.size, b.size)")
             & (F.least(F.expr("a.size - a.place"), F.expr("b.size - b.place")) >= overlap)
@@ -406,10 +468,10 @@ def _line_verdicts(documents: DataFrame, least: int) -> tuple[DataFrame, DataFra
         still = members.join(gone, "set_id", "left_anti")
         star = still.alias("b").join(earliest.select("key", "pivot.*").alias("a"), "key").where(
             good & F.expr("a.set_id <> b.set_id")).select(*found).distinct()
-        gone = stored(gone.union(_gone(stored(star, "star_pairs"), documents, places, sets)), "gone")
+        gone = stored(gone.union(_gone(stored(star, "star_pairs"), contents)), "gone")
         still = members.join(gone, "set_id", "left_anti")
         every = still.alias("b").join(members.alias("a"), "key").where(good & (F.col("a.first") < F.col("b.first"))).select(*found).distinct()
-        gone = stored(gone.union(_gone(stored(every, "large_pairs"), documents, places, sets)), "gone")
+        gone = stored(gone.union(_gone(stored(every, "large_pairs"), contents)), "gone")
 
     marked = stored(
         sets.join(gone.distinct().withColumn("gone", F.lit(True)), "set_id", "left").select(

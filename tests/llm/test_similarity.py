@@ -287,6 +287,17 @@ def test_lines_in_large_buckets(spark, monkeypatch):
     check_lines(spark, lined(2))
 
 
+def test_unlike_lines_that_share_words_are_compared_where_they_are(spark, monkeypatch):
+    """More lines than a bucket once could hold share a word, few are similar: no join of the bucket's members by Spark."""
+    draw, named, stored = random.Random(11), [], line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df, name: named.append(name) or stored(df, name))
+    lines = [["shared"] + [f"w{draw.randrange(3000)}" for _ in range(12)] for _ in range(150)]
+    lines += [[*line[:-1], "other"] for line in lines[:20]] + [[*line[:-4], "too", "many", "of", "them"] for line in lines[20:40]]
+    lines += [["x" * 70 + "a"] * 3, ["x" * 70 + "b"], ["X" * 70 + "A"]]
+    check_lines(spark, [(i, " ".join(line)) for i, line in enumerate(lines)])
+    assert "line_pairs" in named and "large" not in named
+
+
 def test_columns_stay_and_lengths_follow(spark, empty):
     line = " ".join(f"w{i}" for i in range(12))
     rows = [(1, f"{line}\nshort", 999, "a", "x"), (2, f"own\n{line} more", 999, "b", "y"), (3, line, 999, "c", "z"), (4, None, None, None, None)]

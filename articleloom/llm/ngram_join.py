@@ -338,19 +338,23 @@ def _needs(sets: DataFrame) -> DataFrame:
 def _able(members: DataFrame, needs: DataFrame) -> DataFrame:
     """Members of buckets that hold several components, of sets that are in as many of these as they need.
 
+    Buckets with the same sets, as those of a passage that some texts share, are one bucket from then on, with their number as its weight.
     A set meets each partner in ``need`` buckets of a kind or more. If it is in fewer that hold another component, it has no
     partner left to find there and leaves all of them.
     """
     holding = (
-        members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"))
-        .where("low <> high").select("key", "size"))
-    fine = (F.col("key") % 2 != 0).alias("fine")
-    held = stored(members.select("key", "set_id", "component", fine).join(holding, "key"), "held")
-    able = held.groupBy("set_id", "fine").agg(F.count(F.lit(1)).alias("met")).join(needs, ["set_id", "fine"]).where("met >= need")
+        members.groupBy("key").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"), F.min("weight").alias("weight"),
+            F.bit_xor(F.xxhash64("set_id")).alias("sets"), F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("again"))
+        .where("low <> high").groupBy((F.col("key") % 2 != 0).alias("fine"), "size", "sets", "again")
+        .agg(F.min("key").alias("key"), F.sum("weight").alias("weight")))
+    held = stored(members.select("key", "set_id", "component").join(holding.select("key", "fine", "size", "weight"), "key"), "held")
+    able = held.groupBy("set_id", "fine").agg(F.sum("weight").alias("met")).join(needs, ["set_id", "fine"]).where("met >= need")
     able = stored(able.select("set_id", "fine", "need", "small", "met", "elements"), "able")
     if able.count() <= MOST_SENT:
         able = F.broadcast(able)
-    return held.join(able, ["set_id", "fine"]).select("key", "set_id", "component", "fine", "need", "small", "met", "size", "elements")
+    return held.join(able, ["set_id", "fine"]).select(
+        "key", "set_id", "component", "fine", "need", "small", "met", "size", "weight", "elements")
 
 
 def _star(members: DataFrame, turn: int) -> DataFrame:
@@ -364,13 +368,13 @@ def _star(members: DataFrame, turn: int) -> DataFrame:
     others = members
     if turn:
         others = members.groupBy("key", "component").agg(
-            F.min(F.struct(chance.alias("chance"), "set_id", "elements")).alias("first"), F.lit(1).alias("need"))
-        others = others.select("key", "component", "first.set_id", "first.elements", "need", (F.col("key") % 2 != 0).alias("fine"))
+            F.min(F.struct(chance.alias("chance"), "set_id", "elements")).alias("first"), F.lit(1).alias("need"), F.min("weight").alias("weight"))
+        others = others.select("key", "component", "first.set_id", "first.elements", "need", "weight", (F.col("key") % 2 != 0).alias("fine"))
     pairs = others.join(pivots, "key").where(F.col("component") != F.col("pivot.component"))
     pairs = pairs.where(_sizes_fit("elements", "pivot.elements"))
     pairs = pairs.groupBy(
         F.least("set_id", "pivot.set_id").alias("a"), F.greatest("set_id", "pivot.set_id").alias("b"), "fine").agg(
-        F.count(F.lit(1)).alias("shared"), F.max("need").alias("need"))
+        F.sum("weight").alias("shared"), F.max("need").alias("need"))
     return pairs.where("shared >= need").select("a", "b").distinct()
 
 
@@ -383,15 +387,18 @@ def _probed(members: DataFrame) -> DataFrame:
     """All pairs (a, b) of different components that can still be similar, each found where it is cheapest.
 
     Both sets of a pair look into all but ``need - 1`` of their buckets, the smallest ones. In the order of all buckets by size the first one that
-    they share is among those of either. The smaller set of a pair needs more of them than the larger, and so looks into fewer.
+    they share is among those of either. The smaller set of a pair needs more of them than the larger, and so looks into fewer. Where a pair
+    first meets, as many buckets as it has to share are left to both.
     """
-    cheapest = F.row_number().over(Window.partitionBy("set_id", "fine").orderBy("size", "key"))
-    placed = members.withColumn("place", cheapest)
-    left = placed.where("place <= met - small + 1").select(
-        "key", F.col("set_id").alias("x"), F.col("component").alias("of_x"), F.col("elements").alias("size_x"))
-    right = placed.where("place <= met - need + 1").select(
-        "key", F.col("set_id").alias("y"), F.col("component").alias("of_y"), F.col("elements").alias("size_y"))
-    met = left.join(right, "key").where(F.expr("of_x <> of_y AND size_x <= size_y") & _sizes_fit("size_x", "size_y"))
+    before = Window.partitionBy("set_id", "fine").orderBy("size", "key").rowsBetween(Window.unboundedPreceding, -1)
+    placed = members.withColumn("rest", F.col("met") - F.coalesce(F.sum("weight").over(before), F.lit(0)))
+    left = placed.where("rest >= small").select(
+        "key", F.col("set_id").alias("x"), F.col("component").alias("of_x"), F.col("elements").alias("size_x"), F.col("rest").alias("rest_x"), "fine")
+    right = placed.where("rest >= need").select(
+        "key", F.col("set_id").alias("y"), F.col("component").alias("of_y"), F.col("elements").alias("size_y"), F.col("rest").alias("rest_y"))
+    low, high = SIMILAR
+    enough = F.expr(f"NOT fine OR least(rest_x, rest_y) * {low + high} >= {low} * (size_x + size_y)")
+    met = left.join(right, "key").where(F.expr("of_x <> of_y AND size_x <= size_y") & _sizes_fit("size_x", "size_y") & enough)
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -447,7 +454,7 @@ def _grouped(documents: DataFrame) -> DataFrame:
         F.min("need").alias("need"), F.min("n_shingles").alias("size"), F.min("text_hash").alias("text_hash"))
 
     needs = stored(_needs(sets), "needs")
-    members = members.select("key", "set_id", F.col("set_id").alias("component"))
+    members = members.select("key", "set_id", F.col("set_id").alias("component"), F.lit(1).cast("long").alias("weight"))
     members = _able(_able(members, needs), needs)
     links = tried = members.select(F.col("set_id").alias("a"), F.col("set_id").alias("b")).limit(0)
     of = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
@@ -463,8 +470,8 @@ def _grouped(documents: DataFrame) -> DataFrame:
             links = links.unionAll(found)
             of = components(links)
         if found is not None and not last:
-            members = members.select("key", "set_id").join(of.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-                "key", "set_id", F.coalesce("component", "set_id").alias("component"))
+            members = members.select("key", "set_id", "weight").join(of.withColumnRenamed("node", "set_id"), "set_id", "left").select(
+                "key", "set_id", F.coalesce("component", "set_id").alias("component"), "weight")
             members = _able(members, needs)
 
     named = filled.join(of.withColumnRenamed("node", "set_id"), "set_id", "left").select(

@@ -197,6 +197,17 @@ def test_copies_below_the_similarity_are_not_paired_with_each_other(spark, monke
     assert sum(asked) < 60
 
 
+def test_a_passage_that_texts_share_is_one_bucket(spark, monkeypatch):
+    """Texts made of passages that others have too, none similar to another: a passage counts once, not once a shingle."""
+    draw, entered, probed = random.Random(12), [], ngram_join._probed
+    passages = [[f"p{k}x{i}" for i in range(40)] for k in range(12)]
+    rows = [(i, " ".join(word for k in draw.sample(range(12), 5) for word in passages[k])) for i in range(50)] + near_copies(7, 24)
+    monkeypatch.setattr(ngram_join, "_probed", lambda members: entered.append(members.count()) or probed(members))
+    found = ngram_join.near_duplicates(spark.createDataFrame(rows, DOCUMENTS).repartition(3)).collect()
+    assert sorted(map(tuple, found), key=str) == brute.near_duplicates(rows)
+    assert entered and max(entered) < 50 * 5 * 36 / 4
+
+
 def test_long_chains_are_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (103, 101)], "a long, b long")
     found = dict(map(tuple, ngram_join.components(links).collect()))

@@ -14,7 +14,8 @@ Which segments are spent on which set follows their cost:
   is done again as buckets empty. Most sets that share only a passage go here.
 * What a set still has to look into is all its buckets but need - 1, and it skips the fullest ones.
 
-Every pair that is left is verified on its whole sets. First, for some turns, each bucket's components are compared
+Every pair that is left and whose sets' parities in 512 bits differ in no more places than similar sets may in shingles is verified
+on its whole sets. First, for some turns, each bucket's components are compared
 with one pivot only, and buckets that hold one component are closed: a group of thousands of near copies costs a
 comparison a copy, not one a pair. Pairs inside one component are not looked for, all others are.
 
@@ -40,8 +41,10 @@ SHINGLE = 5
 # Similarity as a fraction: links need SIMILAR[1] * intersection >= SIMILAR[0] * union.
 SIMILAR = (75, 100)
 
-# Bytes of text for each part of the signature space; a part is sorted in one task.
-PART_BYTES = 4 << 20
+# Bytes of text for each part of the signature space. A set is named once in each part it has signatures in, so that parts are few; they are
+# sorted in one task, a slice at a time.
+PART_BYTES = 16 << 20
+SLICES = 4
 # Signatures a task gathers before it sends them on.
 GATHERED = 1_500_000
 # Rows of a batch of texts or sets that a task holds.
@@ -53,6 +56,9 @@ STAR_TURNS = 2
 # Ids of sets to be read again that are sent to all tasks; beyond it the texts are joined.
 MOST_SENT = 2_000_000
 
+# Parities of a set: of its shingles in each of 512 classes, as numbers of 64 bits.
+PARITIES = [f"p{k}" for k in range(8)]
+
 _FACTORS = np.random.default_rng(9).integers(1, 2**62, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SINGLES = 1 << 20
 _ODD = np.uint64(1)
@@ -94,6 +100,12 @@ def set_id(elements: np.ndarray) -> int:
     return int(mixed(folded[:1] ^ (folded[1:] * _FACTORS[1])).view(np.int64)[0])
 
 
+def parities(elements: np.ndarray) -> list[int]:
+    """Whether a set has an odd number of elements in each of 512 classes: two sets' differ in as many places as the sets in elements, at most."""
+    classes = (mixed(elements + _FACTORS[1]) >> np.uint64(55)).astype(np.int64)
+    return np.packbits(np.bincount(classes, minlength=512) % 2 == 1).view(np.int64).tolist()
+
+
 def most_difference(r: int, s: int) -> int:
     """The largest symmetric difference of similar sets of these sizes."""
     low, high = SIMILAR
@@ -160,7 +172,7 @@ def signatures(elements: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 GATHER = ("part int, ids binary, counts binary, keys binary, doc_id bigint, set_id bigint, n_shingles bigint, "
-          "need int, text_hash bigint")
+          "need int, text_hash bigint, " + ", ".join(f"{name} bigint" for name in PARITIES))
 
 
 class _Gathered:
@@ -193,7 +205,7 @@ class _Gathered:
 
 def _gather(documents: DataFrame, parts: int) -> DataFrame:
     """Rows of two kinds: a blob of signatures for each part, and a row for each document."""
-    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 9]
     names = [field.split()[0] for field in GATHER.split(", ")]
     schema = pa.schema(list(zip(names, kinds, strict=True)))
 
@@ -217,24 +229,26 @@ def _gather(documents: DataFrame, parts: int) -> DataFrame:
                         seen.add(identity)
                         gathered.add(identity, keys)
                 spread += 1
-                rows.append((spread % parts, None, None, None, doc_id.as_py(), identity, len(elements), need, text_hash.as_py()))
+                rows.append((spread % parts, None, None, None, doc_id.as_py(), identity, len(elements), need, text_hash.as_py(),
+                             *parities(elements)))
                 if gathered.size >= GATHERED:
                     for blob in gathered.blobs():
-                        yield batch([(*blob, None, None, None, None, None)])
+                        yield batch([(*blob, *[None] * 13)])
             if rows:
                 yield batch(rows)
         for blob in gathered.blobs():
-            yield batch([(*blob, None, None, None, None, None)])
+            yield batch([(*blob, *[None] * 13)])
 
     return documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(gather, GATHER)
 
 
-MET = "key bigint, set_id bigint, pivot bigint, doc_id bigint, n_shingles bigint, need int, text_hash bigint"
+MET = "key bigint, set_id bigint, pivot bigint, doc_id bigint, n_shingles bigint, need int, text_hash bigint, " + ", ".join(
+    f"{name} bigint" for name in PARITIES)
 
 
 def _meet(gathered: DataFrame, parts: int) -> DataFrame:
     """Members of buckets with two sets or more, with the bucket's pivot, and the documents' rows as they were."""
-    kinds = [pa.int64()] * 5 + [pa.int32(), pa.int64()]
+    kinds = [pa.int64()] * 5 + [pa.int32()] + [pa.int64()] * 9
     schema = pa.schema(list(zip([field.split()[0] for field in MET.split(", ")], kinds, strict=True)))
 
     def meet(batches):
@@ -247,29 +261,36 @@ def _meet(gathered: DataFrame, parts: int) -> DataFrame:
                 empty = pa.nulls(documents.num_rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [empty, documents.column("set_id"), empty, *(documents.column(name) for name in (
-                        "doc_id", "n_shingles", "need", "text_hash"))], schema=schema)
+                        "doc_id", "n_shingles", "need", "text_hash", *PARITIES))], schema=schema)
         for part, found in blobs.items():
-            ids = np.concatenate([
-                np.repeat(np.frombuffer(a, np.int64), np.frombuffer(b, np.int32)) for a, b, _ in found])
-            keys = np.concatenate([np.frombuffer(c, np.uint32) for *_, c in found])
+            for k in range(SLICES):
+                yield from buckets(part, *of_slice(found, k))
             found.clear()
-            order = np.lexsort((ids, keys))
-            ids, keys = ids[order], keys[order]
-            new = np.ones(len(ids), bool)
-            new[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
-            ids, keys = ids[new], keys[new]
-            starts = np.flatnonzero(np.diff(keys.astype(np.int64), prepend=-1))
-            sizes = np.diff(np.append(starts, len(keys)))
-            shared = np.repeat(sizes >= 2, sizes)
-            pivots = np.repeat(ids[starts], sizes)[shared]
-            numbers = (np.int64(part) << np.int64(32)) + keys[shared].astype(np.int64)
-            for at in range(0, len(pivots), 100_000):
-                n = len(pivots[at:at + 100_000])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(numbers[at:at + n]), pa.array(ids[shared][at:at + n]), pa.array(pivots[at:at + n]),
-                     *(pa.nulls(n, kind) for kind in kinds[3:])], schema=schema)
 
-    return gathered.repartition(parts, "part").mapInArrow(meet, MET)
+    def of_slice(found, k):
+        slices = [(np.frombuffer(c, np.uint32).astype(np.uint64) * np.uint64(SLICES) >> np.uint64(32)) == k for *_, c in found]
+        ids = [np.repeat(np.frombuffer(a, np.int64), np.frombuffer(b, np.int32))[mine] for (a, b, _), mine in zip(found, slices, strict=True)]
+        keys = [np.frombuffer(c, np.uint32)[mine] for (*_, c), mine in zip(found, slices, strict=True)]
+        return np.concatenate(ids), np.concatenate(keys)
+
+    def buckets(part, ids, keys):
+        order = np.lexsort((ids, keys))
+        ids, keys = ids[order], keys[order]
+        new = np.ones(len(ids), bool)
+        new[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
+        ids, keys = ids[new], keys[new]
+        starts = np.flatnonzero(np.diff(keys.astype(np.int64), prepend=-1))
+        sizes = np.diff(np.append(starts, len(keys)))
+        shared = np.repeat(sizes >= 2, sizes)
+        pivots = np.repeat(ids[starts], sizes)[shared]
+        numbers = (np.int64(part) << np.int64(32)) + keys[shared].astype(np.int64)
+        for at in range(0, len(pivots), 100_000):
+            n = len(pivots[at:at + 100_000])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(numbers[at:at + n]), pa.array(ids[shared][at:at + n]), pa.array(pivots[at:at + n]),
+                 *(pa.nulls(n, kind) for kind in kinds[3:])], schema=schema)
+
+    return gathered.repartitionById(parts, "part").mapInArrow(meet, MET)
 
 
 def _contents(documents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -319,6 +340,23 @@ def _links(pairs: DataFrame, documents: DataFrame, sets: DataFrame) -> DataFrame
     return found if found.limit(1).count() else None
 
 
+def _alike(size_x: str, size_y: str, x: str, y: str) -> Column:
+    """Whether sets of these sizes can be similar by their parities, columns that begin with ``x`` and ``y``."""
+    low, high = SIMILAR
+    differ = " + ".join(f"bit_count({x}{name} ^ {y}{name})" for name in PARITIES)
+    return F.expr(f"{differ} <= ({high - low} * ({size_x} + {size_y})) div {high + low}")
+
+
+def _of(parity: DataFrame, side: str) -> DataFrame:
+    return parity.select(F.col("set_id").alias(side), *(F.col(name).alias(f"{side}_{name}") for name in ("size", *PARITIES)))
+
+
+def _likely(pairs: DataFrame, parity: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets can be similar by their parities."""
+    both = pairs.join(_of(parity, "a"), "a").join(_of(parity, "b"), "b")
+    return both.where(_alike("a_size", "b_size", "a_", "b_")).select("a", "b")
+
+
 def _needs(sets: DataFrame) -> DataFrame:
     """``set_id, fine, need, small, elements``: in how many buckets of a kind a set meets every partner, and every one not smaller than itself.
 
@@ -388,17 +426,24 @@ def _probed(members: DataFrame) -> DataFrame:
 
     Both sets of a pair look into all but ``need - 1`` of their buckets, the smallest ones. In the order of all buckets by size the first one that
     they share is among those of either. The smaller set of a pair needs more of them than the larger, and so looks into fewer. Where a pair
-    first meets, as many buckets as it has to share are left to both.
+    first meets, as many buckets as it has to share are left to both. Texts made from one text share most of their buckets without being similar:
+    their pairs are ruled out by their parities, where they meet.
     """
     before = Window.partitionBy("set_id", "fine").orderBy("size", "key").rowsBetween(Window.unboundedPreceding, -1)
     placed = members.withColumn("rest", F.col("met") - F.coalesce(F.sum("weight").over(before), F.lit(0)))
-    left = placed.where("rest >= small").select(
-        "key", F.col("set_id").alias("x"), F.col("component").alias("of_x"), F.col("elements").alias("size_x"), F.col("rest").alias("rest_x"), "fine")
-    right = placed.where("rest >= need").select(
-        "key", F.col("set_id").alias("y"), F.col("component").alias("of_y"), F.col("elements").alias("size_y"), F.col("rest").alias("rest_y"))
+    placed = stored(placed.where("rest >= need"), "placed")
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select(
+            "key", F.col("set_id").alias(name), F.col("component").alias(f"of_{name}"), F.col("elements").alias(f"size_{name}"),
+            F.col("rest").alias(f"rest_{name}"), *(F.col(p).alias(f"{name}_{p}") for p in PARITIES))
+
+    left, right = side(placed.where("rest >= small"), "x"), side(placed, "y")
     low, high = SIMILAR
-    enough = F.expr(f"NOT fine OR least(rest_x, rest_y) * {low + high} >= {low} * (size_x + size_y)")
-    met = left.join(right, "key").where(F.expr("of_x <> of_y AND size_x <= size_y") & _sizes_fit("size_x", "size_y") & enough)
+    # Buckets with odd numbers are fine.
+    enough = F.expr(f"key % 2 = 0 OR least(rest_x, rest_y) * {low + high} >= {low} * (size_x + size_y)")
+    met = left.join(right, "key").where(
+        F.expr("of_x <> of_y AND size_x <= size_y") & _sizes_fit("size_x", "size_y") & enough & _alike("size_x", "size_y", "x_", "y_"))
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -445,24 +490,27 @@ def _grouped(documents: DataFrame) -> DataFrame:
     documents = documents.select("doc_id", "text")
     size = documents.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(2 * partitions, size // PART_BYTES + 1)
+    parts = max(partitions, size // PART_BYTES + 1)
     met = stored(_meet(_gather(documents, parts), parts), "buckets")
-    rows = met.where(F.col("key").isNull()).select("doc_id", "set_id", "n_shingles", "need", "text_hash")
+    rows = met.where(F.col("key").isNull()).select("doc_id", "set_id", "n_shingles", "need", "text_hash", *PARITIES)
     members = met.where(F.col("key").isNotNull()).select("key", "set_id", "pivot")
     filled = rows.where("n_shingles > 0")
     sets = filled.groupBy("set_id").agg(
-        F.min("need").alias("need"), F.min("n_shingles").alias("size"), F.min("text_hash").alias("text_hash"))
+        F.min("need").alias("need"), F.min("n_shingles").alias("size"), F.min("text_hash").alias("text_hash"),
+        *(F.min(name).alias(name) for name in PARITIES))
 
     needs = stored(_needs(sets), "needs")
     members = members.select("key", "set_id", F.col("set_id").alias("component"), F.lit(1).cast("long").alias("weight"))
     members = _able(_able(members, needs), needs)
+    parity = sets.join(members.select("set_id").distinct(), "set_id", "left_semi").select("set_id", "size", *PARITIES)
+    parity = stored(parity, "parity")
     links = tried = members.select(F.col("set_id").alias("a"), F.col("set_id").alias("b")).limit(0)
     of = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     for turn in range(STAR_TURNS + 1):
         if not members.limit(1).count():
             break
         last = turn == STAR_TURNS
-        pairs = _probed(members) if last else _star(members, turn)
+        pairs = _probed(members.join(parity.drop("size"), "set_id")) if last else _likely(_star(members, turn), parity)
         pairs = stored(pairs.join(tried, ["a", "b"], "left_anti") if turn else pairs, "pairs")
         tried = tried.unionAll(pairs)
         found = _links(pairs, documents, sets)

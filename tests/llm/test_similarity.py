@@ -197,6 +197,54 @@ def test_copies_below_the_similarity_are_not_paired_with_each_other(spark, monke
     assert sum(asked) < 60
 
 
+def made_from_one_text(n, edits, seed=14):
+    """Texts from which words were taken at many places, so that few pairs are similar and most share the larger part of what they have."""
+    draw = random.Random(seed)
+    source = [f"w{draw.randrange(10**6)}" for _ in range(300)]
+    kept = [sorted(set(range(300)) - set(draw.sample(range(300), edits))) for _ in range(n)]
+    return [(i, " ".join(source[k] for k in row)) for i, row in enumerate(kept)]
+
+
+def test_texts_made_from_one_text_are_not_verified_pair_by_pair(spark, monkeypatch):
+    rows = made_from_one_text(60, 18) + [(100 + i, text) for i, text in made_from_one_text(10, 5)]
+    verified, links = [], ngram_join._links
+    monkeypatch.setattr(ngram_join, "_links", lambda pairs, *rest: verified.append(pairs.count()) or links(pairs, *rest))
+    frame = spark.createDataFrame(rows, DOCUMENTS)
+    assert sorted(map(tuple, ngram_join.near_duplicates(frame).collect()), key=str) == brute.near_duplicates(rows)
+    assert sum(verified) < 300
+
+
+def test_parities_differ_in_no_more_places_than_sets():
+    draw = np.random.default_rng(15)
+    for size in (1, 7, 300, 3000):
+        a = np.unique(draw.integers(0, 2**63, size).astype(np.uint64))
+        b = np.union1d(a[size // 9:], draw.integers(0, 2**63, size // 12).astype(np.uint64))
+        x, y = (np.array(ngram_join.parities(side), np.int64).view(np.uint64) for side in (a, b))
+        assert 0 < np.bitwise_count(x ^ y).sum() + (size < 9) <= len(np.setxor1d(a, b)) + (size < 9)
+
+
+def test_signatures_travel_with_few_names_of_sets(spark):
+    """A set is named once in each part, so that the bytes sent grow with the parts; 160 MB of text have no more than 12 of them."""
+    parts = []
+
+    class Enough(Exception):
+        pass
+
+    def gather(documents, number):
+        parts.append(number)
+        raise Enough
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    frame = spark.range(160).select(F.col("id").alias("doc_id"), F.expr("repeat('a ', 500000)").alias("text"))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ngram_join, "_gather", gather)
+        with pytest.raises(Enough):
+            ngram_join.grouped(frame)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert parts and parts[0] <= 12
+
+
 def test_a_passage_that_texts_share_is_one_bucket(spark, monkeypatch):
     """Texts made of passages that others have too, none similar to another: a passage counts once, not once a shingle."""
     draw, entered, probed = random.Random(12), [], ngram_join._probed

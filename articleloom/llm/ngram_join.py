@@ -391,7 +391,8 @@ def _able(members: DataFrame, needs: DataFrame) -> DataFrame:
     able = stored(able.select("set_id", "fine", "need", "small", "met", "elements"), "able")
     if able.count() <= MOST_SENT:
         able = F.broadcast(able)
-    return held.join(able, ["set_id", "fine"]).select(
+    # With one number as its key the table takes what its rows do; with two it takes a whole page of memory, in each executor and for each job.
+    return held.join(able.withColumnRenamed("fine", "of"), "set_id").where(F.expr("IF(fine, of, NOT of)")).select(
         "key", "set_id", "component", "fine", "need", "small", "met", "size", "weight", "elements")
 
 

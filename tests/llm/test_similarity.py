@@ -245,6 +245,17 @@ def test_signatures_travel_with_few_names_of_sets(spark):
     assert parts and parts[0] <= 12
 
 
+def test_able_sets_are_sent_by_one_number(spark):
+    """Tables of two keys take a page of memory each in every executor."""
+    rows = [(k, s, s, 1) for k in range(1, 40, 2) for s in range(5)]
+    members = spark.createDataFrame(rows, "key long, set_id long, component long, weight long")
+    needs = spark.createDataFrame([(s, True, 1, 1, 20) for s in range(5)], "set_id long, fine boolean, need int, small int, elements long")
+    able = ngram_join._able(members, needs)
+    plan = able._jdf.queryExecution().sparkPlan().toString()
+    keys = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert able.count() == 5 and len(keys) == 1 and "fine" not in keys[0].split("]")[0]
+
+
 def test_a_passage_that_texts_share_is_one_bucket(spark, monkeypatch):
     """Texts made of passages that others have too, none similar to another: a passage counts once, not once a shingle."""
     draw, entered, probed = random.Random(12), [], ngram_join._probed
